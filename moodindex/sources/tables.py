@@ -20,8 +20,25 @@ from pyspark.sql import functions as F
 from moodindex.functions.numeric import argmax, softmax
 
 
+# Inputs below this size may be stored as a single parquet row group (one
+# scan task); they are spread round-robin over the cores.  Large inputs are
+# read as they are: their row groups already give one task each.
+SMALL_INPUT_BYTES = 256 << 20
+
+
+def _input_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if _input_bytes(spark, path) <= SMALL_INPUT_BYTES:
+        df = df.repartition(spark.sparkContext.defaultParallelism)
+    return df
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
