@@ -180,6 +180,35 @@ def lexicon_hit_count(c: Column | str, words: Iterable[str]) -> Column:
     return total.cast("int")
 
 
+# Lexicons up to this size are matched against white-space-free text by
+# one regex per keyword over the raw text; larger ones remove white space
+# once and use plain ``contains``.
+SPACED_REGEX_MAX_WORDS = 8
+
+
+def _spaced_pattern(word: str) -> str:
+    """Regex for ``word`` with any white space between its characters."""
+    lit = [ch if ch.isalnum() else f"\\x{{{ord(ch):X}}}" for ch in word]
+    return f"[{SPACE_CHARS}]*".join(lit)
+
+
+def contains_any_nospace(c: Column | str, words: Iterable[str]) -> Column:
+    """True when any keyword occurs in the text once all its white space is
+    removed (N11); keywords are not stripped, so one holding white space can
+    never match.  Null text: false."""
+    col = F.coalesce(_c(c), F.lit(""))
+    space = set(SPACE_STRING)
+    ws = [w for w in _distinct(words) if not (set(w) & space)]
+    if not ws:
+        return F.lit(False)
+    if len(ws) > SPACED_REGEX_MAX_WORDS:
+        return contains_any(remove_space(col), ws)
+    out = col.rlike(_spaced_pattern(ws[0]))
+    for w in ws[1:]:
+        out = out | col.rlike(_spaced_pattern(w))
+    return out
+
+
 def contains_any(c: Column | str, words: Iterable[str]) -> Column:
     """True when any lexicon word occurs in the text (null text: false)."""
     col = F.coalesce(_c(c), F.lit(""))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodindex.functions.text import (clean_bert, clean_tfidf, contains_any, has_url,
+from moodindex.functions.text import (clean_bert, clean_tfidf, contains_any_nospace, has_url,
                                       remove_space)
 from moodindex.operators.lexicon import INLINE_MAX_WORDS, check_lexicon_size
 
@@ -31,7 +31,7 @@ def topic_filter(df: DataFrame, words: Sequence[str], text: str = "text",
     """
     if len(set(words)) > INLINE_MAX_WORDS:
         raise ValueError("lexicon too large for the inline form; use topic_filter_join")
-    hit = contains_any(remove_space(text), words)
+    hit = contains_any_nospace(text, words)
     return df.where(~hit) if how == "anti" else df.where(hit)
 
 
@@ -56,7 +56,7 @@ def preprocess(comments: DataFrame, topic_words: Sequence[str], text: str = "tex
     ``''`` is kept (F4, N7).  One lazy projection, no Python per row.
     """
     df = comments.where(F.col(text).isNotNull() & F.col(time).isNotNull())
-    df = df.where(~contains_any(remove_space(text), topic_words) & ~has_url(text))
+    df = df.where(~contains_any_nospace(text, topic_words) & ~has_url(text))
     return df.select(
         *keep,
         F.col(text).alias("raw_text"),

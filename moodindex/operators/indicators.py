@@ -227,7 +227,8 @@ def typed_indicators(scored: DataFrame, created_at: Column | None = None,
         (half_up("prob_fear", 1) / F.lit(10000.0)).cast("decimal(5,4)").alias("fear_ratio"),
         (half_up("prob_neutral", 1) / F.lit(10000.0)).cast("decimal(5,4)").alias("neutral_ratio"),
         (half_up("prob_greed", 1) / F.lit(10000.0)).cast("decimal(5,4)").alias("greed_ratio"),
-        (half_up("prob_greed", 100) / F.lit(100.0)).cast("decimal(5,2)").alias("fear_greed_index"),
+        # 100 x mean greed at 2 decimals = the same half-up integer in 0.01s.
+        (half_up("prob_greed", 1) / F.lit(100.0)).cast("decimal(5,2)").alias("fear_greed_index"),
         (created_at if created_at is not None else F.current_timestamp()).alias("created_at"),
     )
     return out.dropna(subset=[*keys, "date", "hour", "fear_ratio", "neutral_ratio",

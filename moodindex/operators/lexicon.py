@@ -101,10 +101,13 @@ def _ngram_hits(docs: DataFrame, lex: DataFrame, out: str) -> DataFrame:
     lengths = sorted(r[0] for r in lex.select(F.length("_kw")).distinct().collect())
     lex_l = lex.withColumn("_len", F.length("_kw"))
     grams = []
+    def grams_of(n: int):
+        # one-argument lambda: a second parameter would receive the index
+        return lambda i: F.substring(F.col("_t"), i, F.lit(n))
+
     for n in lengths:
         span = F.length("_t") - F.lit(n) + 1
-        subs = F.transform(F.sequence(F.lit(1), span),
-                           lambda i, n=n: F.substring(F.col("_t"), i, F.lit(n)))
+        subs = F.transform(F.sequence(F.lit(1), span), grams_of(n))
         grams.append(docs.where(F.length("_t") >= n).select(
             "_id", F.lit(n).alias("_len"), F.explode(F.array_distinct(subs)).alias("_kw")))
     g = grams[0]

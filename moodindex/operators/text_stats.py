@@ -42,6 +42,10 @@ def term_frequencies(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``doc_id, term, tf``: vectoriser tokens counted per document (M2)."""
     toks = df.select(F.col(doc_id).alias("doc_id"),
                      F.explode(tokenize_words(F.coalesce(F.col(text), F.lit("")))).alias("term"))
+    # Tokens are never null; saying so up front keeps this subtree identical
+    # wherever it is used (a join on ``term`` would otherwise infer the
+    # filter on one side only and defeat exchange reuse).
+    toks = toks.where(F.col("term").isNotNull())
     return toks.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

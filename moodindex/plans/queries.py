@@ -256,10 +256,10 @@ def q_preprocess(spark, sf):
 
 def q_stage_counts(spark, sf):
     """Row counts of each filtering stage (A8), in one aggregation pass."""
-    from moodindex.functions.text import contains_any, has_url, remove_space
+    from moodindex.functions.text import contains_any_nospace, has_url
     c = tables.comments(spark, sf)
     ok = F.col("text").isNotNull() & F.col("time").isNotNull()
-    on_topic = contains_any(remove_space("text"), P.TOPIC_WORDS)
+    on_topic = contains_any_nospace("text", P.TOPIC_WORDS)
     agg = c.agg(
         F.count(F.lit(1)).alias("raw"),
         F.count(F.when(ok, 1)).alias("with_text_and_time"),

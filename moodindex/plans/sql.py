@@ -248,7 +248,7 @@ SELECT stock_code, date, hour,
          AS neutral_ratio,
        CAST(CAST((2 * sg + ng) // (2 * ng) / CAST(10000 AS DOUBLE) AS DECIMAL(5,4)) AS DOUBLE)
          AS greed_ratio,
-       CAST(CAST((2 * sg + 100 * ng) // (200 * ng) / CAST(100 AS DOUBLE) AS DECIMAL(5,2)) AS DOUBLE)
+       CAST(CAST((2 * sg + ng) // (2 * ng) / CAST(100 AS DOUBLE) AS DECIMAL(5,2)) AS DOUBLE)
          AS fear_greed_index,
        TIMESTAMP '{P.RUN1}' AS created_at
 FROM (SELECT stock_code, CAST(time AS DATE) AS date, CAST(hour(time) AS INTEGER) AS hour,

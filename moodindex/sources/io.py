@@ -85,9 +85,8 @@ def read_entities(spark: SparkSession, base_dir: str, suffix: str,
         df = read_csv(spark, paths, schema)
     else:
         df = spark.read.format(fmt).load(paths)
-    return df.select(
-        F.regexp_extract(F.col("_metadata.file_name"), ENTITY_FROM_FILE_RE, 1).alias("stock_code"),
-        "*")
+    entity = F.regexp_extract(F.col("_metadata.file_name"), ENTITY_FROM_FILE_RE, 1)
+    return df.select(entity.alias("stock_code"), *[c for c in df.columns if c != "stock_code"])
 
 
 def entity_filter(df: DataFrame, entity: str, allowed: Iterable[str] | None = None,
