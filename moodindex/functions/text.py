@@ -90,6 +90,7 @@ def complement_class(keep: tuple[tuple[int, int], ...]) -> str:
 COUNT_DROP_FAST_RE = complement_class(COUNT_KEEP_RANGES) + "+"
 # Every white-space character, for ``translate``.
 SPACE_STRING = "".join(chr(cp) for lo, hi in SPACE_RANGES for cp in range(lo, hi + 1))
+_OTHER_SPACE = SPACE_STRING.replace(" ", "")
 
 
 def _c(c: Column | str) -> Column:
@@ -97,8 +98,18 @@ def _c(c: Column | str) -> Column:
 
 
 def collapse_space(c: Column | str) -> Column:
-    """Runs of white space become one blank; blanks at both ends go."""
-    return F.trim(F.regexp_replace(_c(c), SPACE_RUN_RE, " "))
+    """Runs of white space become one blank; blanks at both ends go.
+
+    Every white-space character is mapped to a blank (``translate``), the
+    text is split on the blank (a plain character split, no regex), empty
+    pieces dropped and the rest joined with one blank: the same result as
+    ``trim(regexp_replace(c, '[space]+', ' '))`` at a fraction of the cost.
+    A null text stays null.
+    """
+    col = _c(c)
+    blanks = F.translate(col, _OTHER_SPACE, " " * len(_OTHER_SPACE))
+    joined = F.concat_ws(" ", F.array_remove(F.split(blanks, " "), ""))
+    return F.when(col.isNotNull(), joined)
 
 
 def strip_markup(c: Column | str) -> Column:

@@ -21,10 +21,20 @@ from moodindex.functions.text import clean_words, split_words, tokenize_words
 PAD = "[PAD]"
 
 
-def word_counts(df: DataFrame, text: str = "text_tfidf") -> DataFrame:
+def word_counts(df: DataFrame, text: str = "text_tfidf", normalized: bool = False) -> DataFrame:
     """Corpus frequency of white-space words after the word-count cleaner
-    (A6, D2, M1).  A null text counts as ``''`` (P11)."""
-    words = split_words(clean_words(F.coalesce(F.col(text), F.lit(""))))
+    (A6, D2, M1).  A null text counts as ``''`` (P11).
+
+    ``normalized=True`` declares that the column is the counting cleaner's
+    output (only Hangul syllables, ASCII letters, digits and single inner
+    blanks): the word-count cleaner is then just ``lower`` and words are
+    split on the blank, with identical results.
+    """
+    t = F.coalesce(F.col(text), F.lit(""))
+    if normalized:
+        words = F.array_remove(F.split(F.lower(t), " "), "")
+    else:
+        words = split_words(clean_words(t))
     return (df.select(F.explode(words).alias("word"))
             .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
 
@@ -34,8 +44,9 @@ def top_k(df: DataFrame, metric: str, key: str, k: int) -> DataFrame:
     return df.orderBy(F.desc(metric), F.asc(key)).limit(k)
 
 
-def top_words(df: DataFrame, text: str = "text_tfidf", k: int = 50) -> DataFrame:
-    return top_k(word_counts(df, text), "count", "word", k)
+def top_words(df: DataFrame, text: str = "text_tfidf", k: int = 50,
+              normalized: bool = False) -> DataFrame:
+    return top_k(word_counts(df, text, normalized), "count", "word", k)
 
 
 def term_frequencies(df: DataFrame, doc_id: str, text: str) -> DataFrame:

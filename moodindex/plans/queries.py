@@ -307,7 +307,8 @@ def q_tokenize_words(spark, sf):
 
 
 def q_word_top50(spark, sf):
-    return text_stats.top_words(_pre(spark, sf), "text_tfidf", P.WORD_TOP_K)
+    # text_tfidf is the counting cleaner's output, hence normalized
+    return text_stats.top_words(_pre(spark, sf), "text_tfidf", P.WORD_TOP_K, normalized=True)
 
 
 def q_tfidf_top30(spark, sf):

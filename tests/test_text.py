@@ -81,3 +81,20 @@ def test_split_and_tokenize(spark):
     assert one(spark, "", T.split_words) == []
     assert one(spark, "Ab c de_f 한국 x1", T.tokenize_words) == ["ab", "de_f", "한국", "x1"]
     assert one(spark, "ABC! 한글", T.clean_words) == "abc 한글"
+
+
+def test_collapse_space_edges(spark):
+    assert one(spark, None, T.collapse_space) is None
+    assert one(spark, "", T.collapse_space) == ""
+    assert one(spark, " \t　 ", T.collapse_space) == ""
+    assert one(spark, "\x1ca  b  c\x85", T.collapse_space) == "a b c"
+
+
+def test_word_counts_normalized_path_equal(spark):
+    from moodindex.operators import text_stats
+    texts = ["Hello 세계 hello", "", None, "a b  C", "<i>x</i> 1 2 2"]
+    df = spark.createDataFrame([(t,) for t in texts], "raw string").select(
+        T.clean_tfidf("raw").alias("text_tfidf"))
+    a = {r["word"]: r["count"] for r in text_stats.word_counts(df).collect()}
+    b = {r["word"]: r["count"] for r in text_stats.word_counts(df, normalized=True).collect()}
+    assert a == b and a["hello"] == 2
