@@ -44,10 +44,12 @@ def with_score(df: DataFrame, prob_greed: str = "prob_greed", out: str = SCORE)
 
 def _fixed_mean(c: str, decimals: int) -> Column:
     """Exact mean of a column holding at most ``decimals`` decimals; nulls
-    skipped, all-null group -> null (like ``avg``)."""
-    units = scaled_int(c, decimals)
-    n = F.count(units)
-    return F.when(n > 0, F.sum(units).cast("double") / (n * F.lit(float(10 ** decimals))))
+    skipped, all-null group -> null (like ``avg``).  Integer units summed,
+    divided once."""
+    scale = 10 ** decimals
+    units = f"CAST(round(`{c}` * {scale}) AS BIGINT)"
+    return F.expr(f"CASE WHEN count({units}) > 0 THEN CAST(sum({units}) AS DOUBLE) / "
+                  f"(count({units}) * {float(scale)}D) END")
 
 
 def daily_sentiment(scored: DataFrame, keys: Sequence[str] = ("stock_code",),

@@ -23,15 +23,13 @@ from moodindex.sources import io, tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def r8(c: Column | str) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return F.round(col * F.lit(1e8)) / F.lit(1e8)
+def r8(c: str) -> Column:
+    return F.expr(f"round(`{c}` * 1.0E8D) / 1.0E8D")
 
 
-def r4(c: Column | str) -> Column:
+def r4(c: str) -> Column:
     """Price-scale values (about 1e5) keep 4 decimals."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.round(col * F.lit(1e4)) / F.lit(1e4)
+    return F.expr(f"round(`{c}` * 1.0E4D) / 1.0E4D")
 
 
 def _ts(s: str) -> Column:

@@ -17,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodindex.functions.numeric import argmax, softmax
 
 
 # Inputs below this size may be stored as a single parquet row group (one
@@ -33,10 +32,32 @@ def _input_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+# Tables whose rows carry long text: per-row work is heavy enough that a
+# single-task scan of a small file is worth spreading over the cores.
+TEXT_TABLES = frozenset({"documents", "pages", "conversations"})
+
+# The test tables are immutable: each is listed and its footer read once per
+# session, like a catalog relation, instead of on every query.
+_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    key = (id(spark._jsparkSession), path)
+    df = _READ_CACHE.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _READ_CACHE[key] = df
+    return df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
+    """One test table.  ``spread`` (default: text tables only) spreads a
+    small input round-robin over the cores; large inputs never are."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if _input_bytes(spark, path) <= SMALL_INPUT_BYTES:
+    df = _read(spark, path)
+    if spread is None:
+        spread = name in TEXT_TABLES
+    if spread and _input_bytes(spark, path) <= SMALL_INPUT_BYTES:
         df = df.repartition(spark.sparkContext.defaultParallelism)
     return df
 
@@ -50,26 +71,30 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "text", F.col("ts").alias("time")))
 
 
-def event_logits(e: DataFrame) -> list:
-    """Stand-in scorer logits (fear, neutral, greed) of one event."""
-    return [F.col("value") / F.lit(100.0), F.lit(1.0), F.hour("ts") / F.lit(8.0)]
+# Stand-in scorer logits (fear, neutral, greed) of one event, as SQL.
+EVENT_LOGITS = ("value / 100.0D", "1.0D", "hour(ts) / 8.0D")
 
 
 def scored_events(spark: SparkSession, sf_dir: str, decimals: int = 4) -> DataFrame:
     """``comment_id, stock_code, time, prob_fear, prob_neutral, prob_greed,
     pred_label`` — probabilities rounded to ``decimals`` like the scorer's
-    output; the label is the arg-max of the unrounded values."""
-    e = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
-    probs = softmax(event_logits(e))
-    return e.select(
-        F.col("event_id").alias("comment_id"),
-        F.col("event_type").alias("stock_code"),
-        F.col("ts").alias("time"),
-        F.round(probs[0], decimals).alias("prob_fear"),
-        F.round(probs[1], decimals).alias("prob_neutral"),
-        F.round(probs[2], decimals).alias("prob_greed"),
-        argmax(probs).alias("pred_label"),
-    )
+    output; the label is the arg-max of the unrounded values (first on
+    ties).  Same arithmetic as :func:`moodindex.functions.numeric.softmax`,
+    written as one SQL projection."""
+    lf, ln, lg = EVENT_LOGITS
+    e = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "event_type", "ts", f"{lf} AS _lf", f"{ln} AS _ln", f"{lg} AS _lg")
+    e = e.selectExpr("*", "greatest(_lf, _ln, _lg) AS _m").selectExpr(
+        "event_id", "event_type", "ts",
+        "exp(_lf - _m) AS _ef", "exp(_ln - _m) AS _en", "exp(_lg - _m) AS _eg")
+    e = e.selectExpr("event_id", "event_type", "ts", "_ef / (_ef + _en + _eg) AS _pf",
+                     "_en / (_ef + _en + _eg) AS _pn", "_eg / (_ef + _en + _eg) AS _pg")
+    return e.selectExpr(
+        "event_id AS comment_id", "event_type AS stock_code", "ts AS time",
+        f"round(_pf, {decimals}) AS prob_fear", f"round(_pn, {decimals}) AS prob_neutral",
+        f"round(_pg, {decimals}) AS prob_greed",
+        "CAST(CASE WHEN _pf >= _pn AND _pf >= _pg THEN 0 WHEN _pn >= _pg THEN 1 ELSE 2 END AS INT)"
+        " AS pred_label")
 
 
 def order_series(spark: SparkSession, sf_dir: str) -> DataFrame:
