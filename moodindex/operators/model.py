@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -30,18 +30,33 @@ CLASS_NAMES = ("prob_fear", "prob_neutral", "prob_greed")
 
 def classifier_pipeline(text: str = "text_bert", label: str = "label",
                         vocab_size: int = 1 << 15, min_df: float = 2.0,
-                        max_iter: int = 30, reg: float = 0.01) -> Pipeline:
+                        algo: str = "naive_bayes", max_iter: int = 30,
+                        reg: float = 0.01, smoothing: float = 1.0) -> Pipeline:
     """Re-aimed M7: the same inputs and outputs as the fine-tuned model
-    (text -> three class probabilities), trained with Spark ML."""
-    return Pipeline(stages=[
+    (text -> three class probabilities), trained with Spark ML.
+
+    ``algo="naive_bayes"`` (default): multinomial Naive Bayes on term counts,
+    trained in one aggregation pass over the data.  ``"logistic"``:
+    TF-IDF + multinomial logistic regression, one pass per optimiser
+    iteration.
+    """
+    stages = [
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=NON_SPACE_RUN_RE,
                        gaps=False, toLowercase=True),
         CountVectorizer(inputCol="_tokens", outputCol="_tf", vocabSize=vocab_size, minDF=min_df),
-        IDF(inputCol="_tf", outputCol="_features"),
-        LogisticRegression(featuresCol="_features", labelCol=label, family="multinomial",
-                           maxIter=max_iter, regParam=reg, probabilityCol="_prob",
-                           rawPredictionCol="_raw", predictionCol="_pred"),
-    ])
+    ]
+    common = dict(labelCol=label, probabilityCol="_prob", rawPredictionCol="_raw",
+                  predictionCol="_pred")
+    if algo == "naive_bayes":
+        stages.append(NaiveBayes(featuresCol="_tf", modelType="multinomial",
+                                 smoothing=smoothing, **common))
+    elif algo == "logistic":
+        stages += [IDF(inputCol="_tf", outputCol="_features"),
+                   LogisticRegression(featuresCol="_features", family="multinomial",
+                                      maxIter=max_iter, regParam=reg, **common)]
+    else:
+        raise ValueError("algo must be 'naive_bayes' or 'logistic'")
+    return Pipeline(stages=stages)
 
 
 def train(train_df: DataFrame, text: str = "text_bert", label: str = "label",

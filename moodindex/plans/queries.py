@@ -292,7 +292,12 @@ def q_stratified_split(spark, sf):
 
 
 def _split_labeled(spark, sf):
-    lab = _labeled(spark, sf)
+    # The split reads its input three times (bucket counts, quotas, row
+    # assignment) and training / validation read it again: materialise the
+    # labelled comments once in the checkpoint folder instead of re-running
+    # the join and the text cleaning for every pass.
+    lab = (_labeled(spark, sf).select("comment_id", "stock_code", "text_bert", "label")
+           .checkpoint(eager=True))
     return sampling.stratified_split(lab, "label", "comment_id", P.TEST_SIZE, P.SPLIT_SEED)
 
 
@@ -338,7 +343,7 @@ def q_scan_csv(spark, sf):
 # -- model (rows-only checks) ------------------------------------------------
 
 def _model_and_split(spark, sf):
-    split = _split_labeled(spark, sf)
+    split = _split_labeled(spark, sf).checkpoint(eager=True)
     data = filters.train_input(split)
     m = model.train(data.where(F.col("split") == "train"), "text_bert", "label")
     return m, data
