@@ -181,12 +181,17 @@ def cluster_months(monthly: DataFrame, features: Sequence[str] = ("avg_score", "
 
 def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema,
                 batch_size: int = 32) -> DataFrame:
-    """Apply ``fn`` to Arrow batches of at most ``batch_size`` rows."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_size))
+    """Apply ``fn`` to consecutive slices of at most ``batch_size`` rows.
+
+    Spark hands each task Arrow batches; they are cut into ``batch_size``
+    slices inside the task, so the session's Arrow settings stay untouched.
+    """
+    if batch_size < 1:
+        raise ValueError("batch_size must be positive")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield fn(b)
+            for i in range(0, len(b), batch_size):
+                yield fn(b.iloc[i:i + batch_size])
 
     return df.mapInPandas(run, schema)

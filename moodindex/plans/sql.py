@@ -354,6 +354,10 @@ SELECT conv_id, turn, CAST(chunk AS INTEGER) AS chunk,
          AS window_text
 FROM w"""
     q["scan_csv"] = "SELECT doc_id, source, CAST(length(text) AS INTEGER) AS n_chars FROM documents"
+    q["map_batches"] = f"""
+SELECT conv_id, turn, CAST(length(coalesce(text, '')) AS INTEGER) AS n_chars,
+       CAST(len(regexp_extract_all(coalesce(text, ''), {_q(NON_SPACE_RUN_RE)})) AS INTEGER) AS n_words
+FROM conversations"""
     return q
 
 

@@ -25,11 +25,10 @@ from pyspark.sql import functions as F
 SMALL_INPUT_BYTES = 256 << 20
 
 
-def _input_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+def _input_bytes(df: DataFrame) -> int:
+    """Size of a scan from the file index Spark built when the relation was
+    created: no second listing of a possibly huge folder."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 # Tables whose rows carry long text: per-row work is heavy enough that a
@@ -57,7 +56,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = Non
     df = _read(spark, path)
     if spread is None:
         spread = name in TEXT_TABLES
-    if spread and _input_bytes(spark, path) <= SMALL_INPUT_BYTES:
+    if spread and _input_bytes(df) <= SMALL_INPUT_BYTES:
         df = df.repartition(spark.sparkContext.defaultParallelism)
     return df
 
