@@ -235,3 +235,20 @@ def typed_indicators(scored: DataFrame, created_at: Column | None = None,
     )
     return out.dropna(subset=[*keys, "date", "hour", "fear_ratio", "neutral_ratio",
                               "greed_ratio", "fear_greed_index"])
+
+
+def typed_monthly(scored: DataFrame, created_at: Column | None = None,
+                  keys: Sequence[str] = ("stock_code",), time_col: str = "time") -> DataFrame:
+    """The DDL's monthly table: one row per (entity, year, month) with
+    ``avg_fear_greed`` = mean score as DECIMAL(5,2), half-up from exact
+    integer sums of score units (K9).  Year SMALLINT, month TINYINT."""
+    df = with_time_parts(scored, time_col).where(F.col("date").isNotNull())
+    df = with_score(df).withColumn("_u", scaled_int(SCORE, SCORE_DECIMALS))
+    g = df.groupBy(*keys, F.year("date").alias("_y"), F.month("date").alias("_m")).agg(
+        F.sum("_u").alias("_s"), F.count("_u").alias("_n"))
+    q = F.floor((F.col("_s") * 2 + F.col("_n")) / (F.col("_n") * 2))
+    out = g.where(F.col("_n") > 0).select(
+        *keys, F.col("_y").cast("smallint").alias("year"), F.col("_m").cast("tinyint").alias("month"),
+        (q / F.lit(100.0)).cast("decimal(5,2)").alias("avg_fear_greed"),
+        (created_at if created_at is not None else F.current_timestamp()).alias("created_at"))
+    return out

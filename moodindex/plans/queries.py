@@ -155,6 +155,10 @@ def q_typed_indicators(spark, sf):
     return ind.typed_indicators(tables.scored_events(spark, sf), created_at=_ts(P.RUN1))
 
 
+def q_typed_monthly(spark, sf):
+    return ind.typed_monthly(tables.scored_events(spark, sf), created_at=_ts(P.RUN1))
+
+
 def q_constraint_check(spark, sf):
     from moodindex.functions.time import with_time_parts
     s = with_time_parts(tables.scored_events(spark, sf))
@@ -400,6 +404,7 @@ QUERIES: dict[str, Query] = {
     "fear_greed_score": q_fear_greed_score,
     "softmax_argmax": q_softmax_argmax,
     "typed_indicators": q_typed_indicators,
+    "typed_monthly": q_typed_monthly,
     "constraint_check": q_constraint_check,
     "upsert_daily": q_upsert_daily,
     "upsert_hourly": q_upsert_hourly,

@@ -257,6 +257,15 @@ FROM (SELECT stock_code, CAST(time AS DATE) AS date, CAST(hour(time) AS INTEGER)
              sum({prob_units('prob_greed')}) AS sg, count({prob_units('prob_greed')}) AS ng
       FROM scored WHERE time IS NOT NULL GROUP BY 1, 2, 3)
 WHERE nf > 0 AND nn > 0 AND ng > 0"""
+    q["typed_monthly"] = S + f"""
+SELECT stock_code, CAST(y AS SMALLINT) AS year, CAST(m AS TINYINT) AS month,
+       CAST(CAST((2 * s + n) // (2 * n) / CAST(100 AS DOUBLE) AS DECIMAL(5,2)) AS DOUBLE)
+         AS avg_fear_greed,
+       TIMESTAMP '{P.RUN1}' AS created_at
+FROM (SELECT stock_code, year(time) AS y, month(time) AS m, sum({SCORE_UNITS}) AS s,
+             count({SCORE_UNITS}) AS n
+      FROM scored WHERE time IS NOT NULL GROUP BY 1, 2, 3)
+WHERE n > 0"""
     q["constraint_check"] = S + """
 SELECT * FROM (
   SELECT 'duplicate_key' AS kind, 'stock_code,date,hour' AS "column", count(*) AS n
@@ -388,6 +397,7 @@ TEMPORAL = {
     "preview_daily": {"date": _D},
     "time_parts": {"date": _D},
     "typed_indicators": {"date": _D, "created_at": _T},
+    "typed_monthly": {"created_at": _T},
     "upsert_daily": {"date": _D, "created_at": _T, "updated_at": _T},
     "upsert_hourly": {"created_at": _T, "updated_at": _T},
     "upsert_monthly": {"created_at": _T, "updated_at": _T},

@@ -109,3 +109,15 @@ def test_typed_indicators_half_up(spark):
     assert str(r["fear_ratio"]) == "0.1235"   # 0.12345 rounds half up
     assert str(r["fear_greed_index"]) == "12.35"
     assert r["date"] == dt.date(2024, 1, 1) and r["hour"] == 1
+
+
+def test_typed_monthly(spark):
+    rows = [(1, "A", dt.datetime(2024, 3, 1, 1), 0.1, 0.1, 0.1234),
+            (2, "A", dt.datetime(2024, 3, 9, 1), 0.1, 0.1, 0.1235),
+            (3, "A", None, 0.1, 0.1, 0.9)]
+    out = ind.typed_monthly(spark.createDataFrame(rows, SCHEMA),
+                            created_at=F.lit("2024-04-01").cast("timestamp")).collect()
+    assert len(out) == 1
+    r = out[0]
+    assert (r["year"], r["month"]) == (2024, 3)
+    assert str(r["avg_fear_greed"]) == "12.35"   # mean 12.345 rounds half up
