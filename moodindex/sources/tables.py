@@ -37,15 +37,16 @@ TEXT_TABLES = frozenset({"documents", "pages", "conversations"})
 
 # The test tables are immutable: each is listed and its footer read once per
 # session, like a catalog relation, instead of on every query.
-_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
+_READ_CACHE: dict[str, tuple[SparkSession, str, DataFrame]] = {}
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
-    key = (id(spark._jsparkSession), path)
-    df = _READ_CACHE.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _READ_CACHE[key] = df
+    hit = _READ_CACHE.get(path)
+    app = spark.sparkContext.applicationId
+    if hit is not None and hit[0] is spark and hit[1] == app:
+        return hit[2]
+    df = spark.read.parquet(path)
+    _READ_CACHE[path] = (spark, app, df)
     return df
 
 
