@@ -81,11 +81,13 @@ def score(model: PipelineModel, df: DataFrame, text: str = "text_bert",
     arg-max of the unrounded ones, first on ties (P16).  A null text is
     scored as ``''`` (P11)."""
     cols = df.columns
-    filled = df.withColumn(text, F.coalesce(F.col(text), F.lit("")))
+    # the model reads ``text``; score a filled copy, hand back the original
+    filled = (df.withColumn("_orig_text", F.col(text))
+              .withColumn(text, F.coalesce(F.col(text), F.lit(""))))
     out = model.transform(filled)
     p = vector_to_array(F.col("_prob"))
     probs = [p[i] for i in range(3)]
-    return out.select(*[F.col(c) for c in cols],
+    return out.select(*[F.col("_orig_text").alias(c) if c == text else F.col(c) for c in cols],
                       *[F.round(probs[i], decimals).alias(CLASS_NAMES[i]) for i in range(3)],
                       argmax(probs).alias("pred_label"))
 

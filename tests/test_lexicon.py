@@ -66,3 +66,18 @@ def test_preprocess_edge_rows(spark):
     assert filters.train_input(filters.preprocess(df, ["이재명"]).withColumn(
         "text_bert", F.when(F.col("comment_id") == 6, F.lit("")).otherwise(F.col("text_bert")))
     ).count() == 1
+
+
+def test_null_text_scored_as_empty(spark):
+    from moodindex.operators import model
+    train = spark.createDataFrame([(i, t, lab) for i, (t, lab) in enumerate(
+        [("up up gain", 2), ("down fear", 0), ("flat", 1), ("gain more", 2), ("fear loss", 0),
+         ("flat calm", 1)] * 3)], "comment_id long, text_bert string, label int")
+    m = model.train(train, min_df=1.0)
+    rows = model.score(m, spark.createDataFrame([(1, None), (2, "gain")],
+                                                 "comment_id long, text_bert string")).collect()
+    assert len(rows) == 2 and rows[0]["text_bert"] is None
+    for r in rows:
+        assert abs(r["prob_fear"] + r["prob_neutral"] + r["prob_greed"] - 1) < 3e-4
+        assert r["pred_label"] in (0, 1, 2)
+    assert rows[1]["pred_label"] == 2

@@ -60,3 +60,12 @@ def test_constraint_check(spark):
     rows = {(r["kind"], r["column"]): r["n"] for r in
             U.constraint_check(df, KEYS, ["stock_code", "date", "ratio"]).collect()}
     assert rows == {("duplicate_key", "stock_code,date"): 1, ("null", "date"): 1}
+
+
+def test_nan_measures_become_null(spark):
+    from moodindex.functions.numeric import nan_to_null
+    df = spark.createDataFrame([(float("nan"),), (1.5,), (None,)], "x double")
+    assert [r["y"] for r in df.select(nan_to_null("x").alias("y")).collect()] == [None, 1.5, None]
+    upd = spark.createDataFrame([("A", "d1", float("nan"))], "stock_code string, date string, ratio double")
+    r = U.upsert(None, upd, KEYS, MEAS, ts("2024-02-01")).first()
+    assert r["ratio"] is None
