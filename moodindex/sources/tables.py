@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 # scan task); they are spread round-robin over the cores.  Large inputs are
 # read as they are: their row groups already give one task each.
 SMALL_INPUT_BYTES = 256 << 20
+# Partitions per core when spreading (long and short texts even out).
+SPREAD_MULT = 1
 
 
 def _input_bytes(df: DataFrame) -> int:
@@ -58,7 +60,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = Non
     if spread is None:
         spread = name in TEXT_TABLES
     if spread and _input_bytes(df) <= SMALL_INPUT_BYTES:
-        df = df.repartition(spark.sparkContext.defaultParallelism)
+        df = df.repartition(spark.sparkContext.defaultParallelism * SPREAD_MULT)
     return df
 
 
