@@ -115,7 +115,12 @@ def collapse_space(c: Column | str) -> Column:
 def strip_markup(c: Column | str) -> Column:
     """Drop tags first, then URL runs (the order matters: a URL inside a
     tag attribute disappears with the tag)."""
-    return F.regexp_replace(F.regexp_replace(_c(c), TAG_RE, ""), URL_RUN_RE, "")
+    # Each regex pass decodes and re-encodes the whole text; a plain byte
+    # search first skips both for texts that hold no tag / no link.
+    col = _c(c)
+    no_tags = F.when(col.contains("<"), F.regexp_replace(col, TAG_RE, "")).otherwise(col)
+    has_link = no_tags.contains("http") | no_tags.contains("www.")
+    return F.when(has_link, F.regexp_replace(no_tags, URL_RUN_RE, "")).otherwise(no_tags)
 
 
 def clean_tfidf(c: Column | str) -> Column:
