@@ -121,3 +121,18 @@ def test_typed_monthly(spark):
     r = out[0]
     assert (r["year"], r["month"]) == (2024, 3)
     assert str(r["avg_fear_greed"]) == "12.35"   # mean 12.345 rounds half up
+
+
+def test_softmax_and_argmax_first_on_ties(spark):
+    import math
+    from moodindex.functions.numeric import argmax, softmax
+    df = spark.createDataFrame([(1.0, 1.0, 0.0), (0.0, 2.0, 2.0), (3.0, -1.0, 0.5), (0.0, 0.0, 0.0)],
+                               "a double, b double, c double")
+    p = softmax(["a", "b", "c"])
+    rows = df.select(*[x.alias(f"p{i}") for i, x in enumerate(p)],
+                     argmax(p).alias("k"), argmax(["a", "b", "c"]).alias("k_raw")).collect()
+    assert [r["k"] for r in rows] == [0, 1, 0, 0]
+    assert [r["k_raw"] for r in rows] == [0, 1, 0, 0]
+    for r, (a, b, c) in zip(rows, [(1.0, 1.0, 0.0), (0.0, 2.0, 2.0), (3.0, -1.0, 0.5), (0, 0, 0)]):
+        z = math.exp(a) + math.exp(b) + math.exp(c)
+        assert abs(r["p0"] - math.exp(a) / z) < 1e-12 and abs(r["p0"] + r["p1"] + r["p2"] - 1) < 1e-12
