@@ -39,6 +39,30 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(total_input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a large run, sized from the input volume.
+
+    * initial shuffle partitions ~ input / 512 MiB (at least 2 x cores); AQE
+      then coalesces toward ``advisoryPartitionSizeInBytes`` and splits
+      skewed partitions of joins;
+    * scan splits of 256 MiB, so a task's decoded text stays well inside
+      executor memory.
+    Returned, not applied: pass them to ``SparkSession.builder.config``.
+    """
+    parts = max(2 * cores, total_input_bytes // (512 << 20))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, creating a scratch one only
     when the cluster named none (local runs and tests).

@@ -59,3 +59,11 @@ def test_csv_sink_roundtrip(spark):
     io.write_csv(df, os.path.join(d, "out"), partition_by=["stock_code"])
     back = io.read_csv(spark, os.path.join(d, "out")).select(F.col("text"))
     assert sorted(r["text"] for r in back.collect()) == ["x\ny", "z"]
+
+
+def test_cluster_conf_scales_with_input():
+    from moodindex.session import cluster_conf
+    small = cluster_conf(10 << 20, 8)
+    big = cluster_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (512 << 20)
