@@ -15,8 +15,8 @@ Scale notes
 * The change rate needs consecutive rows in a total order.  One window per
   ``(entity, year)`` would put a third of the data in one task when one
   entity dominates; instead rows are cut into contiguous *segments* (one
-  hour-of-day on one date), differenced inside each segment, and only the
-  tiny per-segment summaries are ordered per ``(entity, year)``.
+  minute of one hour on one date), differenced inside each segment, and
+  only the small per-segment summaries are ordered per ``(entity, year)``.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ SCORE = "fear_greed_score"
 # it has 2 decimals.
 PROB_DECIMALS = 4
 SCORE_DECIMALS = 2
+# Consecutive ids per change-rate segment for rows without a time.
+ID_BUCKET = 1 << 16
 
 
 def with_score(df: DataFrame, prob_greed: str = "prob_greed", out: str = SCORE) -> DataFrame:
@@ -109,7 +111,15 @@ def change_rate(scored: DataFrame, order: str = "hour", keys: Sequence[str] = ("
     df, s, dec = _score_frame(scored, time_col, score, score_decimals)
     # Score as integer units, so every sum below is exact.
     df = df.withColumn("_v", scaled_int(s, dec))
-    seg_order = ["hour", "date"] if order == "hour" else ["date", "hour"]
+    # Segments are contiguous runs of the total order: one minute of one
+    # hour on one date; rows without a time (ordered by id alone) are cut
+    # into runs of 65,536 consecutive ids.  Even a hot hour of a hot entity
+    # is spread over 60 window partitions.
+    idb = F.floor(F.col(id_col) / F.lit(ID_BUCKET)) if _is_integral(df, id_col) else F.lit(None)
+    df = df.withColumns({"_min": F.minute("_ts"),
+                         "_idb": F.when(F.col("_ts").isNull(), idb).cast("long")})
+    seg_order = (["hour", "date", "_min", "_idb"] if order == "hour"
+                 else ["date", "hour", "_min", "_idb"])
     seg = [*keys, "year", *seg_order]
 
     w_row = Window.partitionBy(*seg).orderBy(F.col("_ts"), F.col(id_col))
@@ -134,6 +144,10 @@ def change_rate(scored: DataFrame, order: str = "hour", keys: Sequence[str] = ("
         F.when(n > 0, total.cast("double") / (n * F.lit(float(10 ** dec)))).alias("change_rate"))
 
 
+def _is_integral(df: DataFrame, c: str) -> bool:
+    return df.schema[c].dataType.typeName() in ("long", "integer", "short", "byte")
+
+
 def change_rate_rows(scored: DataFrame, order: str = "hour", keys: Sequence[str] = ("stock_code",),
                      time_col: str = "time", id_col: str = "comment_id",
                      score: str | None = None, score_decimals: int = SCORE_DECIMALS) -> DataFrame:

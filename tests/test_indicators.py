@@ -136,3 +136,14 @@ def test_softmax_and_argmax_first_on_ties(spark):
     for r, (a, b, c) in zip(rows, [(1.0, 1.0, 0.0), (0.0, 2.0, 2.0), (3.0, -1.0, 0.5), (0, 0, 0)]):
         z = math.exp(a) + math.exp(b) + math.exp(c)
         assert abs(r["p0"] - math.exp(a) / z) < 1e-12 and abs(r["p0"] + r["p1"] + r["p2"] - 1) < 1e-12
+
+
+def test_change_rate_null_times_across_id_buckets(spark):
+    rows = [(i * 40000, "A", None if i % 3 else dt.datetime(2024, 1, 1, i % 24), 0.1, 0.1,
+             round((i * 7 % 100) / 100, 4)) for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    fast = as_map(ind.change_rate(df), ["stock_code", "year", "hour"], "change_rate")
+    slow = as_map(ind.change_rate_rows(df), ["stock_code", "year", "hour"], "change_rate")
+    assert fast.keys() == slow.keys()
+    for k in fast:
+        assert close(fast[k], slow[k]), k
