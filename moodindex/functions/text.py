@@ -140,9 +140,21 @@ def clean_words(c: Column | str) -> Column:
     return F.lower(F.regexp_replace(_c(c), COUNT_DROP_FAST_RE, ""))
 
 
+def sql_literal(value: str) -> str:
+    """A Spark SQL string literal (backslash and quote escaped)."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def has_url(c: Column | str) -> Column:
     """True when the raw text mentions a link (``URL_FLAG_RE`` as plain
     substring tests: no regex pass over the text)."""
+    if isinstance(c, str):  # one SQL expression: one round trip to build
+        return F.expr(" OR ".join(f"contains({_ident(c)}, {sql_literal(m)})"
+                                  for m in URL_MARKERS))
     col = _c(c)
     out = col.contains(URL_MARKERS[0])
     for m in URL_MARKERS[1:]:
@@ -185,10 +197,15 @@ def lexicon_hit_count(c: Column | str, words: Iterable[str]) -> Column:
     code; callers bound the lexicon size (see operators.lexicon).
     A null text counts 0 hits.
     """
-    col = F.coalesce(_c(c), F.lit(""))
     ws = _distinct(words)
     if not ws:
         return F.lit(0)
+    if isinstance(c, str):  # one SQL expression: one round trip to build
+        t = f"coalesce({_ident(c)}, '')"
+        return F.expr("CAST((" + " + ".join(
+            f"CASE WHEN contains({t}, {sql_literal(w)}) THEN 1 ELSE 0 END" for w in ws)
+            + ") AS INT)")
+    col = F.coalesce(_c(c), F.lit(""))
     terms = [F.when(col.contains(F.lit(w)), 1).otherwise(0) for w in ws]
     total = terms[0]
     for t in terms[1:]:

@@ -98,3 +98,14 @@ def test_word_counts_normalized_path_equal(spark):
     a = {r["word"]: r["count"] for r in text_stats.word_counts(df).collect()}
     b = {r["word"]: r["count"] for r in text_stats.word_counts(df, normalized=True).collect()}
     assert a == b and a["hello"] == 2
+
+
+def test_sql_built_lexicon_and_url_match_column_built(spark):
+    words = ["하락", "it's", "back\\slash", "a`b", "x"]
+    texts = ["하락 it's", "back\\slash", "a`b http://q", None, "nothing"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    a = df.select(T.lexicon_hit_count("t", words).alias("n"), T.has_url("t").alias("u")).collect()
+    b = df.select(T.lexicon_hit_count(F.col("t"), words).alias("n"),
+                  T.has_url(F.col("t")).alias("u")).collect()
+    assert a == b
+    assert [r["n"] for r in a] == [2, 1, 1, 0, 0]
