@@ -10,8 +10,8 @@ from pyspark.sql.types import StructType
 
 from moodindex import schemas
 
-# Entity from a file name such as ``apple_predict_bert.csv`` or
-# ``skhynix_daily_sentiment.csv``: everything before the first underscore.
+# Entity from a file name such as ``apple_scored.csv`` or
+# ``nvidia_daily.csv``: everything before the first underscore.
 ENTITY_FROM_FILE_RE = r"^([^_/.]+)_"
 
 # The four companies of the original job.

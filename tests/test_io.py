@@ -17,7 +17,7 @@ def tmpdir():
 
 def test_multiline_csv_and_bad_time(spark):
     d = tmpdir()
-    p = os.path.join(d, "apple_predict_bert.csv")
+    p = os.path.join(d, "apple_scored.csv")
     with open(p, "w", encoding="utf-8-sig") as f:
         f.write('comment_id,stock_code,text,time\n1,apple,"one\ntwo, x",2024-01-02 03:04:05\n'
                 '2,apple,plain,junk\n')
@@ -30,12 +30,12 @@ def test_multiline_csv_and_bad_time(spark):
 def test_entities_from_file_names(spark):
     d = tmpdir()
     for e in ("apple", "nvidia"):
-        with open(os.path.join(d, f"{e}_predict_bert.csv"), "w") as f:
+        with open(os.path.join(d, f"{e}_scored.csv"), "w") as f:
             f.write("comment_id,stock_code,text,time\n1,x,t,2024-01-01 00:00:00\n")
-    df = io.read_entities(spark, d, "_predict_bert.csv", schema=schemas.RAW_COMMENTS)
+    df = io.read_entities(spark, d, "_scored.csv", schema=schemas.RAW_COMMENTS)
     assert sorted(r["stock_code"] for r in df.collect()) == ["apple", "nvidia"]
     with pytest.raises(FileNotFoundError):
-        io.read_entities(spark, d, "_predict_bert.csv", on_missing="error")
+        io.read_entities(spark, d, "_scored.csv", on_missing="error")
     assert io.entity_filter(df, "apple", io.KNOWN_ENTITIES).count() == 1
     with pytest.raises(ValueError):
         io.entity_filter(df, "tesla", io.KNOWN_ENTITIES)
