@@ -68,13 +68,30 @@ def tfidf_scores(df: DataFrame, doc_id: str = "comment_id", text: str = "text_tf
     (ties by term).  Weight: ``tf * (ln((1 + n) / (1 + df)) + 1)``, each
     document's weights scaled to unit length over vocabulary terms, then
     summed per term.  ``n`` counts every document, with or without tokens.
+
+    One pass over the text.  Every document also emits one empty-string
+    sentinel token (real tokens have two or more characters), so the term
+    statistics from the single (doc, term) count shuffle also hold the
+    document count.  The top-k keeps the sentinel first plus the vocabulary
+    (``max_features + 1`` rows, a bounded set), and ``n`` is read from it by
+    a window over those rows.  The sentinel is marked by a flag column, not
+    by a condition on ``term``, which would be pushed into the shared
+    subtree and defeat exchange reuse.
     """
-    tf = term_frequencies(df, doc_id, text)
-    n_docs = df.select(F.count(F.lit(1))).scalar()
-    vocab = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tc"))
-             .orderBy(F.desc("tc"), F.asc("term")).limit(max_features)
-             .select("term", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df")))
-                              + F.lit(1.0)).alias("idf")))
+    toks = df.select(F.col(doc_id).alias("doc_id"), F.explode(F.concat(
+        F.array(F.lit("")), tokenize_words(F.coalesce(F.col(text), F.lit(""))))).alias("term"))
+    # Tokens are never null; saying so up front keeps this subtree identical
+    # wherever it is used (a join on ``term`` would otherwise infer the
+    # filter on one side only).
+    toks = toks.where(F.col("term").isNotNull())
+    tf = toks.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tc"),
+                                   F.max(F.col("term") == F.lit("")).alias("_doc"))
+    top = (stats.orderBy(F.desc("_doc"), F.desc("tc"), F.asc("term")).limit(max_features + 1)
+           .withColumn("_n", F.max(F.when(F.col("_doc"), F.col("df"))).over(Window.partitionBy())))
+    vocab = top.where(~F.col("_doc")).select(
+        "term", (F.log((F.lit(1.0) + F.col("_n")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0))
+        .alias("idf"))
     # The vocabulary has at most max_features rows: a bounded broadcast.
     x = tf.join(F.broadcast(vocab), "term").select(
         "doc_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
