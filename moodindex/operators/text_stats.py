@@ -8,7 +8,8 @@ Plan shape (checked with ``explain``):
 * TF-IDF: tokens are counted per (doc, term) once; that exchange is reused
   by the vocabulary statistics and by the scoring join.  The vocabulary
   is capped at ``max_features`` rows, so it is broadcast with a proven
-  bound; the document count is a scalar subquery, not a cross join.
+  bound; the document count rides along as a sentinel token, read from the
+  bounded top-k by a window (no second scan, no cross join).
 """
 
 from __future__ import annotations
