@@ -42,8 +42,9 @@ def topic_filter_join(df: DataFrame, lexicon: DataFrame, text: str = "text",
     before it is broadcast."""
     check_lexicon_size(lexicon, max_broadcast_words)
     lex = F.broadcast(lexicon.select(F.col("keyword").alias("_kw")))
-    cond = remove_space(F.col(text)).contains(F.col("_kw"))
-    return df.join(lex, cond, how)
+    # white space removed once per row, not once per (row, keyword) pair
+    base = df.withColumn("_ns", remove_space(F.col(text)))
+    return base.join(lex, F.col("_ns").contains(F.col("_kw")), how).drop("_ns")
 
 
 def preprocess(comments: DataFrame, topic_words: Sequence[str], text: str = "text",
