@@ -46,7 +46,7 @@ class Rule:
 RULES = (
     Rule("mean_word_length", "word_chars < 2 * n_words OR word_chars > 20 * n_words"),
     Rule("symbols", "n_symbols * 4 > n_words"),
-    Rule("dup_lines", "n_dup_lines * 10 > 3 * (length(text_) - length(replace(text_, '\n', '')) + 1)"),
+    Rule("dup_lines", "n_dup_lines > 1 AND n_dup_lines * 10 > 3 * (length(text_) - length(replace(text_, '\n', '')) + 1)"),
     Rule("digits", "4 * (length(text_) - length(translate(text_, '0123456789', ''))) > word_chars"),
     Rule("exclamations", "length(text_) - length(replace(text_, '!', '')) > n_words"),
     Rule("letters", "2 * length(regexp_replace(text_, '[^\\\\p{L}]+', '')) < word_chars"),

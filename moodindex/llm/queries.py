@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodindex.llm import bpe, exact_dedup, packing, quality_rules
+from moodindex.llm import bpe, chat, exact_dedup, packing, quality_rules
 from moodindex.llm.common import prepare, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -22,6 +22,14 @@ def _documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(*cols)
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                "conv_id long, turn long, role string, text string")
+    return chat.digest(chat.format_conversations(turns.unionByName(own)))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = bpe.bpe_encode(_documents(spark, sf_dir, "doc_id", "text"), RANKS, PATTERN)
     d = bpe.bpe_decode(d.drop("text"), RANKS, PATTERN)
@@ -48,7 +56,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "doc_tokens", "sequence_id", "offset")
 
 
-_QUERIES = {f.__name__: f for f in (op3_bpe, op4_exact_dedup, op9_quality_rules, op10_packing)}
+_QUERIES = {f.__name__: f for f in (op1_chat, op3_bpe, op4_exact_dedup, op9_quality_rules, op10_packing)}
 
 
 def _prepared(f):

@@ -11,4 +11,23 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id,
 FROM d
 """
 
-ORACLE = {"op4_exact_dedup": OP4}
+# formatted_chars: every turn's text and role with its marks, plus one backslash
+# for each backslash and control string in it.
+OP1 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+m AS (
+  SELECT *, len(regexp_extract_all(text, '\\|\[/?(SYS|INST|TURN)\]|\[:\]|</?s>')) AS t_esc,
+         len(regexp_extract_all(role, '\\|\[/?(SYS|INST|TURN)\]|\[:\]|</?s>')) AS r_esc
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+       CAST(sum(length(text) + t_esc + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 13 WHEN 'assistant' THEN 7
+                ELSE 16 + length(role) + r_esc END) AS BIGINT) AS formatted_chars
+FROM m GROUP BY conv_id
+"""
+
+ORACLE = {"op1_chat": OP1, "op4_exact_dedup": OP4}
