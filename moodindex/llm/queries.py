@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodindex.llm import bpe, chat, exact_dedup, packing, quality_rules
+from moodindex.llm import bpe, chat, exact_dedup, langid, packing, quality_rules, toxicity
 from moodindex.llm.common import prepare, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -22,6 +22,10 @@ def _documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(*cols)
 
 
+def _held_out():
+    return F.coalesce(langid.remainder("doc_id") == 2, F.lit(False)).alias("held_out")
+
+
 def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -44,6 +48,20 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumn("text_sha256", F.lower(F.hex("text_sha256")))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _documents(spark, sf_dir, "doc_id", "text")
+    grammar = toxicity.train(d, table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(d, grammar).select(
+        "doc_id", _held_out(), "score", "predicted", "clauses")
+
+
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _documents(spark, sf_dir, "doc_id", "text", "lang")
+    model = langid.train(d)
+    return langid.identify(d.select("doc_id", "text"), model).select(
+        "doc_id", _held_out(), "lang_pred", "score", "accepted")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = quality_rules.quality_rules(_documents(spark, sf_dir, "doc_id", "text"))
     return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -56,7 +74,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "doc_tokens", "sequence_id", "offset")
 
 
-_QUERIES = {f.__name__: f for f in (op1_chat, op3_bpe, op4_exact_dedup, op9_quality_rules, op10_packing)}
+_QUERIES = {f.__name__: f for f in (op1_chat, op3_bpe, op4_exact_dedup, op5_toxicity, op8_langid, op9_quality_rules, op10_packing)}
 
 
 def _prepared(f):
