@@ -62,11 +62,15 @@ REPORTS = ("said says say wrote writes called calls quoted claimed according sag
 QUOTES = '"“”«»„'
 
 I, T, G, N, R, Q, O = range(7)  # symbols
-SEED_WEIGHT, THREAT_WEIGHT = 4.0, 4.0
-TARGET_GAIN, NEGATION_LOSS, REPORT_LOSS = 1.5, 0.3, 0.4
+SEED_WEIGHT, THREAT_WEIGHT = 7.0, 7.0
+TARGET_GAIN, NEGATION_LOSS, REPORT_LOSS = 1.5, 0.1, 0.15
+# A clause of a lower score is no match: a denied or reported insult.
+MATCH = 2.0
+# Words added to a text's length before its density is taken, so that one hit in a short text says less.
+DENSITY_WORDS = 50
 NEGATION_WORDS = 3
 
-_CLAUSE = re.compile(r"[.!?;:\n|]+")
+_CLAUSE = re.compile(r"[.!?;\n|]+")
 _WORD = re.compile(rf"[^\W\d_]+(?:['’][^\W\d_]+)*|[{QUOTES}]")
 
 
@@ -127,7 +131,7 @@ class Grammar:
         for s in {s.rstrip("$") for s in self.stems} | set(THREATS):
             self.find.add_word(s, len(s))
         self.find.make_automaton()
-        self.curve = (-4.0, 1.5)
+        self.curve = (-5.0, 0.0, 4.0)
 
     def symbol(self, word: str) -> tuple[int, float]:
         x = self.words.get(word)
@@ -163,13 +167,20 @@ class Grammar:
             end = _CLAUSE.search(low, a)
             done = end.end() if end else len(low)
             s = self.clause(low[start:end.start() if end else len(low)])
-            score += s
-            matched += s > 0
+            if s >= MATCH:
+                score += s
+                matched += 1
         return score, matched
 
-    def score(self, text: str) -> float:
-        a, b = self.curve
-        return float(1 / (1 + np.exp(-(a + b * np.log1p(self.total(text)[0])))))
+    def features(self, text: str) -> tuple[float, float, int]:
+        """Log of the total, log of the total per 100 words, matched clauses."""
+        total, matched = self.total(text)
+        words = len(text.split()) if matched else 0
+        return float(np.log1p(total)), float(np.log1p(100 * total / (words + DENSITY_WORDS))), matched
+
+    def scores(self, features: np.ndarray) -> np.ndarray:
+        a, b, c = self.curve
+        return 1 / (1 + np.exp(-(a + b * features[:, 0] + c * features[:, 1])))
 
 
 def _labelled(docs, labels, id_col, text_col, rows):
@@ -227,16 +238,16 @@ def _learn(rows: DataFrame, stems: dict[str, float]) -> dict[str, float]:
     return out
 
 
-def _fit(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def _fit(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     """Logistic curve by Newton's method, with a small ridge."""
-    w = np.zeros(2)
-    f = np.column_stack([np.ones_like(x), x])
-    for _ in range(50):
+    f = np.column_stack([np.ones(len(x)), x])
+    w = np.zeros(f.shape[1])
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(f @ w, -30, 30)))
         g = f.T @ (y - p) - 1e-2 * w
-        h = (f * (p * (1 - p))[:, None]).T @ f + 1e-2 * np.eye(2)
-        w = w + np.clip(np.linalg.solve(h, g), -2, 2)
-    return float(w[0]), float(w[1])
+        h = (f * (p * (1 - p))[:, None]).T @ f + 1e-2 * np.eye(len(w))
+        w = w + np.clip(np.linalg.solve(h, g), -1, 1)
+    return tuple(map(float, w))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -255,12 +266,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def measure(batches):
         g = Grammar(shared.value)
         for b in batches:
-            yield pa.record_batch([pa.array([g.total(t)[0] for t in b.column(0).to_pylist()], pa.float64()),
-                                   b.column(1).cast(pa.int32())], names=["total", "toxic"])
+            x = [g.features(t) for t in b.column(0).to_pylist()]
+            yield pa.record_batch([pa.array([v[0] for v in x], pa.float64()),
+                                   pa.array([v[1] for v in x], pa.float64()),
+                                   b.column(1).cast(pa.int32())], names=["total", "density", "toxic"])
 
-    got = rows.mapInArrow(measure, "total double, toxic int").toPandas()  # bounded by the sample
+    got = rows.mapInArrow(measure, "total double, density double, toxic int").toPandas()  # bounded by the sample
     if got["toxic"].nunique() == 2:
-        grammar.curve = _fit(np.log1p(got["total"].to_numpy()), got["toxic"].to_numpy(float))
+        grammar.curve = _fit(got[["total", "density"]].to_numpy(), got["toxic"].to_numpy(float))
     return grammar
 
 
@@ -274,15 +287,14 @@ def score_toxicity(docs: DataFrame, grammar: Grammar, text_col: str = "text") ->
 
     @F.pandas_udf("score double, clauses int, predicted int")
     def score(texts: pd.Series) -> pd.DataFrame:
-        stems, (a, b) = shared.value
         g = _LOADED.get(id(shared.value))
         if g is None:
             _LOADED.clear()
-            g = _LOADED[id(shared.value)] = Grammar(stems)
-        got = [g.total(t) for t in texts.fillna("")]
-        z = a + b * np.log1p(np.array([x for x, _ in got], float))
-        p = 1 / (1 + np.exp(-z))
-        return pd.DataFrame({"score": p, "clauses": [n for _, n in got],
+            g = _LOADED[id(shared.value)] = Grammar(shared.value[0])
+            g.curve = shared.value[1]
+        x = np.array([g.features(t) for t in texts.fillna("")]).reshape(-1, 3)
+        p = g.scores(x)
+        return pd.DataFrame({"score": p, "clauses": x[:, 2].astype(int),
                              "predicted": (p >= THRESHOLD).astype(int)})
 
     s = fresh(docs, "_s")
