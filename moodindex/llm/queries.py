@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodindex.llm import bpe, chat, exact_dedup, langid, packing, quality, quality_rules, toxicity
+from moodindex.llm import bpe, chat, exact_dedup, jaccard, langid, packing, quality, quality_rules, toxicity
 from moodindex.llm.common import prepare, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -34,6 +34,10 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(turns.unionByName(own)))
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(_documents(spark, sf_dir, "doc_id", "text")).drop("node")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = bpe.bpe_encode(_documents(spark, sf_dir, "doc_id", "text"), RANKS, PATTERN)
     d = bpe.bpe_decode(d.drop("text"), RANKS, PATTERN)
@@ -79,7 +83,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "doc_tokens", "sequence_id", "offset")
 
 
-_QUERIES = {f.__name__: f for f in (op1_chat, op3_bpe, op4_exact_dedup, op5_toxicity, op6_quality, op8_langid, op9_quality_rules, op10_packing)}
+_QUERIES = {f.__name__: f for f in (op1_chat, op2_jaccard, op3_bpe, op4_exact_dedup, op5_toxicity, op6_quality, op8_langid, op9_quality_rules, op10_packing)}
 
 
 def _prepared(f):
