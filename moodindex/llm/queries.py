@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodindex.llm import bpe, chat, exact_dedup, jaccard, langid, packing, quality, quality_rules, toxicity
+from moodindex.llm import bpe, chat, exact_dedup, html, jaccard, langid, packing, quality, quality_rules, toxicity
 from moodindex.llm.common import prepare, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -64,6 +64,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(d, table(spark, sf_dir, "labels"))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = html.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return d.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _documents(spark, sf_dir, "doc_id", "text", "lang")
     model = langid.train(d)
@@ -83,7 +88,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "doc_tokens", "sequence_id", "offset")
 
 
-_QUERIES = {f.__name__: f for f in (op1_chat, op2_jaccard, op3_bpe, op4_exact_dedup, op5_toxicity, op6_quality, op8_langid, op9_quality_rules, op10_packing)}
+_QUERIES = {f.__name__: f for f in (op1_chat, op2_jaccard, op3_bpe, op4_exact_dedup, op5_toxicity, op6_quality, op7_html, op8_langid, op9_quality_rules, op10_packing)}
 
 
 def _prepared(f):
