@@ -489,7 +489,30 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, columns as they were: of each
-    component the document with the smallest id."""
-    found = jaccard_components(docs, id_col, text_col)
-    gone = found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias(fresh(docs, "_id"))).distinct()
-    return docs.join(gone, F.col(id_col) == gone[gone.columns[0]], "left_anti")
+    component one row, that with the smallest id (of several rows with that id, the least text's).  Rows
+    that a filter of the other ids rules out pass without a shuffle; rows with a null id stay."""
+    found = jaccard_components(docs, id_col, text_col).filter(f"`{id_col}` IS NOT NULL AND node IS NOT NULL")
+    ids = (found.groupBy(F.col(id_col).alias("id"))
+           .agg(F.count("*").alias("n"), F.min("component_id").alias("component_id"))
+           .filter("n > 1 OR component_id <> id").checkpoint())
+    name = F.unhex(F.md5(F.col("id").cast("string").cast("binary")))
+    table = docs.sparkSession.sparkContext.broadcast(_node_filter(ids.select(name.alias("node")), ids.count()))
+
+    @F.pandas_udf("boolean")
+    def maybe(names):
+        import pandas as pd
+        t = np.frombuffer(table.value, np.uint8)
+        cells = _bits_of(names.tolist(), len(t) * 8)
+        return pd.Series(((t[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1).all(axis=1))
+
+    m, box = fresh(docs, "_maybe"), fresh(docs, "_row")
+    key = F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")
+    flagged = docs.withColumn(m, maybe(F.unhex(F.md5(key))) & F.col(id_col).isNotNull())
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    hit = flagged.filter(F.col(m)).select(whole.alias(box), F.col(id_col).alias("_key"))
+    hit = hit.join(ids.select(F.col("id").alias("_key"), "component_id", F.lit(True).alias("known")), "_key", "left")
+    single = hit.filter("known IS NULL")
+    several = (hit.filter("known AND component_id = _key").groupBy("_key")
+               .agg(F.min_by(box, F.coalesce(F.col(f"{box}.{text_col}"), F.lit(""))).alias(box)))
+    return (flagged.filter(~F.col(m)).select(*docs.columns)
+            .unionByName(single.select(f"{box}.*")).unionByName(several.select(f"{box}.*")))
