@@ -31,7 +31,7 @@ from moodindex.llm.common import fresh
 SAMPLE_ROWS = 2000
 WINDOW = 5
 
-_TRIM = r"trim(BOTH ' \t\n\u000b\f\r' FROM {})"
+_TRIM = r"trim(BOTH ' \t\n\u000b\u000c\r' FROM {})"
 
 
 @dataclass(frozen=True)
