@@ -76,16 +76,20 @@ _SPACE = re.compile(r"\s+")
 
 
 def _label(tag: str, attrs: str) -> str:
-    """The element's name, with a mark if its attributes cut it."""
+    """The element's name, of containers with the letters of their first class, and a
+    mark if the attributes cut the element."""
     if not attrs:
         return tag
+    own = tag
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "role" and value in CUT_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return tag + "!"
         if name in ("class", "id") and not CUT_WORDS.isdisjoint(re.split(r"[^a-z]+", value)):
             return tag + "!"
-    return tag
+        if name == "class" and value and tag in ("div", "section"):
+            own = f"{tag}.{re.sub('[^a-z]', '', value.split()[0])}"
+    return own
 
 
 class Element:
@@ -448,7 +452,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         d = d.join(F.broadcast(w), on, "left")
     else:
         d = d.withColumn("_ds", F.pmod(F.monotonically_increasing_id(), F.lit(JOIN_SALTS)))
-        w = w.withColumn("_ws", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))).cast("long"))
+        w = w.withColumn("_ws", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(JOIN_SALTS - 1).cast("long"))))
         d = d.join(w, on & (F.col("_ds") == F.col("_ws")), "left")
 
     @F.pandas_udf("string")

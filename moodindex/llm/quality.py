@@ -176,7 +176,7 @@ def _with_prior(d: DataFrame, priors: DataFrame, names) -> DataFrame:
     if g.count() <= BROADCAST_GROUPS:
         return d.join(F.broadcast(g), on, "left").drop("_gh", "_gp")
     salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
-    g = g.withColumn("_gs", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    g = g.withColumn("_gs", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     return (d.withColumn("_ds", salt).join(g, on & (F.col("_ds") == F.col("_gs")), "left")
             .drop("_gh", "_gp", "_gs", "_ds"))
 
