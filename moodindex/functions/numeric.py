@@ -1,4 +1,4 @@
-"""Numeric column functions: softmax, arg-max, fixed-point means, NaN."""
+"""Numeric column functions: softmax, arg-max, finite values, NaN."""
 
 from __future__ import annotations
 
@@ -40,21 +40,11 @@ def argmax(values: Sequence[Column | str]) -> Column:
     return expr.cast("int")
 
 
-def scaled_int(c: Column | str, scale: int) -> Column:
-    """A value with at most ``scale`` decimals as an exact integer count of
-    ``10**-scale`` units (e.g. 0.1234 -> 1234 for scale 4)."""
-    return F.round(_c(c) * (10 ** scale)).cast("bigint")
-
-
-def fixed_point_mean(units_sum: Column, n: Column, out_scale_div: int = 1) -> Column:
-    """Half-up rounded mean of integer units: ``round(sum / n)`` exactly.
-
-    ``out_scale_div`` divides the units first (100 turns 1e-4 units into
-    1e-2 units).  Integer arithmetic only, so the decimal result is the
-    same in every engine and every summation order.
-    """
-    d = n * out_scale_div
-    return F.when(n > 0, F.floor((units_sum * 2 + d) / (d * 2)).cast("bigint"))
+def finite(c: Column | str) -> Column:
+    """A number as double; NaN, infinities and text that is no number are
+    null, so that one bad value neither fails nor swallows a mean."""
+    col = _c(c).try_cast("double")
+    return F.when(~F.isnan(col) & (F.abs(col) < F.lit(float("inf"))), col)
 
 
 def nan_to_null(c: Column | str) -> Column:

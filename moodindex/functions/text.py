@@ -190,65 +190,35 @@ def _distinct(words: Iterable[str]) -> list[str]:
     return list(seen)
 
 
+def _found(col: Column, words: list[str]) -> Column:
+    """The words that occur in ``col``.  The lexicon is one array literal: the
+    plan and its generated code stay the same size for any number of words."""
+    return F.filter(F.lit(words), lambda w: F.contains(col, w))
+
+
 def lexicon_hit_count(c: Column | str, words: Iterable[str]) -> Column:
     """Number of **distinct** lexicon words found inside the text.
-
-    Unrolled into a sum of ``contains`` so that it stays inside generated
-    code; callers bound the lexicon size (see operators.lexicon).
-    A null text counts 0 hits.
-    """
+    A null text counts 0 hits."""
     ws = _distinct(words)
     if not ws:
         return F.lit(0)
-    if isinstance(c, str):  # one SQL expression: one round trip to build
-        t = f"coalesce({_ident(c)}, '')"
-        return F.expr("CAST((" + " + ".join(
-            f"CASE WHEN contains({t}, {sql_literal(w)}) THEN 1 ELSE 0 END" for w in ws)
-            + ") AS INT)")
-    col = F.coalesce(_c(c), F.lit(""))
-    terms = [F.when(col.contains(F.lit(w)), 1).otherwise(0) for w in ws]
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return total.cast("int")
-
-
-# Lexicons up to this size are matched against white-space-free text by
-# one regex per keyword over the raw text; larger ones remove white space
-# once and use plain ``contains``.
-SPACED_REGEX_MAX_WORDS = 8
-
-
-def _spaced_pattern(word: str) -> str:
-    """Regex for ``word`` with any white space between its characters."""
-    lit = [ch if ch.isalnum() else f"\\x{{{ord(ch):X}}}" for ch in word]
-    return f"[{SPACE_CHARS}]*".join(lit)
+    return F.when(_c(c).isNull(), F.lit(0)).otherwise(F.size(_found(_c(c), ws))).cast("int")
 
 
 def contains_any_nospace(c: Column | str, words: Iterable[str]) -> Column:
     """True when any keyword occurs in the text once all its white space is
     removed (N11); keywords are not stripped, so one holding white space can
     never match.  Null text: false."""
-    col = F.coalesce(_c(c), F.lit(""))
     space = set(SPACE_STRING)
-    ws = [w for w in _distinct(words) if not (set(w) & space)]
-    if not ws:
-        return F.lit(False)
-    if len(ws) > SPACED_REGEX_MAX_WORDS:
-        return contains_any(remove_space(col), ws)
-    out = col.rlike(_spaced_pattern(ws[0]))
-    for w in ws[1:]:
-        out = out | col.rlike(_spaced_pattern(w))
-    return out
+    return contains_any(remove_space(_c(c)), [w for w in _distinct(words) if not (set(w) & space)])
 
 
 def contains_any(c: Column | str, words: Iterable[str]) -> Column:
     """True when any lexicon word occurs in the text (null text: false)."""
-    col = F.coalesce(_c(c), F.lit(""))
     ws = _distinct(words)
     if not ws:
         return F.lit(False)
-    out = col.contains(F.lit(ws[0]))
-    for w in ws[1:]:
-        out = out | col.contains(F.lit(w))
-    return out
+    # the text is bound once by the outer lambda, so that what computes it
+    # (white-space removal) runs once a row and not once a word
+    return F.exists(F.array(F.coalesce(_c(c), F.lit(""))),
+                    lambda t: F.exists(F.lit(ws), lambda w: F.contains(t, w)))

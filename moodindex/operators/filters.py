@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodindex.functions.text import (clean_bert, clean_tfidf, contains_any_nospace, has_url,
-                                      remove_space)
-from moodindex.operators.lexicon import INLINE_MAX_WORDS, check_lexicon_size
+from moodindex.functions.text import clean_bert, clean_tfidf, contains_any_nospace, has_url
+from moodindex.sources.io import lexicon_words
 
 KEEP_COLS = ("comment_id", "stock_code")
 
@@ -23,28 +22,17 @@ def url_filter(df: DataFrame, text: str = "text") -> DataFrame:
 def topic_filter(df: DataFrame, words: Sequence[str], text: str = "text",
                  how: str = "anti") -> DataFrame:
     """Drop (``how="anti"``) or keep only (``how="semi"``) rows whose text,
-    with all white space removed, contains any topic keyword (F2).
-
-    Inline form: the keywords become one OR of ``contains`` in generated
-    code; for lexicons above ``INLINE_MAX_WORDS`` use
-    :func:`topic_filter_join`.
-    """
-    if len(set(words)) > INLINE_MAX_WORDS:
-        raise ValueError("lexicon too large for the inline form; use topic_filter_join")
+    with all white space removed, contains any topic keyword (F2)."""
     hit = contains_any_nospace(text, words)
     return df.where(~hit) if how == "anti" else df.where(hit)
 
 
 def topic_filter_join(df: DataFrame, lexicon: DataFrame, text: str = "text",
-                      how: str = "left_anti", max_broadcast_words: int = 100_000) -> DataFrame:
-    """The join form of :func:`topic_filter` (J1): a broadcast nested-loop
-    semi / anti join on ``contains``.  The lexicon side is size-checked
-    before it is broadcast."""
-    check_lexicon_size(lexicon, max_broadcast_words)
-    lex = F.broadcast(lexicon.select(F.col("keyword").alias("_kw")))
-    # white space removed once per row, not once per (row, keyword) pair
-    base = df.withColumn("_ns", remove_space(F.col(text)))
-    return base.join(lex, F.col("_ns").contains(F.col("_kw")), how).drop("_ns")
+                      how: str = "left_anti") -> DataFrame:
+    """:func:`topic_filter` with the lexicon given as a ``keyword`` table
+    (J1); blank keywords are ignored.  The words go into the plan, so no
+    text is paired with a word."""
+    return topic_filter(df, lexicon_words(lexicon), text, "anti" if how == "left_anti" else "semi")
 
 
 def preprocess(comments: DataFrame, topic_words: Sequence[str], text: str = "text",
@@ -57,7 +45,7 @@ def preprocess(comments: DataFrame, topic_words: Sequence[str], text: str = "tex
     ``''`` is kept (F4, N7).  One lazy projection, no Python per row.
     """
     df = comments.where(F.col(text).isNotNull() & F.col(time).isNotNull())
-    # cheap substring test first: rows with a link skip the topic regex
+    # cheap substring test first: rows with a link skip the topic test
     df = df.where(~has_url(text) & ~contains_any_nospace(text, topic_words))
     return df.select(
         *keep,

@@ -1,14 +1,9 @@
 """Lexicon hits, weak labels and the label distribution.
 
-Three exact forms of "how many distinct lexicon words occur in each text":
-
-* ``inline``: a sum of ``contains`` in generated code; the lexicon (a few
-  hundred hand-made words) travels inside the plan.  No shuffle.
-* ``broadcast``: broadcast nested-loop join of texts x lexicon on
-  ``contains``, then a count per text.  The lexicon is size-checked.
-* ``ngram``: for lexicons too big to broadcast, every substring of each
-  keyword length is equi-joined to the lexicon (shuffle hash / sort-merge
-  join), so neither side has to fit in memory.
+"How many distinct lexicon words occur in each text" has one form for any
+lexicon: the words are one array literal in the plan and each text filters
+it by ``contains``.  Nothing shuffles, nothing is unrolled into generated
+code, and no pair of text and word ever becomes a row.
 """
 
 from __future__ import annotations
@@ -19,20 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodindex.functions.text import lexicon_hit_count
+from moodindex.sources.io import lexicon_words
 
 # Class ids of the weak label.
 FEAR, NEUTRAL, GREED = 0, 1, 2
-# Largest lexicon unrolled into one expression (keeps generated methods
-# under the JIT size limits).
-INLINE_MAX_WORDS = 512
-
-
-def check_lexicon_size(lexicon: DataFrame, max_words: int) -> int:
-    """Count a lexicon and refuse one above ``max_words`` (broadcast bound)."""
-    n = lexicon.limit(max_words + 1).count()
-    if n > max_words:
-        raise ValueError(f"lexicon has more than {max_words} words")
-    return n
 
 
 def lexicon_hits(df: DataFrame, fear_words: Sequence[str], greed_words: Sequence[str],
@@ -40,9 +25,6 @@ def lexicon_hits(df: DataFrame, fear_words: Sequence[str], greed_words: Sequence
     """Add ``fear_hits`` and ``greed_hits``: distinct keywords of each
     lexicon found in the text (plain substrings; nested keywords each count;
     a null text has no hits)."""
-    for words in (fear_words, greed_words):
-        if len(set(words)) > INLINE_MAX_WORDS:
-            raise ValueError("lexicon too large for the inline form; use lexicon_hits_join")
     return df.withColumns({
         "fear_hits": lexicon_hit_count(text, fear_words),
         "greed_hits": lexicon_hit_count(text, greed_words),
@@ -68,50 +50,7 @@ def label_distribution(labeled: DataFrame, label: str = "label") -> DataFrame:
     return labeled.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(label)
 
 
-def lexicon_hits_join(df: DataFrame, lexicon: DataFrame, id_col: str, text: str,
-                      out: str = "hits", strategy: str = "broadcast",
-                      max_broadcast_words: int = 100_000) -> DataFrame:
-    """Join form of the distinct-keyword count, for lexicons given as a
-    ``keyword`` table.  Returns ``df`` plus ``out`` (0 when nothing hits).
-
-    ``strategy="broadcast"`` needs a lexicon of at most
-    ``max_broadcast_words`` (checked); ``"ngram"`` has no size limit.
-    """
-    lex = lexicon.select(F.col("keyword").alias("_kw")).where(F.length("_kw") > 0).distinct()
-    docs = df.select(F.col(id_col).alias("_id"), F.col(text).alias("_t")).where(
-        F.col("_t").isNotNull())
-    if strategy == "broadcast":
-        check_lexicon_size(lex, max_broadcast_words)
-        pairs = docs.join(F.broadcast(lex), F.col("_t").contains(F.col("_kw")), "inner")
-        counts = pairs.groupBy("_id").agg(F.count(F.lit(1)).alias(out))
-    elif strategy == "ngram":
-        counts = _ngram_hits(docs, lex, out)
-    else:
-        raise ValueError("strategy must be 'broadcast' or 'ngram'")
-    joined = df.join(counts, df[id_col] == counts["_id"], "left").drop("_id")
-    return joined.withColumn(out, F.coalesce(F.col(out), F.lit(0)).cast("int"))
-
-
-def _ngram_hits(docs: DataFrame, lex: DataFrame, out: str) -> DataFrame:
-    """Distinct keyword hits by an equi-join on substrings of keyword length.
-
-    The set of keyword lengths is tiny (one entry per distinct length), so it
-    is the only thing brought to the driver.
-    """
-    lengths = sorted(r[0] for r in lex.select(F.length("_kw")).distinct().collect())
-    lex_l = lex.withColumn("_len", F.length("_kw"))
-    grams = []
-    def grams_of(n: int):
-        # one-argument lambda: a second parameter would receive the index
-        return lambda i: F.substring(F.col("_t"), i, F.lit(n))
-
-    for n in lengths:
-        span = F.length("_t") - F.lit(n) + 1
-        subs = F.transform(F.sequence(F.lit(1), span), grams_of(n))
-        grams.append(docs.where(F.length("_t") >= n).select(
-            "_id", F.lit(n).alias("_len"), F.explode(F.array_distinct(subs)).alias("_kw")))
-    g = grams[0]
-    for more in grams[1:]:
-        g = g.unionByName(more)
-    hits = g.join(lex_l, ["_len", "_kw"], "inner").select("_id", "_kw").distinct()
-    return hits.groupBy("_id").agg(F.count(F.lit(1)).alias(out))
+def lexicon_hits_join(df: DataFrame, lexicon: DataFrame, text: str, out: str = "hits") -> DataFrame:
+    """``df`` plus ``out``, the distinct words of a ``keyword`` table found
+    in the text (0 when nothing hits, blank keywords ignored)."""
+    return df.withColumn(out, lexicon_hit_count(text, lexicon_words(lexicon)))

@@ -1,26 +1,23 @@
-"""Three-class text classifier, scoring, evaluation, month clustering and
-batched user maps (M7–M11, P14–P16, U3).
+"""Three-class text classifier, scoring, evaluation and batched user maps
+(M7–M10, P14–P16, U3).
 
-The classifier is a Spark ML pipeline (tokeniser -> term counts -> IDF ->
-multinomial logistic regression), trained and applied where the data
+The classifier is a Spark ML pipeline (tokeniser -> hashed term counts ->
+IDF -> multinomial logistic regression), trained and applied where the data
 lives.  A heavier outside model plugs in through :func:`map_batches`
 (Arrow batches into pandas, one call per batch, never per row).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer
+from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
 
 from moodindex.functions.numeric import argmax
 from moodindex.functions.text import NON_SPACE_RUN_RE
@@ -28,22 +25,25 @@ from moodindex.functions.text import NON_SPACE_RUN_RE
 CLASS_NAMES = ("prob_fear", "prob_neutral", "prob_greed")
 
 
-def classifier_pipeline(text: str = "text_bert", label: str = "label",
-                        vocab_size: int = 1 << 15, min_df: float = 2.0,
-                        algo: str = "naive_bayes", max_iter: int = 30,
+# Term buckets: no vocabulary is collected and no term is dropped.
+BUCKETS = 1 << 18
+
+
+def classifier_pipeline(text: str = "text_bert", label: str = "label", buckets: int = BUCKETS,
+                        algo: str = "logistic", max_iter: int = 30,
                         reg: float = 0.01, smoothing: float = 1.0) -> Pipeline:
     """Re-aimed M7: the same inputs and outputs as the fine-tuned model
     (text -> three class probabilities), trained with Spark ML.
 
-    ``algo="naive_bayes"`` (default): multinomial Naive Bayes on term counts,
-    trained in one aggregation pass over the data.  ``"logistic"``:
-    TF-IDF + multinomial logistic regression, one pass per optimiser
-    iteration.
+    ``algo="logistic"`` (default): TF-IDF + multinomial logistic regression,
+    one pass per optimiser iteration.  ``"naive_bayes"``: multinomial Naive Bayes on
+    term counts, trained in one aggregation pass; its probabilities
+    saturate on long texts.
     """
     stages = [
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=NON_SPACE_RUN_RE,
                        gaps=False, toLowercase=True),
-        CountVectorizer(inputCol="_tokens", outputCol="_tf", vocabSize=vocab_size, minDF=min_df),
+        HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=buckets),
     ]
     common = dict(labelCol=label, probabilityCol="_prob", rawPredictionCol="_raw",
                   predictionCol="_pred")
@@ -63,14 +63,11 @@ def train(train_df: DataFrame, text: str = "text_bert", label: str = "label",
           **params) -> PipelineModel:
     """Fit the classifier on weakly labelled rows (M7).
 
-    The training rows are checkpointed to the cluster's checkpoint folder
-    first: every estimator stage makes its own pass, and the iterative
-    optimiser many, so the upstream plan (join, cleaning, labels, split)
-    runs once and survives executor loss.
+    Every estimator stage makes its own pass over ``train_df``: hand in rows
+    that were written or checkpointed once.
     """
     data = train_df.where(F.col(text).isNotNull()).select(
         F.col(text), F.col(label).cast("double").alias(label))
-    data = data.checkpoint(eager=True)
     return classifier_pipeline(text, label, **params).fit(data)
 
 
@@ -94,15 +91,30 @@ def score(model: PipelineModel, df: DataFrame, text: str = "text_bert",
 
 def evaluate(model: PipelineModel, valid_df: DataFrame, text: str = "text_bert",
              label: str = "label") -> DataFrame:
-    """Validation metrics (M8) as rows ``metric, value``."""
-    data = valid_df.where(F.col(text).isNotNull()).withColumn(label, F.col(label).cast("double"))
-    pred = model.transform(data)
-    rows = []
-    for metric in ("accuracy", "f1", "logLoss"):
-        ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="_pred",
-                                               probabilityCol="_prob", metricName=metric)
-        rows.append((metric, float(ev.evaluate(pred))))
-    return valid_df.sparkSession.createDataFrame(rows, "metric string, value double")
+    """Validation metrics (M8) as rows ``metric, value``: accuracy, weighted
+    F1 and log loss, from one pass over the scored rows."""
+    data = valid_df.where(F.col(text).isNotNull() & F.col(label).isNotNull())
+    return metrics(model.transform(data), label)
+
+
+def metrics(pred: DataFrame, label: str = "label") -> DataFrame:
+    """Metrics of rows with ``label``, ``_pred`` and ``_prob``: one aggregate
+    by label and prediction, summed up from its few rows."""
+    y, p = F.col(label).cast("int"), F.col("_pred").cast("int")
+    own = F.element_at(vector_to_array("_prob"), y + 1)
+    cells = pred.groupBy(y.alias("y"), p.alias("p")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(-F.log(F.greatest(own, F.lit(1e-15)))).alias("loss"))
+    by = cells.select(F.explode(F.array(
+        F.struct(F.col("y").alias("c"), F.col("n").alias("real"), F.lit(0).cast("long").alias("said"),
+                 F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0).alias("hit"), "loss"),
+        F.struct(F.col("p").alias("c"), F.lit(0).cast("long").alias("real"), F.col("n").alias("said"),
+                 F.lit(0).cast("long").alias("hit"), F.lit(0.0).alias("loss")))).alias("r")).select("r.*")
+    by = by.groupBy("c").agg(*[F.sum(x).alias(x) for x in ("real", "said", "hit", "loss")])
+    f1 = F.when(F.col("hit") > 0, 2 * F.col("hit") / (F.col("real") + F.col("said"))).otherwise(0.0)
+    total = by.agg((F.sum("hit") / F.sum("real")).alias("accuracy"),
+                   (F.sum(F.col("real") * f1) / F.sum("real")).alias("f1"),
+                   (F.sum("loss") / F.sum("real")).alias("logLoss"))
+    return total.selectExpr("stack(3, 'accuracy', accuracy, 'f1', f1, 'logLoss', logLoss) as (metric, value)")
 
 
 def save(model: PipelineModel, path: str) -> None:
@@ -113,72 +125,6 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-# ---------------------------------------------------------------------------
-# Month clustering (M11).  One entity's months are a small, bounded group
-# (one row per month), so each entity is clustered inside one task with
-# ``applyInPandas``; entities run in parallel.
-
-def _kmeans_once(x: np.ndarray, k: int, rng: np.random.Generator, iters: int = 300):
-    n = len(x)
-    centers = [x[rng.integers(n)]]
-    for _ in range(1, k):  # k-means++ seeding
-        d2 = np.min(((x[:, None, :] - np.array(centers)[None]) ** 2).sum(-1), axis=1)
-        total = d2.sum()
-        idx = rng.integers(n) if total == 0 else rng.choice(n, p=d2 / total)
-        centers.append(x[idx])
-    c = np.array(centers, dtype=float)
-    for _ in range(iters):
-        lab = np.argmin(((x[:, None, :] - c[None]) ** 2).sum(-1), axis=1)
-        new = np.array([x[lab == j].mean(0) if np.any(lab == j) else c[j] for j in range(k)])
-        if np.allclose(new, c):
-            break
-        c = new
-    lab = np.argmin(((x[:, None, :] - c[None]) ** 2).sum(-1), axis=1)
-    cost = float(((x - c[lab]) ** 2).sum())
-    return lab, c, cost
-
-
-def kmeans_labels(x: np.ndarray, k: int = 3, seed: int = 42, n_init: int = 10) -> np.ndarray:
-    """Best of ``n_init`` seeded k-means runs (lowest cost); clusters are
-    renumbered by their centre (lexicographic), so ids are stable."""
-    rng = np.random.default_rng(seed)
-    best = None
-    for _ in range(n_init):
-        lab, c, cost = _kmeans_once(x, k, rng)
-        if best is None or cost < best[2] - 1e-12:
-            best = (lab, c, cost)
-    lab, c, _ = best
-    order = np.lexsort(c.T[::-1])
-    remap = np.empty(k, dtype=int)
-    remap[order] = np.arange(k)
-    return remap[lab]
-
-
-def cluster_months(monthly: DataFrame, features: Sequence[str] = ("avg_score", "short_ma", "long_ma"),
-                   k: int = 3, seed: int = 42, key: str = "stock_code",
-                   order_col: str = "month") -> DataFrame:
-    """Cluster each entity's months on the numeric columns.
-
-    Months with a null feature get a null cluster (F7, J4); an entity with
-    fewer than ``k`` complete months gets null clusters throughout.
-    """
-    feats = list(features)
-    schema = monthly.select(key, order_col, *feats).schema.add("cluster", IntegerType())
-
-    def per_entity(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order_col).reset_index(drop=True)
-        ok = pdf[feats].notna().all(axis=1).to_numpy()
-        out = pd.Series([None] * len(pdf), dtype="object")
-        if ok.sum() >= k:
-            lab = kmeans_labels(pdf.loc[ok, feats].to_numpy(dtype=float), k, seed)
-            out[np.flatnonzero(ok)] = lab.astype(int)
-        pdf["cluster"] = pd.array(out.tolist(), dtype="Int32")
-        return pdf
-
-    return (monthly.select(key, order_col, *feats).groupBy(key)
-            .applyInPandas(per_entity, schema))
-
-
 # ---------------------------------------------------------------------------
 
 def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema,

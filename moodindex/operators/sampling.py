@@ -80,23 +80,30 @@ def sample_n(df: DataFrame, n: int, seed: int, id_col: str,
     Returns only the sampled rows.  (The original sampler raised when ``n``
     exceeded the rows; here the whole group is returned.)
     """
-    g = list(group_cols)
-    quotas = df.select(*g).distinct().withColumn("quota", F.lit(n).cast("bigint"))
-    return (select_lowest(df, g, id_col, seed, quotas, "_sel")
-            .where(F.col("_sel")).drop("_sel"))
+    # row_number() <= n is a group limit: every task keeps its n lowest a
+    # group before the shuffle, so a hot group moves n rows a task
+    w = Window.partitionBy(*group_cols).orderBy("_h", id_col)
+    return (df.withColumn("_h", seeded_hash(id_col, seed)).withColumn("_rn", F.row_number().over(w))
+            .where(F.col("_rn") <= n).drop("_h", "_rn"))
 
 
 def split_quotas(df: DataFrame, label: str, test_size: float = 0.2) -> DataFrame:
     """Test rows per label for a stratified split: ``k = ceil(test_size*N)``
     shared out by largest remainder (ties by label)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    return quotas_from_counts(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")), label, test_size)
+
+
+def quotas_from_counts(counts: DataFrame, label: str, test_size: float = 0.2) -> DataFrame:
+    """:func:`split_quotas` from ``label, _n``; products of counts are exact
+    decimals, so they hold at any number of rows."""
     w_all = Window.partitionBy()
+    whole = "decimal(38,0)"
     tot = F.sum("_n").over(w_all)
     k = F.ceil(F.lit(test_size) * tot).cast("bigint")
-    c = counts.select(label, "_n", tot.alias("_tot"), k.alias("_k"))
-    c = c.select(label, "_n", "_tot", "_k",
-                 F.floor(F.col("_n") * F.col("_k") / F.col("_tot")).cast("bigint").alias("_b"),
-                 F.pmod(F.col("_n") * F.col("_k"), F.col("_tot")).alias("_rem"))
+    c = counts.select(label, F.col("_n").cast("decimal(19,0)").alias("_n"),
+                      tot.cast("decimal(19,0)").alias("_tot"), k.cast("decimal(19,0)").alias("_k"))
+    c = c.withColumn("_p", (F.col("_n") * F.col("_k")).cast(whole)).select(
+        label, "_k", F.expr("_p div _tot").alias("_b"), F.expr("_p % _tot").alias("_rem"))
     extra_rank = F.row_number().over(Window.partitionBy().orderBy(F.desc("_rem"), F.asc(label)))
     extra = F.col("_k") - F.sum("_b").over(w_all)
     return c.select(label, (F.col("_b") + F.when(extra_rank <= extra, 1).otherwise(0))

@@ -101,12 +101,6 @@ def tfidf_scores(df: DataFrame, doc_id: str = "comment_id", text: str = "text_tf
             .groupBy("term").agg(F.sum("u").alias("score")))
 
 
-def top_terms(df: DataFrame, doc_id: str = "comment_id", text: str = "text_tfidf",
-              k: int = 30, max_features: int = 1000, score_round: Column | None = None) -> DataFrame:
-    s = tfidf_scores(df, doc_id, text, max_features)
-    return top_k(s, "score", "term", k)
-
-
 def token_windows(df: DataFrame, text: Column, id_cols: list[str], size: int = 128,
                   pad: str = PAD) -> DataFrame:
     """Fixed-length token windows over the **whole** text (M6).

@@ -8,7 +8,8 @@ per row.  Semantics of ``INSERT ... ON DUPLICATE KEY UPDATE`` (N13):
   its other columns and ``created_at``;
 * an unmatched update is inserted with ``created_at = run_ts``;
 * target rows without an update stay as they are;
-* several updates of one key in a batch: the last by ``order_col`` wins.
+* several updates of one key in a batch: the last by ``order_col`` wins;
+  without an order they are an error when the merge runs.
 """
 
 from __future__ import annotations
@@ -28,7 +29,9 @@ def latest_per_key(updates: DataFrame, keys: Sequence[str], measures: Sequence[s
     ``order_col`` wins.  ``max_by`` is a partial aggregate, so a key that
     repeats a billion times costs one row per task before the shuffle."""
     packed = F.struct(*[F.col(m) for m in measures])
-    g = updates.groupBy(*keys).agg(F.max_by(packed, F.col(order_col)).alias("_m"))
+    # ties of the order: the larger measures, so that the choice is one
+    order = F.struct(F.col(order_col), packed)
+    g = updates.groupBy(*keys).agg(F.max_by(packed, order).alias("_m"))
     return g.select(*keys, *[F.col("_m")[m].alias(m) for m in measures])
 
 
@@ -47,6 +50,8 @@ def upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[str],
                  *([order_col] if order_col else []))
     if order_col:
         u = latest_per_key(u, keys, measures, order_col)
+    else:
+        u = _unique(u, keys, measures)
     if target is None:
         return u.select(*keys, *measures, run_ts.alias("created_at"), run_ts.alias("updated_at"))
 
@@ -63,6 +68,15 @@ def upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[str],
     )
 
 
+def _unique(u: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """The rows as they are; a key that occurs twice raises an error."""
+    said = F.concat(F.lit("duplicate key in the batch: "), F.concat_ws(",", *[F.col(k).cast("string") for k in keys]))
+    g = u.groupBy(*keys).agg(F.first(F.struct(*measures)).alias("_m"), F.count(F.lit(1)).alias("_c"))
+    # the check is part of a measure, so it can't be pruned away
+    ok = F.when(F.col("_c") > 1, F.raise_error(said).cast(g.schema["_m"].dataType)).otherwise(F.col("_m"))
+    return g.select(*keys, ok.alias("_m")).select(*keys, *[F.col("_m")[m].alias(m) for m in measures])
+
+
 def _is_float(df: DataFrame, c: str) -> bool:
     return df.schema[c].dataType.typeName() in ("double", "float")
 
@@ -86,16 +100,32 @@ def publish_upsert(spark, table_path: str, updates: DataFrame, keys: Sequence[st
                    partition_by: Sequence[str] = ("stock_code",)) -> DataFrame:
     """Upsert into a parquet table folder and publish it (K4–K8, E5).
 
-    The merged result is checkpointed to the cluster's checkpoint folder
-    before it overwrites the table, so the write never reads the path it
-    replaces; only the entity partitions touched by ``updates`` are
-    rewritten.  Running the same batch twice gives the same table.
+    The target is first cut to the entity partitions that ``updates``
+    touches, so the others are neither read nor rewritten.  The merged result
+    is checkpointed to the cluster's checkpoint folder before it overwrites the table, so the
+    write never reads the path it replaces.  Running the same batch twice gives the same table.
     """
     target = spark.read.parquet(table_path) if path_exists(spark, table_path) else None
-    merged = upsert(target, updates, keys, measures, run_ts, order_col)
     if target is not None and partition_by:
         touched = updates.select(*partition_by).distinct()
-        merged = merged.join(touched, list(partition_by), "left_semi")
-    merged = merged.checkpoint(eager=True)
+        target = target.join(touched, list(partition_by), "left_semi")
+    merged = upsert(target, updates, keys, measures, run_ts, order_col).checkpoint(eager=True)
     write_table(merged, table_path, partition_by)
     return merged
+
+
+def publish_each(spark, table_path: str, updates: DataFrame, keys: Sequence[str], measures: Sequence[str],
+                 run_ts: Column, entities: Sequence[str], order_col: str | None = None,
+                 entity_col: str = "stock_code") -> dict[str, Exception | None]:
+    """Publish entity by entity (K8): each is written whole or not at all,
+    and one that fails leaves the others to go on.  Returns the error of
+    each entity, None where it was published."""
+    out: dict[str, Exception | None] = {}
+    for e in entities:
+        try:
+            publish_upsert(spark, table_path, updates.where(F.col(entity_col) == F.lit(e)), keys, measures,
+                           run_ts, order_col, (entity_col,))
+            out[e] = None
+        except Exception as err:  # noqa: BLE001  (reported to the caller, entity by entity)
+            out[e] = err
+    return out

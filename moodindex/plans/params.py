@@ -9,6 +9,13 @@ timestamps of the two upsert batches.
 FEAR_WORDS = ("oner", "anes", "hest", "haon", "dem", "error")
 GREED_WORDS = ("ontion", "ores", "atre", "atea", "ung", "gain")
 TOPIC_WORDS = ("token", "license")
+# Lexicons of a real size (214 and 136 words), from a rule: pairs of syllables.
+_FEAR_SYLLABLES = "on er an th re st nd ti in ed ou ha sh wh le".split()
+_GREED_SYLLABLES = "es ea or at it en ing ly he ion ble nt".split()
+FEAR_WORDS_LONG = tuple(dict.fromkeys(
+    FEAR_WORDS + tuple(a + b for a in _FEAR_SYLLABLES for b in _FEAR_SYLLABLES)))[:214]
+GREED_WORDS_LONG = tuple(dict.fromkeys(
+    GREED_WORDS + tuple(a + b for a in _GREED_SYLLABLES for b in _GREED_SYLLABLES)))[:136]
 
 # Seeds and sizes of the original jobs.
 SAMPLE_N = 1000
@@ -22,8 +29,6 @@ MA_SHORT = 7
 MA_LONG = 30
 TOKEN_WINDOW = 128
 PAD = "[PAD]"
-CLUSTERS = 3
-CLUSTER_SEED = 42
 
 # One entity for the entity filter.
 ENTITY = "src3"

@@ -19,13 +19,13 @@ def _q(s: str) -> str:
 
 
 def r8(x: str) -> str:
-    """Same rounding as the Spark side: round(x * 1e8) / 1e8."""
-    return f"(round(({x}) * 1e8) / 1e8)"
+    """Same grid as the Spark side."""
+    return f"(floor(({x}) * 1e8 + CAST(0.4142 AS DOUBLE)) / 1e8)"
 
 
 def r4(x: str) -> str:
     """Price-scale values (about 1e5) keep 4 decimals."""
-    return f"(round(({x}) * 1e4) / 1e4)"
+    return f"(floor(({x}) * 1e4 + CAST(0.4142 AS DOUBLE)) / 1e4)"
 
 
 def strip_markup(x: str) -> str:
@@ -87,11 +87,6 @@ scored AS (
 SCORE_UNITS = "CAST(round((prob_greed * 100) * 100) AS BIGINT)"
 
 
-def fixed_mean(units: str, scale: int) -> str:
-    return (f"CASE WHEN count({units}) > 0 THEN CAST(sum({units}) AS DOUBLE) / "
-            f"(count({units}) * CAST({scale} AS DOUBLE)) END")
-
-
 def prob_units(c: str) -> str:
     return f"CAST(round({c} * 10000) AS BIGINT)"
 
@@ -99,7 +94,7 @@ def prob_units(c: str) -> str:
 COMMENTS = """
 comments AS (
   SELECT d.doc_id AS comment_id, d.source AS stock_code, d.text AS text, e.ts AS time
-  FROM documents d JOIN events e ON d.doc_id = e.event_id)
+  FROM documents d LEFT JOIN events e ON d.doc_id = e.event_id)
 """
 
 
@@ -114,14 +109,18 @@ pre AS (
 """
 
 
-LABELED = f"""
+def labeled(fear=P.FEAR_WORDS, greed=P.GREED_WORDS) -> str:
+    return f"""
 labeled AS (
   SELECT *, CAST(CASE WHEN fh > gh THEN 0 WHEN gh > fh THEN 2 ELSE 1 END AS INTEGER) AS label
-  FROM (SELECT *, {hit_count('text_tfidf', P.FEAR_WORDS)} AS fh,
-               {hit_count('text_tfidf', P.GREED_WORDS)} AS gh FROM pre))
+  FROM (SELECT *, {hit_count('text_tfidf', fear)} AS fh,
+               {hit_count('text_tfidf', greed)} AS gh FROM pre))
 """
 
 
+LABELED = labeled()
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
 
@@ -129,28 +128,26 @@ def with_(*ctes: str) -> str:
 def daily_agg(where: str = "") -> str:
     return f"""
 SELECT stock_code, CAST(time AS DATE) AS date,
-       {fixed_mean(prob_units('prob_fear'), 10000)} AS fear_ratio,
-       {fixed_mean(prob_units('prob_neutral'), 10000)} AS neutral_ratio,
-       {fixed_mean(prob_units('prob_greed'), 10000)} AS greed_ratio
+       avg(prob_fear) AS fear_ratio,
+       avg(prob_neutral) AS neutral_ratio,
+       avg(prob_greed) AS greed_ratio
 FROM scored {where} GROUP BY 1, 2"""
 
 
 def hourly_agg(where: str = "") -> str:
     return f"""
 SELECT stock_code, CAST(year(time) AS INTEGER) AS year, CAST(hour(time) AS INTEGER) AS hour,
-       {fixed_mean(SCORE_UNITS, 100)} AS avg_score
+       avg(prob_greed * 100) AS avg_score
 FROM scored {where} GROUP BY 1, 2, 3"""
 
 
 def change_agg(order: str, where: str = "") -> str:
     order_by = "hour(time), time, comment_id" if order == "hour" else "time, comment_id"
     return f"""
-SELECT stock_code, year, hour,
-       CASE WHEN count(dv) > 0 THEN CAST(sum(dv) AS DOUBLE) / (count(dv) * CAST(100 AS DOUBLE)) END
-         AS change_rate
+SELECT stock_code, year, hour, avg(dv) AS change_rate
 FROM (SELECT stock_code, CAST(year(time) AS INTEGER) AS year, CAST(hour(time) AS INTEGER) AS hour,
-             {SCORE_UNITS} - lag({SCORE_UNITS}) OVER (PARTITION BY stock_code, year(time)
-                                                    ORDER BY {order_by}) AS dv
+             prob_greed * 100 - lag(prob_greed * 100) OVER (PARTITION BY stock_code, year(time)
+                                                            ORDER BY {order_by}) AS dv
       FROM scored {where})
 GROUP BY 1, 2, 3"""
 
@@ -159,7 +156,7 @@ def order_monthly(where: str = "") -> str:
     w = f"WHERE o_orderdate IS NOT NULL {('AND ' + where) if where else ''}"
     return f"""
 SELECT o_orderstatus AS stock_code, strftime(o_orderdate, '%Y-%m') AS month,
-       {fixed_mean('CAST(round(o_totalprice * 100) AS BIGINT)', 100)} AS avg_score
+       avg(o_totalprice) AS avg_score
 FROM orders {w} GROUP BY 1, 2"""
 
 
@@ -213,7 +210,7 @@ SELECT stock_code, date, {r8('fear_ratio')} AS fear_ratio, {r8('neutral_ratio')}
 SELECT stock_code, year, hour, {r8('avg_score')} AS avg_score FROM ({hourly_agg()})"""
     q["monthly_score"] = S + f"""
 SELECT stock_code, strftime(time, '%Y-%m') AS month,
-       {r8(fixed_mean(SCORE_UNITS, 100))} AS avg_score
+       {r8('avg(prob_greed * 100)')} AS avg_score
 FROM scored WHERE time IS NOT NULL GROUP BY 1, 2"""
     for order, key in (("hour", "change_rate_hourly"), ("arrival", "change_rate_arrival")):
         q[key] = S + f"""
@@ -241,7 +238,7 @@ SELECT stock_code, month, {r4('avg_score')} AS avg_score, {r4('short_ma')} AS sh
 FROM (SELECT *, short_ma - long_ma AS dd,
              lag(short_ma - long_ma) OVER (PARTITION BY stock_code ORDER BY month) AS pd FROM ma)"""
     q["typed_indicators"] = S + f"""
-SELECT stock_code, date, hour,
+SELECT stock_code, date, CAST(hour AS TINYINT) AS hour,
        CAST(CAST((2 * sf + nf) // (2 * nf) / CAST(10000 AS DOUBLE) AS DECIMAL(5,4)) AS DOUBLE)
          AS fear_ratio,
        CAST(CAST((2 * sn + nn) // (2 * nn) / CAST(10000 AS DOUBLE) AS DECIMAL(5,4)) AS DOUBLE)
@@ -255,8 +252,7 @@ FROM (SELECT stock_code, CAST(time AS DATE) AS date, CAST(hour(time) AS INTEGER)
              sum({prob_units('prob_fear')}) AS sf, count({prob_units('prob_fear')}) AS nf,
              sum({prob_units('prob_neutral')}) AS sn, count({prob_units('prob_neutral')}) AS nn,
              sum({prob_units('prob_greed')}) AS sg, count({prob_units('prob_greed')}) AS ng
-      FROM scored WHERE time IS NOT NULL GROUP BY 1, 2, 3)
-WHERE nf > 0 AND nn > 0 AND ng > 0"""
+      FROM scored WHERE time IS NOT NULL GROUP BY 1, 2, 3)"""
     q["typed_monthly"] = S + f"""
 SELECT stock_code, CAST(y AS SMALLINT) AS year, CAST(m AS TINYINT) AS month,
        CAST(CAST((2 * s + n) // (2 * n) / CAST(100 AS DOUBLE) AS DECIMAL(5,2)) AS DOUBLE)
@@ -264,8 +260,7 @@ SELECT stock_code, CAST(y AS SMALLINT) AS year, CAST(m AS TINYINT) AS month,
        TIMESTAMP '{P.RUN1}' AS created_at
 FROM (SELECT stock_code, year(time) AS y, month(time) AS m, sum({SCORE_UNITS}) AS s,
              count({SCORE_UNITS}) AS n
-      FROM scored WHERE time IS NOT NULL GROUP BY 1, 2, 3)
-WHERE n > 0"""
+      FROM scored WHERE time IS NOT NULL GROUP BY 1, 2, 3)"""
     q["constraint_check"] = S + """
 SELECT * FROM (
   SELECT 'duplicate_key' AS kind, 'stock_code,date,hour' AS "column", count(*) AS n
@@ -316,6 +311,8 @@ UNION ALL SELECT 'off_topic', count(*) FROM comments
 UNION ALL SELECT 'filtered', count(*) FROM pre"""
     q["lexicon_hits"] = LAB + "SELECT comment_id, fh AS fear_hits, gh AS greed_hits FROM labeled"
     q["weak_label"] = LAB + "SELECT comment_id, stock_code, label FROM labeled"
+    q["weak_label_files"] = with_(COMMENTS, preprocessed(), labeled(P.FEAR_WORDS_LONG, P.GREED_WORDS_LONG)) + """
+SELECT comment_id, fh AS fear_hits, gh AS greed_hits, label FROM labeled"""
     q["label_distribution"] = LAB + "SELECT label, count(*) AS n FROM labeled GROUP BY 1 ORDER BY 1"
     q["sample_n"] = S + f"""
 SELECT comment_id, stock_code FROM (

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (DateType, DecimalType, DoubleType, IntegerType, LongType,
-                               StringType, StructField, StructType, TimestampType)
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 RAW_COMMENTS = StructType([
     StructField("comment_id", LongType()),
@@ -12,16 +11,6 @@ RAW_COMMENTS = StructType([
     StructField("time", StringType()),
 ])
 
-PREDICTIONS = StructType([
-    StructField("comment_id", LongType()),
-    StructField("stock_code", StringType()),
-    StructField("time", StringType()),
-    StructField("prob_fear", DoubleType()),
-    StructField("prob_neutral", DoubleType()),
-    StructField("prob_greed", DoubleType()),
-    StructField("pred_label", IntegerType()),
-])
-
 # Published tables: key columns, measure columns.
 DAILY_KEYS = ("stock_code", "date")
 DAILY_MEASURES = ("fear_ratio", "neutral_ratio", "greed_ratio")
@@ -32,27 +21,11 @@ MONTHLY_MEASURES = ("avg_score",)
 CHANGE_KEYS = ("stock_code", "year", "hour")
 CHANGE_MEASURES = ("change_rate",)
 
-# The DDL's indicator table, one row per (stock_code, date, hour).
-SENTIMENT_INDICATORS = StructType([
-    StructField("stock_code", StringType(), False),
-    StructField("date", DateType(), False),
-    StructField("hour", IntegerType(), False),
-    StructField("fear_ratio", DecimalType(5, 4), False),
-    StructField("neutral_ratio", DecimalType(5, 4), False),
-    StructField("greed_ratio", DecimalType(5, 4), False),
-    StructField("fear_greed_index", DecimalType(5, 2), False),
-    StructField("created_at", TimestampType(), True),
-])
-SENTIMENT_INDICATORS_KEYS = ("stock_code", "date", "hour")
-
-MONTHLY_FEARGREED = StructType([
-    StructField("stock_code", StringType(), False),
-    StructField("year", IntegerType(), False),
-    StructField("month", IntegerType(), False),
-    StructField("avg_fear_greed", DecimalType(5, 2), False),
-    StructField("created_at", TimestampType(), True),
-])
-MONTHLY_FEARGREED_KEYS = ("stock_code", "year", "month")
+# The DDL's tables: keys and measures, all NOT NULL.
+TYPED_KEYS = ("stock_code", "date", "hour")
+TYPED_MEASURES = ("fear_ratio", "neutral_ratio", "greed_ratio", "fear_greed_index")
+TYPED_MONTHLY_KEYS = ("stock_code", "year", "month")
+TYPED_MONTHLY_MEASURES = ("avg_fear_greed",)
 
 # DDL length of the entity code.
 STOCK_CODE_MAX_LEN = 10

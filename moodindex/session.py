@@ -64,11 +64,12 @@ def cluster_conf(total_input_bytes: int, cores: int) -> dict[str, str]:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, creating a scratch one only
-    when the cluster named none (local runs and tests).
+    """Return the reliable checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage; it is
-    read, never overridden.
+    On a cluster ``spark.checkpoint.dir`` names shared storage; it is read,
+    never overridden, and a cluster without it is an error: a folder of one
+    machine would lose what other executors write.  Only a local master
+    (tests) gets a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -77,6 +78,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="moodindex-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -87,3 +90,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint location for derived tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "tables", name)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system holds it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

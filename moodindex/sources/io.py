@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from moodindex import schemas
+from moodindex.functions.text import SPACE_CHARS
 
 # Entity from a file name such as ``apple_scored.csv`` or
 # ``nvidia_daily.csv``: everything before the first underscore.
@@ -18,43 +18,44 @@ ENTITY_FROM_FILE_RE = r"^([^_/.]+)_"
 KNOWN_ENTITIES = ("samsung", "apple", "nvidia", "skhynix")
 
 
+# Quoting of the comment files: doubled quotes inside quoted fields.
+CSV_OPTIONS = {"header": "true", "escape": '"', "encoding": "UTF-8", "mode": "PERMISSIVE"}
+
+
 def read_csv(spark: SparkSession, paths: str | Sequence[str],
-             schema: StructType | None = None) -> DataFrame:
+             schema: StructType | None = None, multi_line: bool = True) -> DataFrame:
     """CSV scan with header, UTF-8, quoted multi-line fields.
 
+    A quoted line break makes a file unsplittable, so with ``multi_line``
+    each file is one task: write many files of 128-256 MB.  Files without
+    line breaks inside fields split at any size with ``multi_line=False``.
     A UTF-8 byte-order mark at the start of a file is dropped by the reader.
     Pass a schema in production; without one, columns are strings (no
     ``inferSchema`` pass over the data).
     """
-    reader = (spark.read.option("header", True).option("multiLine", True)
-              .option("escape", '"').option("encoding", "UTF-8")
-              .option("mode", "PERMISSIVE"))
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(list(paths) if not isinstance(paths, str) else paths)
 
 
 def read_lexicon(spark: SparkSession, path: str, distinct: bool = False) -> DataFrame:
-    """One keyword per line: trimmed, blank lines dropped, optional de-dup.
+    """One keyword per line: stripped of white space of any kind, blank
+    lines dropped, optional de-dup.
 
     Returns ``keyword string``; a leading byte-order mark is stripped.
     """
+    ends = f"^[{SPACE_CHARS}]+|[{SPACE_CHARS}]+$"
     df = spark.read.text(path).select(
-        F.trim(F.regexp_replace("value", "^﻿", "")).alias("keyword"))
+        F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), ends, "").alias("keyword"))
     df = df.where(F.length("keyword") > 0)
     return df.distinct() if distinct else df
 
 
-def lexicon_words(lexicon: DataFrame, max_words: int = 100_000) -> list[str]:
-    """Bring a lexicon to the driver after checking its size.
-
-    Lexicons are small hand-made word lists; anything beyond ``max_words``
-    is refused rather than silently pulled into driver memory.
-    """
-    head = lexicon.select("keyword").limit(max_words + 1).collect()
-    if len(head) > max_words:
-        raise ValueError(f"lexicon has more than {max_words} words; use the join form")
-    return [r["keyword"] for r in head]
+def lexicon_words(lexicon: DataFrame) -> list[str]:
+    """A lexicon's words on the driver: hand-made lists that travel inside
+    the plan as one array, whatever their number."""
+    return [r["keyword"] for r in lexicon.select("keyword").collect() if r["keyword"]]
 
 
 def read_entities(spark: SparkSession, base_dir: str, suffix: str,
@@ -110,16 +111,18 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("stock_
     """Publish per entity: only the entity partitions present in ``df`` are
     replaced (dynamic partition overwrite), so one entity is published whole
     or not at all and the others stay as they were (K8)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        w = df.write.mode("overwrite").format(fmt)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.save(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    w = df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)
+
+
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("stock_code",),
+                  fmt: str = "parquet") -> None:
+    """Write a table that holds exactly ``df``: an entity without rows any
+    more has no partition any more."""
+    w = df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "static")
+    (w.partitionBy(*partition_by) if partition_by else w).save(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -127,6 +130,3 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
 
-
-def comments_schema() -> StructType:
-    return schemas.RAW_COMMENTS

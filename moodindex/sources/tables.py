@@ -17,58 +17,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moodindex.functions.numeric import argmax, softmax
 
 
-# Inputs below this size may be stored as a single parquet row group (one
-# scan task); they are spread round-robin over the cores.  Large inputs are
-# read as they are: their row groups already give one task each.
-SMALL_INPUT_BYTES = 256 << 20
-# Partitions per core when spreading (long and short texts even out).
-SPREAD_MULT = 1
-
-
-def _input_bytes(df: DataFrame) -> int:
-    """Size of a scan from the file index Spark built when the relation was
-    created: no second listing of a possibly huge folder."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-# Tables whose rows carry long text: per-row work is heavy enough that a
-# single-task scan of a small file is worth spreading over the cores.
-TEXT_TABLES = frozenset({"documents", "pages", "conversations"})
-
-# The test tables are immutable: each is listed and its footer read once per
-# session, like a catalog relation, instead of on every query.
-_READ_CACHE: dict[str, tuple[SparkSession, str, DataFrame]] = {}
-
-
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    hit = _READ_CACHE.get(path)
-    app = spark.sparkContext.applicationId
-    if hit is not None and hit[0] is spark and hit[1] == app:
-        return hit[2]
-    df = spark.read.parquet(path)
-    _READ_CACHE[path] = (spark, app, df)
-    return df
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
-    """One test table.  ``spread`` (default: text tables only) spreads a
-    small input round-robin over the cores; large inputs never are."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = _read(spark, path)
-    if spread is None:
-        spread = name in TEXT_TABLES
-    if spread and _input_bytes(df) <= SMALL_INPUT_BYTES:
-        df = df.repartition(spark.sparkContext.defaultParallelism * SPREAD_MULT)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One table, listed anew on every call; Spark's split settings
+    (``spark.sql.files.maxPartitionBytes``) decide the scan tasks."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``comment_id, stock_code, text, time`` — every text with its time."""
+    """``comment_id, stock_code, text, time`` — every text, with its time
+    where an event gives one (the preprocess step drops the others)."""
     d = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     e = table(spark, sf_dir, "events").select("event_id", "ts")
-    return (d.join(e, d["doc_id"] == e["event_id"], "inner")
+    return (d.join(e, d["doc_id"] == e["event_id"], "left")
             .select(F.col("doc_id").alias("comment_id"), F.col("source").alias("stock_code"),
                     "text", F.col("ts").alias("time")))
 
@@ -81,22 +44,17 @@ def scored_events(spark: SparkSession, sf_dir: str, decimals: int = 4) -> DataFr
     """``comment_id, stock_code, time, prob_fear, prob_neutral, prob_greed,
     pred_label`` — probabilities rounded to ``decimals`` like the scorer's
     output; the label is the arg-max of the unrounded values (first on
-    ties).  Same arithmetic as :func:`moodindex.functions.numeric.softmax`,
-    written as one SQL projection."""
-    lf, ln, lg = EVENT_LOGITS
-    e = table(spark, sf_dir, "events").selectExpr(
-        "event_id", "event_type", "ts", f"{lf} AS _lf", f"{ln} AS _ln", f"{lg} AS _lg")
-    e = e.selectExpr("*", "greatest(_lf, _ln, _lg) AS _m").selectExpr(
-        "event_id", "event_type", "ts",
-        "exp(_lf - _m) AS _ef", "exp(_ln - _m) AS _en", "exp(_lg - _m) AS _eg")
-    e = e.selectExpr("event_id", "event_type", "ts", "_ef / (_ef + _en + _eg) AS _pf",
-                     "_en / (_ef + _en + _eg) AS _pn", "_eg / (_ef + _en + _eg) AS _pg")
-    return e.selectExpr(
-        "event_id AS comment_id", "event_type AS stock_code", "ts AS time",
-        f"round(_pf, {decimals}) AS prob_fear", f"round(_pn, {decimals}) AS prob_neutral",
-        f"round(_pg, {decimals}) AS prob_greed",
-        "CAST(CASE WHEN _pf >= _pn AND _pf >= _pg THEN 0 WHEN _pn >= _pg THEN 1 ELSE 2 END AS INT)"
-        " AS pred_label")
+    ties)."""
+    e = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("comment_id"), F.col("event_type").alias("stock_code"),
+        F.col("ts").alias("time"), *[F.expr(x).alias(f"_l{i}") for i, x in enumerate(EVENT_LOGITS)])
+    p = ("_p0", "_p1", "_p2")
+    e = e.select("comment_id", "stock_code", "time",
+                 *[c.alias(n) for c, n in zip(softmax(["_l0", "_l1", "_l2"]), p)])
+    return e.select("comment_id", "stock_code", "time",
+                    F.round("_p0", decimals).alias("prob_fear"),
+                    F.round("_p1", decimals).alias("prob_neutral"),
+                    F.round("_p2", decimals).alias("prob_greed"), argmax(p).alias("pred_label"))
 
 
 def order_series(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,15 +1,11 @@
 """Incremental daily ratios with Structured Streaming (E2 + E5).
 
 New scored files land in a folder; each run (``availableNow`` trigger, or a
-fixed interval) reads only the files it has not seen, and Spark's state
-store keeps running integer sums per (entity, day).  In ``update`` mode a
-micro-batch emits the *complete* running values of the days it touched, and
-``foreachBatch`` upserts them into the daily table.  Because the upsert
-replaces measures, replaying a micro-batch after a failure writes the same
-rows again: the table never double-counts.
-
-The watermark bounds state: a day's sums are dropped once event time has
-moved ``late`` past the end of that day; later rows for it are ignored.
+fixed interval) reads only the files it has not seen.  They say which
+(entity, day) pairs are touched; ``foreachBatch`` computes those days anew
+from the whole source and upserts them.  So the table equals the batch job's
+however late a row arrives, and replaying a micro-batch after a failure writes
+the same rows again.  No state is kept between runs.
 """
 
 from __future__ import annotations
@@ -20,45 +16,32 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from moodindex import schemas
-from moodindex.functions.numeric import scaled_int
-from moodindex.operators.indicators import PROB_COLS, PROB_DECIMALS
+from moodindex.functions.time import with_time_parts
+from moodindex.operators.indicators import daily_sentiment
 from moodindex.operators.upsert import publish_upsert
-
-
-def daily_totals(stream: DataFrame, late: str = "2 days", time_col: str = "time") -> DataFrame:
-    """Running per-(entity, day) integer sums and counts of a scored stream."""
-    s = stream.withColumn("_t", F.col(time_col).cast("timestamp")).withWatermark("_t", late)
-    aggs = []
-    for c in PROB_COLS:
-        u = scaled_int(c, PROB_DECIMALS)
-        aggs += [F.sum(u).alias(f"s_{c}"), F.count(u).alias(f"n_{c}")]
-    return s.groupBy("stock_code", F.window("_t", "1 day").alias("day")).agg(*aggs)
-
-
-def ratios_from_totals(totals: DataFrame) -> DataFrame:
-    scale = float(10 ** PROB_DECIMALS)
-    cols = [F.when(F.col(f"n_{c}") > 0, F.col(f"s_{c}").cast("double") / (F.col(f"n_{c}") * scale))
-            .alias(m) for c, m in zip(PROB_COLS, schemas.DAILY_MEASURES)]
-    return totals.select("stock_code", F.to_date(F.col("day.start")).alias("date"), *cols)
+from moodindex.sources.io import CSV_OPTIONS
 
 
 def start_daily_stream(spark: SparkSession, source_dir: str, schema: StructType,
                        table_path: str, checkpoint_dir: str, fmt: str = "parquet",
-                       late: str = "2 days", available_now: bool = True) -> StreamingQuery:
+                       available_now: bool = True) -> StreamingQuery:
     """Start the incremental daily job; returns the running query."""
-    reader = spark.readStream.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("multiLine", True)
-    stream = reader.format(fmt).load(source_dir)
-    totals = daily_totals(stream, late)
+    options = {**CSV_OPTIONS, "multiLine": "true"} if fmt == "csv" else {}
+    stream = spark.readStream.schema(schema).options(**options).format(fmt).load(source_dir)
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        publish_upsert(spark, table_path, ratios_from_totals(batch), schemas.DAILY_KEYS,
-                       schemas.DAILY_MEASURES, F.current_timestamp())
-
-    w = (totals.writeStream.outputMode("update").foreachBatch(publish)
-         .option("checkpointLocation", checkpoint_dir))
+        # a null entity or day has no row in the table: its key would be null
+        touched = (with_time_parts(batch).select("stock_code", "date").distinct().dropna().persist())
+        try:
+            if touched.isEmpty():
+                return
+            source = spark.read.schema(schema).options(**options).format(fmt).load(source_dir)
+            rows = with_time_parts(source).join(touched, ["stock_code", "date"], "left_semi")
+            publish_upsert(spark, table_path, daily_sentiment(rows.select(source.columns)),
+                           schemas.DAILY_KEYS, schemas.DAILY_MEASURES, F.current_timestamp())
+        finally:
+            touched.unpersist()
+
+    w = stream.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

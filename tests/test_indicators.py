@@ -147,3 +147,38 @@ def test_change_rate_null_times_across_id_buckets(spark):
     assert fast.keys() == slow.keys()
     for k in fast:
         assert close(fast[k], slow[k]), k
+
+
+def test_bad_numbers_count_as_null(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, "A", dt.datetime(2024, 1, 1, 1), nan, 0.5, 0.000004), (2, "A", dt.datetime(2024, 1, 1, 1, 5), inf, 0.25, nan),
+            (3, "A", dt.datetime(2024, 1, 1, 1, 6), 0.000001, -inf, 0.000008), (4, "A", dt.datetime(2024, 1, 1, 2), 0.1, None, 0.5)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    d = ind.daily_sentiment(df).first()
+    assert abs(d["fear_ratio"] - 0.100001 / 2) < 1e-15 and d["neutral_ratio"] == 0.375
+    assert abs(d["greed_ratio"] - 0.500012 / 3) < 1e-15
+    h = {r["hour"]: r["avg_score"] for r in ind.hourly_score(df).collect()}
+    assert abs(h[1] - 0.0006) < 1e-12 and h[2] == 50
+    for order in ("hour", "arrival"):
+        c = as_map(ind.change_rate(df, order), ["stock_code", "year", "hour"], "change_rate")
+        w = as_map(ind.change_rate_rows(df, order), ["stock_code", "year", "hour"], "change_rate")
+        assert c.keys() == w.keys() and all(close(c[k], w[k]) for k in c)
+    assert ind.typed_indicators(df).count() == 2 and ind.typed_monthly(df).count() == 1
+    text = df.selectExpr("comment_id", "stock_code", "time", "'oops' AS prob_fear", "'0.5' AS prob_neutral", "'x' AS prob_greed")
+    d = ind.daily_sentiment(text).first()
+    assert (d["fear_ratio"], d["neutral_ratio"], d["greed_ratio"]) == (None, 0.5, None)
+
+
+def test_typed_rows_that_the_table_rejects_are_reported(spark):
+    from moodindex import schemas
+    rows = [(1, "A", dt.datetime(2024, 1, 1, 1), None, 0.5, 0.5), (2, "LONGER_THAN_TEN", dt.datetime(2024, 1, 1, 1), 0.2, 0.3, 0.5)]
+    t = ind.typed_indicators(spark.createDataFrame(rows, SCHEMA))
+    assert dict(t.dtypes)["hour"] == "tinyint" and dict(t.dtypes)["fear_ratio"] == "decimal(5,4)"
+    bad = {(r["kind"], r["column"]): r["n"] for r in ind.typed_violations(t, schemas.TYPED_KEYS, schemas.TYPED_MEASURES).collect()}
+    assert bad == {("null", "fear_ratio"): 1, ("too_long", "stock_code"): 1}
+
+
+def test_monthly_rows_are_sorted(spark):
+    rows = [(i, "BA"[i % 2], dt.datetime(2024, 1 + i * 5 % 12, 1), 0.1, 0.1, 0.5) for i in range(24)]
+    m = [(r["stock_code"], r["month"]) for r in ind.monthly_series(ind.monthly_score(spark.createDataFrame(rows, SCHEMA))).collect()]
+    assert m == sorted(m) and len(m) == 12

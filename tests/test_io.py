@@ -49,8 +49,6 @@ def test_lexicon_load(spark):
     lex = io.read_lexicon(spark, p)
     assert [r["keyword"] for r in lex.collect()] == ["하락", "공포", "하락", "존버"]
     assert sorted(io.lexicon_words(io.read_lexicon(spark, p, distinct=True))) == ["공포", "존버", "하락"]
-    with pytest.raises(ValueError):
-        io.lexicon_words(lex, max_words=2)
 
 
 def test_csv_sink_roundtrip(spark):

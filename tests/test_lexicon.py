@@ -1,4 +1,7 @@
-"""Lexicon hits and weak labels (N10), and the three exact join forms."""
+"""Lexicon hits and weak labels (N10), from lists, tables and files of any size."""
+
+import os
+import tempfile
 
 from pyspark.sql import functions as F
 
@@ -25,16 +28,49 @@ def test_duplicate_keywords_count_once(spark):
     assert r["fear_hits"] == 1 and r["greed_hits"] == 0
 
 
-def test_join_forms_equal_inline(spark):
+def test_table_form_equals_list_form(spark):
     texts = ["하락장 공포", "상승", "", None, "존버 하락 하락장", "xx공포xx"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
     lex = spark.createDataFrame([(w,) for w in FEAR + ["", "하락"]], "keyword string")
-    inline = {r["id"]: r["fear_hits"] for r in
-              lexicon.lexicon_hits(df, FEAR, [], text="text").collect()}
-    for strategy in ("broadcast", "ngram"):
-        got = {r["id"]: r["hits"] for r in
-               lexicon.lexicon_hits_join(df, lex, "id", "text", strategy=strategy).collect()}
-        assert got == inline, strategy
+    listed = {r["id"]: r["fear_hits"] for r in lexicon.lexicon_hits(df, FEAR, [], text="text").collect()}
+    got = {r["id"]: r["hits"] for r in lexicon.lexicon_hits_join(df, lex, "text").collect()}
+    assert got == listed == {0: 3, 1: 0, 2: 0, 3: 0, 4: 3, 5: 1}
+    assert {r["hits"] for r in lexicon.lexicon_hits_join(df, lex.limit(0), "text").collect()} == {0}
+
+
+def test_lexicon_of_thousands_of_words(spark):
+    words = [f"w{i:05d}" for i in range(20_000)]
+    df = spark.createDataFrame([(1, "w00001 w19999 w2"), (2, None), (3, "x")], "id long, text string")
+    got = {r["id"]: r["fear_hits"] for r in lexicon.lexicon_hits(df, words, [], text="text").collect()}
+    assert got == {1: 2, 2: 0, 3: 0}
+
+
+def test_files_are_stripped_and_blanks_dropped(spark):
+    from moodindex.plans.jobs import Lexicons
+    d = tempfile.mkdtemp(prefix="lex-", dir="/tmp")
+    for name in ("t", "f", "g"):
+        with open(os.path.join(d, name), "w", encoding="utf-8-sig") as f:
+            f.write("abc\t\n\u3000한 글\u3000\n \n\nabc\xa0\nz\n")
+    lex = Lexicons.from_files(spark, *[os.path.join(d, n) for n in ("t", "f", "g")])
+    assert list(lex.topic) == ["abc", "한 글", "abc", "z"]
+    assert sorted(lex.fear) == sorted(["abc", "한 글", "z"])
+
+
+def test_generated_code_stays_small_at_350_words(spark):
+    from moodindex.plans import params as P
+    df = spark.createDataFrame([("a",)], "text_tfidf string")
+    out = lexicon.weak_label(df, P.FEAR_WORDS_LONG, P.GREED_WORDS_LONG)
+    assert len(P.FEAR_WORDS_LONG) + len(P.GREED_WORDS_LONG) == 350
+    code = out._jdf.queryExecution().debug().codegenToSeq()
+    sizes = [int(code.apply(i)._3().maxMethodCodeSize()) for i in range(code.size())]
+    assert all(s < 8000 for s in sizes), sizes
+
+
+def test_blank_topic_words_are_ignored(spark):
+    df = spark.createDataFrame([("some text",), (None,)], "text string")
+    lex = spark.createDataFrame([("",), ("zzz",)], "keyword string")
+    assert filters.topic_filter_join(df, lex).count() == 2
+    assert filters.topic_filter_join(df, lex, how="left_semi").count() == 0
 
 
 def test_topic_filter_forms_agree(spark):
@@ -73,7 +109,7 @@ def test_null_text_scored_as_empty(spark):
     train = spark.createDataFrame([(i, t, lab) for i, (t, lab) in enumerate(
         [("up up gain", 2), ("down fear", 0), ("flat", 1), ("gain more", 2), ("fear loss", 0),
          ("flat calm", 1)] * 3)], "comment_id long, text_bert string, label int")
-    m = model.train(train, min_df=1.0)
+    m = model.train(train)
     rows = model.score(m, spark.createDataFrame([(1, None), (2, "gain")],
                                                  "comment_id long, text_bert string")).collect()
     assert len(rows) == 2 and rows[0]["text_bert"] is None

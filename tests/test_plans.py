@@ -31,10 +31,39 @@ def test_url_filter_reaches_the_scan(spark):
     assert "PushedFilters: [IsNotNull(text), Not(StringContains(text,http://))" in p
 
 
-def test_change_rate_windows_are_segmented(spark):
+def test_change_rate_has_no_row_window_without_nulls(spark):
     p = final_plan(spark, "change_rate_hourly")
-    # the row window is partitioned by (entity, year, hour, date): four keys
-    assert any("Window" in line and "hour" in line and "date" in line for line in p.split("\n"))
+    # one window only, over the runs of an (entity, year)
+    assert sum("Window" in line for line in p.split("\n")) <= 1, p
+
+
+def test_sample_is_one_scan_with_a_group_limit(spark):
+    p = final_plan(spark, "sample_n")
+    assert p.count("Scan parquet") == 1 and "WindowGroupLimit" in p
+
+
+def test_table_sees_new_files(spark, tmp_path):
+    from moodindex.sources.tables import table
+    path = f"{tmp_path}/t.parquet"
+    spark.range(5).write.parquet(path)
+    assert table(spark, str(tmp_path), "t").count() == 5
+    spark.range(4).write.mode("append").parquet(path)
+    assert table(spark, str(tmp_path), "t").count() == 9
+
+
+def test_publish_reads_touched_entities_only(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from moodindex.operators import upsert as U
+    path = f"{tmp_path}/pub"
+    rows = spark.createDataFrame([(e, i, float(i)) for e in "AB" for i in range(3)], "stock_code string, k int, v double")
+    ts = F.lit("2024-01-01").cast("timestamp")
+    U.publish_upsert(spark, path, rows, ["stock_code", "k"], ["v"], ts)
+    target, touched = spark.read.parquet(path), rows.where("stock_code = 'A'").select("stock_code").distinct()
+    merged = U.upsert(target.join(touched, "stock_code", "left_semi"), rows.where("stock_code = 'A'"),
+                      ["stock_code", "k"], ["v"], ts)
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("FullOuter") < plan.index("LeftSemi")  # the cut is below the merge
 
 
 def test_tfidf_reuses_the_term_count_shuffle(spark):

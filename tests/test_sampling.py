@@ -41,3 +41,14 @@ def test_stratified_split_quota_and_brute_force(spark):
 def test_sample_larger_than_group_returns_all(spark):
     df = spark.createDataFrame([(i, "a") for i in range(10)], "id long, stock_code string")
     assert sampling.sample_n(df, 1000, 1, "id").count() == 10
+
+
+def test_quotas_of_huge_counts_are_exact(spark):
+    n = {0: 10 ** 11 + 7, 1: 3 * 10 ** 11 + 1, 2: 5}
+    counts = spark.createDataFrame(list(n.items()), "label int, _n long")
+    got = {r["label"]: r["quota"] for r in sampling.quotas_from_counts(counts, "label", 0.25).collect()}
+    tot = sum(n.values())
+    k = -(-tot // 4)
+    base = {c: v * k // tot for c, v in n.items()}
+    rest = sorted(n, key=lambda c: (-(n[c] * k % tot), c))[:k - sum(base.values())]
+    assert got == {c: b + (c in rest) for c, b in base.items()}

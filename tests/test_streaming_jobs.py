@@ -26,14 +26,14 @@ def rows(start, n, offset):
 def test_stream_matches_batch_and_replays_safely(spark):
     root = tempfile.mkdtemp(prefix="stream-", dir="/tmp")
     src, table, ckpt = (os.path.join(root, x) for x in ("src", "daily", "ckpt"))
-    first, second = rows(0, 30, 0), rows(40, 30, 1000)   # days overlap across batches
+    first, second = rows(0, 30, 0), rows(40, 30, 1000)   # days overlap; rows come late
     spark.createDataFrame(first, SCHEMA).write.parquet(os.path.join(src, "b1"))
     q = start_daily_stream(spark, os.path.join(src, "*"), spark.createDataFrame([], SCHEMA).schema,
-                           table, ckpt, late="30 days")
+                           table, ckpt)
     q.awaitTermination(120)
     spark.createDataFrame(second, SCHEMA).write.parquet(os.path.join(src, "b2"))
     q = start_daily_stream(spark, os.path.join(src, "*"), spark.createDataFrame([], SCHEMA).schema,
-                           table, ckpt, late="30 days")
+                           table, ckpt)
     q.awaitTermination(120)
     got = {(r["stock_code"], r["date"]): (r["fear_ratio"], r["greed_ratio"])
            for r in spark.read.parquet(table).collect()}

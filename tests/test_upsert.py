@@ -69,3 +69,20 @@ def test_nan_measures_become_null(spark):
     upd = spark.createDataFrame([("A", "d1", float("nan"))], "stock_code string, date string, ratio double")
     r = U.upsert(None, upd, KEYS, MEAS, ts("2024-02-01")).first()
     assert r["ratio"] is None
+
+
+def test_duplicate_keys_need_an_order(spark):
+    import pytest
+    upd = spark.createDataFrame([("A", "d", 1.0, 1), ("A", "d", 2.0, 1)], "stock_code string, k string, v double, seq int")
+    with pytest.raises(Exception, match="duplicate key"):
+        U.upsert(None, upd, ["stock_code", "k"], ["v"], ts("2024-02-01")).collect()
+    r = U.upsert(None, upd, ["stock_code", "k"], ["v"], ts("2024-02-01"), order_col="seq").collect()
+    assert [x["v"] for x in r] == [2.0]  # a tie of the order: the larger measure
+
+
+def test_one_entity_fails_and_the_others_publish(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="each-", dir="/tmp"), "t")
+    rows = spark.createDataFrame([("A", 1, 1.0), ("B", 1, 1.0), ("B", 1, 2.0), ("C", 1, 3.0)], "stock_code string, k int, v double")
+    got = U.publish_each(spark, path, rows, ["stock_code", "k"], ["v"], ts("2024-02-01"), ["A", "B", "C"])
+    assert got["A"] is None and got["C"] is None and "duplicate key" in str(got["B"])
+    assert sorted(r["stock_code"] for r in spark.read.parquet(path).collect()) == ["A", "C"]
