@@ -294,6 +294,16 @@ def q_weak_label_files(spark, sf):
         "comment_id", "fear_hits", "greed_hits", "label")
 
 
+def q_weak_label_raw(spark, sf):
+    """The baseline's own task: labels of the raw texts, without filters and cleaning."""
+    c = tables.comments(spark, sf).where(F.col("time").isNotNull())
+    return lexicon.weak_label(c, P.FEAR_WORDS, P.GREED_WORDS, "text").select("comment_id", "stock_code", "label")
+
+
+def q_label_distribution_raw(spark, sf):
+    return lexicon.label_distribution(q_weak_label_raw(spark, sf))
+
+
 def q_label_distribution(spark, sf):
     return lexicon.label_distribution(_labeled(spark, sf))
 
@@ -430,6 +440,8 @@ QUERIES: dict[str, Query] = {
     "lexicon_hits": q_lexicon_hits,
     "weak_label": q_weak_label,
     "weak_label_files": q_weak_label_files,
+    "weak_label_raw": q_weak_label_raw,
+    "label_distribution_raw": q_label_distribution_raw,
     "label_distribution": q_label_distribution,
     "sample_n": q_sample_n,
     "stratified_split": q_stratified_split,

@@ -313,6 +313,11 @@ UNION ALL SELECT 'filtered', count(*) FROM pre"""
     q["weak_label"] = LAB + "SELECT comment_id, stock_code, label FROM labeled"
     q["weak_label_files"] = with_(COMMENTS, preprocessed(), labeled(P.FEAR_WORDS_LONG, P.GREED_WORDS_LONG)) + """
 SELECT comment_id, fh AS fear_hits, gh AS greed_hits, label FROM labeled"""
+    raw = with_(COMMENTS, """
+pre AS (SELECT comment_id, stock_code, text AS text_tfidf FROM comments WHERE time IS NOT NULL)
+""", LABELED)
+    q["weak_label_raw"] = raw + "SELECT comment_id, stock_code, label FROM labeled"
+    q["label_distribution_raw"] = raw + "SELECT label, count(*) AS n FROM labeled GROUP BY 1 ORDER BY 1"
     q["label_distribution"] = LAB + "SELECT label, count(*) AS n FROM labeled GROUP BY 1 ORDER BY 1"
     q["sample_n"] = S + f"""
 SELECT comment_id, stock_code FROM (
