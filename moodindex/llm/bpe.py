@@ -64,28 +64,29 @@ class Vocabulary:
         """Ids of one pre-token: always the lowest rank, at its leftmost place."""
         if piece in self.ranks:
             return [self.ranks[piece]]
-        byte, known, join = self.byte, self.pairs.get, self._join
+        known, join = self.pairs.get, self._join
         words, top = self.words, 0  # all words are 0 between calls
         buckets: dict[int, int | list[int]] = {}  # one position, or a heap of several
-        ids = [byte[x] for x in piece]
+        ids = list(map(self.byte.__getitem__, piece))
         n = len(ids)
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
         waiting = [-1] * n  # the rank of the pair that starts here
+        live = 0  # pairs that wait; entries of the queue beyond them are stale
         fresh: list[tuple[int, int]] = []
-        left = ids[0]
-        for i in range(n - 1):
-            right = ids[i + 1]
+        left, i = ids[0], 0
+        for right in ids[1:]:
             key = left << 32 | right
             r = known(key)
             if r is None:
                 r = join(key)
             if r >= 0:
                 fresh.append((r, i))
-            left = right
+            left, i = right, i + 1
         while True:
             for r, i in fresh:
                 waiting[i] = r
+                live += 1
                 bucket = buckets.get(r)
                 if bucket is None:
                     buckets[r] = i
@@ -96,7 +97,7 @@ class Vocabulary:
                     buckets[r] = [bucket, i] if bucket < i else [i, bucket]
                 else:
                     heappush(bucket, i)
-            if not top:
+            if not live:
                 break
             # find first set: the summary word, then its word
             at = (top & -top).bit_length() - 1
@@ -105,10 +106,10 @@ class Vocabulary:
             rank = (at << WORD_BITS) + bit.bit_length() - 1
             bucket = buckets[rank]
             if type(bucket) is int:
-                i = bucket
+                i, bucket = bucket, None
             else:
                 i = heappop(bucket)
-            if type(bucket) is int or not bucket:
+            if not bucket:
                 del buckets[rank]
                 words[at] = word = word ^ bit
                 if not word:
@@ -120,7 +121,11 @@ class Vocabulary:
             k = after[j]
             ids[i] = rank
             after[i] = k
-            waiting[j] = waiting[i] = -1
+            waiting[i] = -1
+            live -= 1
+            if waiting[j] >= 0:
+                waiting[j] = -1
+                live -= 1
             if k < n:
                 before[k] = i
                 key = rank << 32 | ids[k]
@@ -135,10 +140,15 @@ class Vocabulary:
                 r = known(key)
                 if r is None:
                     r = join(key)
-                if r != waiting[h]:
-                    waiting[h] = -1
+                was = waiting[h]
+                if r != was:
+                    if was >= 0:
+                        waiting[h] = -1
+                        live -= 1
                     if r >= 0:
                         fresh.append((r, h))
+        for r in buckets:  # what is left is stale
+            words[r >> WORD_BITS] = 0
         out, i = [], 0
         while i < n:
             out.append(ids[i])
