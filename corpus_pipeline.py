@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from moodindex.llm import exact_dedup, jaccard, packing, quality, quality_rules
 from moodindex.llm.common import prepare, shared_folder, table
+from moodindex.session import remove_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -73,6 +74,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = shared_folder(spark, f"pipeline-{k}-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         if before:
-            jaccard.delete(spark, before)
+            remove_path(spark, before)
         docs, before = spark.read.parquet(path), path
     return docs

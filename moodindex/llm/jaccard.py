@@ -7,26 +7,31 @@ against every set that could reach the threshold:
 
 1. *Sets.*  Each text becomes its set; equal sets have one digest and count
    as one node, so exact copies cost a row of 16 bytes each.
-2. *Matrix rows.*  Two sets at the threshold share a token among the first
-   n - ceil(3n/4) + 1 tokens of either in any fixed order, and the smaller one among
-   its first n - ceil(6n/7) + 1.  The order puts tokens that are frequent in
-   some scan task last.  These tokens go, packed, to the bucket of their hash.  A
-   token with one node, or with no two nodes of compatible size, proves nothing and is
-   dropped; of the others, equal rows of nodes are kept once.
-3. *Groups.*  A node joins the group of its leader, the least node that it
-   shares a row with.  A node is a query to each other group that it shares a row
-   with, and to its own if the leader itself is not similar to it (members similar to one
-   leader are in one component already).
-4. *Opening.*  Groups lie in blocks of at most about ``BLOCK`` sets.  In a block,
-   subgroups of ``SUBGROUP`` similar members store the union of their tokens; a query's overlap
-   with the union bounds its overlap with every member, and only subgroups that
-   qualify are opened and compared set by set.
+2. *Matrix rows.*  In any fixed order of tokens, two sets at the threshold
+   share k tokens among the first n - ceil(3n/4) + k of either, and those lie among the
+   first n - ceil(6n/7) + k of the smaller one; k is 1 + n // 16 of the smaller of both
+   figures.  The order puts tokens that are frequent in some scan task last.  These
+   tokens go, packed, to the bucket of their hash.  A token with one node, or with
+   no two nodes of compatible size, proves nothing and is dropped; equal rows of nodes are
+   kept once, with their number.  A node with fewer than k shared tokens, for the smallest
+   set that it could be similar to, has no partner and goes.
+3. *Groups.*  A node's leader is, of the nodes that it shares a row with, the one
+   with the largest share of shared tokens (of near copies the one edited least);
+   if the two are similar the node joins the leader's group, else it is a group of
+   its own.  So the members of a group are similar to one set and in one component.
+   Where a row holds several groups, a node is a query to those with a lesser name.
+4. *Bounds.*  The matrix keeps each group's token union as a bitmap.  A bit that a query
+   has and the union lacks stands for a token that no member has, so the query's
+   size less those bits bounds its overlap with every member.  Only queries and
+   groups that the bound lets pass are opened: their sets are read again and meet in
+   blocks of about ``BLOCK`` members, where subgroups of ``SUBGROUP`` members bound the overlap
+   by their exact union before sets are compared one by one.
 5. *Components.*  Links between different sets go through alternating
    large-star and small-star rounds until nothing changes.
 
 Nothing is capped or sampled: frequency counts and leaders only choose the order of
-work.  No step emits the pairs of a group.  Group sizes that grow without
-bound cost the queries that the leader does not absorb, times the blocks.
+work.  No step emits the pairs of a group: near copies of one text cost one
+comparison each.
 
 Defined results: a null text or one without words has an empty set, links
 with nothing and is its own component; documents of equal non-empty sets
@@ -39,10 +44,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodindex.llm.common import fresh, shared_folder
+from moodindex.llm.common import fresh
 from moodindex.llm.shingles import digest, mix, shingle_set
 
 # A token is frequent with this share of the sets of a scan chunk; the order
@@ -52,6 +57,11 @@ CHUNK_TOKENS = 2_000_000
 # Packed tokens per bucket, in bytes, on average.
 BUCKET_BYTES = 24 << 20
 BLOCK, SUBGROUP = 1024, 32
+# One shared token more is asked for so many tokens of a set.
+SHARED_STEP = 16
+# Bits of a group's or a set's bitmap of tokens.
+BITMAP = 4096
+GROUPS_IN_TASK = 20_000
 FILTER_MAX_BITS = 1 << 29
 
 
@@ -132,7 +142,7 @@ class TokenOrder:
 
     def prefix(self, s: np.ndarray) -> np.ndarray:
         n = len(s)
-        size = n - (3 * n + 3) // 4 + 1
+        size = n - (3 * n + 3) // 4 + 1 + n // SHARED_STEP
         if not len(self.sorted):
             return s[:size]
         at = np.searchsorted(self.sorted, s)
@@ -161,7 +171,7 @@ def _postings(docs: DataFrame, order, buckets: int) -> DataFrame:
             who = np.repeat(np.arange(len(parts), dtype=np.uint16), [len(p) for p in parts])
             place = np.concatenate([np.arange(len(p)) for p in parts])
             n = sizes[who]
-            who = np.where(place < n - (6 * n + 6) // 7 + 1, who | _ROLE, who)
+            who = np.where(place < n - (6 * n + 6) // 7 + 1 + n // SHARED_STEP, who | _ROLE, who)
             bucket = (mix(tokens) % np.uint64(buckets)).astype(np.int64)
             at = np.argsort(bucket, kind="stable")
             tokens, who, bucket = tokens[at], who[at], bucket[at]
@@ -196,8 +206,8 @@ _NODE = np.dtype([("a", ">u8"), ("b", ">u8")])  # sorts as the 16 bytes do
 
 
 def _matrix_rows(batches):
-    """One bucket's rows: ``row, lead, node, size`` for every distinct set of nodes
-    that share a token and could reach the threshold."""
+    """One bucket's rows: ``row, node, size, n`` for every distinct set of nodes
+    that share a token and could reach the threshold; n: so many tokens."""
     tokens, who, nodes, sizes, base = [], [], [], [], 0
     for t, w, n, z in _rows(batches):
         tokens.append(np.frombuffer(t, np.uint64))
@@ -237,19 +247,18 @@ def _matrix_rows(batches):
     name = mix(nodes["a"].astype(np.uint64) ^ mix(nodes["b"].astype(np.uint64)))
     sign = np.add.reduceat(name[who], starts) + mix(count.astype(np.uint64))
     good = (count > 1) & (np.add.reduceat(role, starts) > 0)
-    _, pick = np.unique(sign[good], return_index=True)
+    _, pick, often = np.unique(sign[good], return_index=True, return_counts=True)
     starts, count, sign = starts[good][pick], count[good][pick], sign[good][pick]
-    lead = np.minimum.reduceat(who, np.flatnonzero(start))[good][pick] if len(starts) else starts
     raw = nodes.astype(_NODE).tobytes()  # concatenation may have changed the byte order
     byte = [raw[16 * i:16 * i + 16] for i in range(len(nodes))]
     for k in range(0, len(starts), 20_000):
         s, c = starts[k:k + 20_000], count[k:k + 20_000]
         flat = np.repeat(s - np.concatenate([[0], np.cumsum(c)[:-1]]), c) + np.arange(c.sum())
-        w, g = who[flat], np.repeat(lead[k:k + 20_000], c)
+        w = who[flat]
         yield pa.record_batch(
-            [pa.array(np.repeat(sign[k:k + 20_000], c).view(np.int64)), pa.array([byte[i] for i in g], pa.binary()),
-             pa.array([byte[i] for i in w], pa.binary()), pa.array(sizes[w])],
-            names=["row", "lead", "node", "size"])
+            [pa.array(np.repeat(sign[k:k + 20_000], c).view(np.int64)), pa.array([byte[i] for i in w], pa.binary()),
+             pa.array(sizes[w]), pa.array(np.repeat(often[k:k + 20_000], c).astype(np.int64))],
+            names=["row", "node", "size", "n"])
 
 
 def _bits_of(nodes: list[bytes], bits: int) -> np.ndarray:
@@ -300,28 +309,88 @@ def _sets_of(docs: DataFrame, table) -> DataFrame:
     return docs.select("text").mapInArrow(run, "node binary, tokens binary")
 
 
-# -- 3. leaders --------------------------------------------------------------
+# -- 3. groups ---------------------------------------------------------------
 
-def _absorbed(members: DataFrame) -> DataFrame:
-    """``node, leader, size, linked``: whether a member is similar to its leader."""
+def _bitmap(tokens: np.ndarray) -> np.ndarray:
+    """Which of BITMAP cells the tokens fall into, as words."""
+    out = np.zeros(BITMAP, bool)
+    out[(tokens & np.uint64(BITMAP - 1)).astype(np.int64)] = True
+    return np.packbits(out)
+
+
+def _near_leader(members: DataFrame, heads: DataFrame) -> DataFrame:
+    """``node, group, size, bits``: the group is the leader if it is similar,
+    else the node itself."""
 
     def run(batches):
         lead, of = None, None
         for b in batches:
-            linked = []
+            groups, bits = [], []
             nodes, leaders, tokens, theirs = (c.to_pylist() for c in b.columns[:4])
             for n, g, t, u in zip(nodes, leaders, tokens, theirs, strict=True):
                 if g != lead:
                     lead, of = g, np.frombuffer(u, np.uint64)
                 t = np.frombuffer(t, np.uint64)
                 both = len(np.intersect1d(t, of, assume_unique=True))
-                linked.append(both >= needed(len(t), len(of)))
-            yield pa.record_batch([b.column(0), b.column(1), b.column(4), pa.array(linked, pa.bool_())],
-                                  names=["node", "leader", "size", "linked"])
+                groups.append(g if both >= needed(len(t), len(of)) else n)
+                bits.append(_bitmap(t).tobytes())
+            yield pa.record_batch([b.column(0), pa.array(groups, pa.binary()), b.column(4), pa.array(bits, pa.binary())],
+                                  names=["node", "group", "size", "bits"])
 
-    heads = members.select(F.col("node").alias("leader"), F.col("tokens").alias("theirs"))
     return (members.join(heads, "leader").select("node", "leader", "tokens", "theirs", "size")
-            .mapInArrow(run, "node binary, leader binary, size long, linked boolean"))
+            .mapInArrow(run, "node binary, group binary, size long, bits binary"))
+
+
+def _unions(near: DataFrame) -> DataFrame:
+    """``group, bits, low, high, n``: the union bitmap and sizes of each group."""
+    names = ["group", "bits", "low", "high", "n"]
+
+    def record(groups):
+        cols = list(zip(*((g, v[0].tobytes(), v[1], v[2], v[3]) for g, v in groups.items()), strict=True))
+        return pa.record_batch([pa.array(c, k) for c, k in zip(cols, (
+            pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=names)
+
+    def run(batches):  # sums up in map tasks, then, sorted by group, for good
+        groups: dict[bytes, list] = {}
+        for g, bits, low, high, n in _rows(batches):
+            bits, have = np.frombuffer(bits, np.uint8), groups.get(g)
+            if have is None:
+                if len(groups) >= GROUPS_IN_TASK:  # a sorted group is complete here
+                    yield record(groups)
+                    groups.clear()
+                groups[g] = [bits.copy(), low, high, n]
+            else:
+                have[0] |= bits
+                have[1], have[2], have[3] = min(have[1], low), max(have[2], high), have[3] + n
+        if groups:
+            yield record(groups)
+
+    kind = "group binary, bits binary, low long, high long, n long"
+    one = near.select("group", "bits", F.col("size").alias("low"), F.col("size").alias("high"), F.lit(1).cast("long").alias("n"))
+    return (one.mapInArrow(run, kind).repartition("group").sortWithinPartitions("group").mapInArrow(run, kind))
+
+
+def _qualified(visits: DataFrame, near: DataFrame, unions: DataFrame) -> DataFrame:
+    """The visits ``node, group`` that the bound on the overlap lets pass."""
+    q = visits.join(near.select("node", F.col("size"), F.col("bits").alias("own")), "node")
+    q = q.join(unions.select("group", F.col("bits").alias("theirs"), "low", "high", F.col("n").alias("many")), "group")
+    q = q.filter("4 * high >= 3 * size AND 4 * size >= 3 * low")
+
+    @F.pandas_udf("boolean")
+    def reaches(own, theirs, size, low, many):
+        import pandas as pd
+        if not len(own):
+            return pd.Series([], dtype=bool)
+        a = np.frombuffer(b"".join(own), np.uint64).reshape(len(own), -1)
+        b = np.frombuffer(b"".join(theirs), np.uint64).reshape(len(own), -1)
+        n, low = size.to_numpy(), low.to_numpy()
+        least = np.maximum(-(-3 * n // 4), needed(n, low))  # for the smallest member
+        mine = n - np.bitwise_count(a & ~b).sum(axis=1).astype(np.int64)
+        # the union of one member alone bounds the overlap from its side as well
+        theirs = low - np.bitwise_count(b & ~a).sum(axis=1).astype(np.int64)
+        return pd.Series((mine >= least) & ((many.to_numpy() > 1) | (theirs >= least)))
+
+    return q.filter(reaches("own", "theirs", "size", "low", "many")).select("node", "group")
 
 
 # -- 4. opening blocks -------------------------------------------------------
@@ -388,51 +457,53 @@ def node_links(docs: DataFrame, total_shingles: int) -> DataFrame:
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total_shingles * 3 // BUCKET_BYTES)
     rows = (_postings(docs, order, tasks).repartitionById(tasks, F.col("bucket"))
             .select("tokens", "who", "nodes", "sizes")
-            .mapInArrow(_matrix_rows, "row long, lead binary, node binary, size long")
-            .groupBy("row", "node").agg(F.min("lead").alias("lead"), F.first("size").alias("size"))).checkpoint()
-    leaders = rows.groupBy("node").agg(F.min("lead").alias("leader"), F.first("size").alias("size")).checkpoint()
-    held = leaders.count()
-
-    table = sc.broadcast(_node_filter(leaders, held))
-    sets = _sets_of(docs, table).groupBy("node").agg(F.first("tokens").alias("tokens"))
-    path = shared_folder(spark, "sets")
-    leaders.join(sets, "node").write.parquet(path)
-    members = spark.read.parquet(path)  # node, leader, size, tokens
-    near = _absorbed(members).checkpoint()
-
-    # a query: to other groups of its rows, and to its own if its leader is not similar
-    placed = rows.select("row", "node").join(leaders.select("node", "leader"), "node")
-    mixed = placed.groupBy("row").agg(F.min("leader").alias("a"), F.max("leader").alias("b")).filter("a <> b")
-    placed = placed.join(mixed.select("row"), "row").select("row", "node", "leader")
-    groups = placed.select("row", F.col("leader").alias("group")).distinct()
-    other = placed.join(groups, "row").filter("group <> leader").select("node", "group").distinct()
-    own = near.filter("NOT linked").select("node", F.col("leader").alias("group"))
-    visits = other.unionByName(own)
-
-    sized = leaders.groupBy(F.col("leader").alias("group")).agg(
-        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).filter("blocks > 0")
-    comp = near.select("node", F.when(F.col("linked"), F.col("leader")).otherwise(F.col("node")).alias("comp"))
-    visits = visits.join(sized, "group").select(
-        "node", "group", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    known = members.join(comp, "node")
-    queries = visits.join(known, "node").select("group", "block", F.lit(True).alias("query"), "node", "comp", "tokens")
-    opened = visits.select("group", "block").distinct()
-    inside = (known.withColumn("group", F.col("leader")).join(sized, "group")
-              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-              .join(opened, ["group", "block"])
-              .select("group", "block", F.lit(False).alias("query"), "node", "comp", "tokens"))
+            .mapInArrow(_matrix_rows, "row long, node binary, size long, n long")
+            .groupBy("row", "node").agg(F.first("size").alias("size"), F.sum("n").alias("n"))).checkpoint()
+    # the smallest set that a node could be similar to has three quarters of its size
+    nodes = (rows.groupBy("node").agg(F.first("size").alias("size"), F.sum("n").alias("n"))
+             .filter(f"n >= 1 + ceil(3 * size / 4) div {SHARED_STEP}")
+             .select("node", F.struct((F.lit(256) * F.col("n") / F.col("size")).cast("int").alias("share"), "node").alias("as_lead")))
+    rows = rows.join(nodes, "node").select("row", "node", "size", F.col("n").alias("tokens"), "as_lead")
+    leads = rows.groupBy("row").agg(F.max("as_lead").alias("lead"), F.count("*").alias("n")).filter("n > 1")
+    rows = rows.drop("as_lead").join(leads.select("row", "lead"), "row").checkpoint()
+    leaders = (rows.groupBy("node").agg(F.max("lead").alias("lead"), F.first("size").alias("size"))
+               .select("node", F.col("lead.node").alias("leader"), "size").checkpoint())
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        table = sc.broadcast(_node_filter(nodes, nodes.count()))
+        return _sets_of(docs, table).groupBy("node").agg(F.first("tokens").alias("tokens"))
+
+    sets = sets_of(leaders)
+    heads = leaders.select("leader").distinct().join(sets, F.col("leader") == F.col("node")).select(
+        "leader", F.col("tokens").alias("theirs"))
+    near = _near_leader(leaders.join(sets, "node"), heads).checkpoint()
+
+    # queries: to the groups of a lesser name in the same row
+    placed = rows.select("row", "node", "size", "tokens").join(near.select("node", "group"), "node")
+    mixed = placed.groupBy("row").agg(F.min("group").alias("a"), F.max("group").alias("b")).filter("a <> b")
+    placed = placed.join(mixed.select("row"), "row").select("row", "node", "size", "tokens", F.col("group").alias("own"))
+    groups = placed.select("row", F.col("own").alias("group")).distinct()
+    # a member could be similar only if the query shares k tokens with its group
+    visits = (placed.join(groups, "row").filter("group < own").groupBy("node", "group")
+              .agg(F.sum("tokens").alias("n"), F.first("size").alias("size"))
+              .filter(f"n >= 1 + ceil(3 * size / 4) div {SHARED_STEP}").select("node", "group"))
+    unions = _unions(near).checkpoint()
+    visits = _qualified(visits, near, unions).checkpoint()
+
+    comp = near.select("node", F.col("group").alias("comp"))
+    inside = comp.join(visits.select(F.col("group").alias("comp")).distinct(), "comp").select("node", "comp").checkpoint()
+    known = comp.join(sets_of(inside.select("node").unionByName(visits.select("node")).distinct().checkpoint()), "node")
+    sized = unions.select("group", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    queries = (visits.join(sized, "group").select("node", "group", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+               .join(known, "node").select("group", "block", F.lit(True).alias("query"), "node", "comp", "tokens"))
+    inside = (inside.select("node", F.col("comp").alias("group")).join(sized, "group").join(known, "node")
+              .select("group", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
+                      F.lit(False).alias("query"), "node", "comp", "tokens"))
     found = (inside.unionByName(queries).repartition("group", "block")
              .sortWithinPartitions("group", "block", "query")
              .mapInArrow(_open_blocks, "u binary, v binary"))
-    star = near.filter("linked AND node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v"))
-    links = star.unionByName(found).checkpoint()
-    delete(spark, path)
-    return links
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    star = near.filter("node <> group").select(F.col("node").alias("u"), F.col("group").alias("v"))
+    return star.unionByName(found).checkpoint()
 
 
 # -- 5. components -----------------------------------------------------------
@@ -475,9 +546,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     u = reps.select(F.col("node").alias("u"), F.col("rep").alias("ru"))
     v = reps.select(F.col("node").alias("v"), F.col("rep").alias("rv"))
     # an id that several rows carry joins the sets of all of them
-    same = named.select("id", "node").distinct().join(reps, "node").filter("id <> rep")
     doubled = named.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("id")
-    same = same.join(doubled, "id").select(F.col("id").alias("u"), F.col("rep").alias("v"))
+    same = (named.join(doubled, "id").join(reps, "node").filter("id <> rep")
+            .select(F.col("id").alias("u"), F.col("rep").alias("v")))
     edges = links.join(u, "u").join(v, "v").select(F.col("ru").alias("u"), F.col("rv").alias("v")).unionByName(same)
     comp = components(edges)
     heads = reps.join(comp, F.col("rep") == F.col("id"), "left").select(
