@@ -71,14 +71,16 @@ CUT_WORDS = set("""ad ads adv advert advertisement advertising adbox banner prom
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+# One attribute after the other, so that no value is read as a name.
+_ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_TELLING = re.compile("class|id|role|hidden", re.I)
 _SPACE = re.compile(r"\s+")
 
 
 def _label(tag: str, attrs: str) -> str:
     """The element's name, of containers with the letters of their first class, and a
     mark if the attributes cut the element."""
-    if not attrs:
+    if not attrs or not _TELLING.search(attrs):
         return tag
     own = tag
     for m in _ATTR.finditer(attrs):

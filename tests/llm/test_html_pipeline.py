@@ -87,6 +87,15 @@ def test_edges(spark, monkeypatch):
     assert sorted(html.main_text(d).collect(), key=str) == sorted(got, key=str)
 
 
+def test_only_attributes_of_their_own_name_cut():
+    for attrs in ('style="overflow:hidden"', 'data-hidden="false"', 'title="a hidden gem"', 'data-id="menu"', "title='role=menu'"):
+        page = f"<article><div {attrs}><p>one <a {attrs}>two</a> three</p></div></article>"
+        assert html.extract(page, html.choose(wrap(page))) == "one two three"
+    for attrs in ("hidden", "HIDDEN=''", 'title="x" id="menu"', "aria-hidden = true", "role='navigation'"):
+        page = f"<article><div {attrs}><p>gone</p></div><p>kept</p></article>"
+        assert html.extract(page, html.choose(wrap(page))) == "kept"
+
+
 # -- pipeline ----------------------------------------------------------------
 
 def test_pipeline_equals_its_operators_step_by_step(spark):
