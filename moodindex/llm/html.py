@@ -12,12 +12,13 @@ each scan task folds its pages by host first, then a host's wrappers fold in
 salted parts, and the parts of a host last: a hot host is never gathered, and
 only one wrapper a host is held at a time.
 
-In a finished wrapper the main region is chosen once per host: the ``article`` or
-``main`` elements if there are any, else the element whose own slots hold most text that
-is not links.  Subtrees of menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles and comments are cut (by element, role or the words of class and
-id).  Extraction aligns a page's elements with its host's wrapper and takes the
-blocks that fall into the main region.
+A finished wrapper tells which texts are the same on different pages.  Extraction
+aligns a page's elements with its host's wrapper and chooses the main region for this page,
+so a host may have any number of templates: the ``article`` or ``main`` elements if they hold half
+of the text (that isn't links), else the element whose own slots hold most of it.  Subtrees of
+menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are cut
+(by element, role or the words of class and id).  What the alignment can't place counts
+as a slot, so no text is lost by it.
 
 Defined results: a null or empty page has the text ''; a page without a
 readable host is grouped with others of the same null host; markup that is not closed
@@ -30,6 +31,7 @@ from __future__ import annotations
 import json
 import re
 from html import unescape
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -58,6 +60,8 @@ SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr
                 "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"},
          "th": {"table"}, "tbody": {"table"}, "tfoot": {"table"}, "option": {"select"}}
+# What counts for the element around it.
+BLOCKS = set("p pre blockquote ul ol li table tbody tr td h1 h2 h3 h4 h5 h6 dl dt dd".split())
 # Elements, roles and words of class or id whose text is not the article's.
 CUT_TAGS = set("""head nav header footer aside form script style noscript iframe template button select
     textarea title svg canvas object audio video dialog menu""".split())
@@ -195,17 +199,29 @@ def parse(page: str) -> Element:
 
 
 # -- wrappers ----------------------------------------------------------------
-# A node is [label, optional, repeated, children, text, chars, linked]: label "#" is a
-# text (``text``: its hash, or None for a slot), "()" a repeated group.
+# A node is [label, optional, repeated, children, text, first, last]: label "#" is a
+# text (``text``: its hash, or None for a slot; the least and the greatest hash of the pages
+# that have it, so equal ones mean that it was seen on one page only), "()" a repeated group.
 
-def _text_node(t: tuple[str, int]) -> list:
-    from zlib import crc32
-    return ["#", 0, 0, [], crc32(t[0].encode("utf-8", "replace")), len(t[0]), t[1]]
+def _hash(text: str) -> int:
+    return crc32(text.encode("utf-8", "replace"))
 
 
 def wrapper_of(e: Element) -> list:
     """The wrapper of one page."""
-    kids = [_text_node(c) if isinstance(c, tuple) else wrapper_of(c) for c in e.children]
+    page = 0
+    todo = [e]
+    while todo:
+        for c in todo.pop().children:
+            if isinstance(c, tuple):
+                page = crc32(c[0].encode("utf-8", "replace"), page)
+            else:
+                todo.append(c)
+    return _wrapper_of(e, page)
+
+
+def _wrapper_of(e: Element, page: int) -> list:
+    kids = [["#", 0, 0, [], _hash(c[0]), page, page] if isinstance(c, tuple) else _wrapper_of(c, page) for c in e.children]
     return [e.label, 0, 0, fold(kids), None, 0, 0]
 
 
@@ -217,7 +233,7 @@ def shape(w: list):
 def merge(a: list, b: list) -> list:
     """The wrapper of everything that either matches; their labels are equal."""
     return [a[0], a[1] | b[1], a[2] | b[2], align(a[3], b[3]) if a[3] or b[3] else [],
-            a[4] if a[4] == b[4] else None, a[5] + b[5], a[6] + b[6]]
+            a[4] if a[4] == b[4] else None, min(a[5], b[5]), max(a[6], b[6])]
 
 
 def fold(nodes: list[list]) -> list[list]:
@@ -278,83 +294,137 @@ def _cut(label: str) -> bool:
 
 
 def choose(w: list) -> list:
-    """Mark the main region: a node's ``optional`` place becomes 2 there."""
-    found: list[list] = []
-
-    def named(x, names):
-        if _cut(x[0]):
-            return
-        if x[0] in names:
-            found.append(x)
-            return
-        for c in x[3]:
-            named(c, names)
-
-    for names in ({"article"}, {"main"}):
-        if not found:
-            named(w, names)
-    if not found:
-        scored: list[tuple] = []
-
-        def score(x, depth):
-            """Text of slots that isn't links, in the node's own blocks."""
-            if _cut(x[0]):
-                return 0
-            own = 0
-            for c in x[3]:
-                if c[0] == "#":
-                    own += c[5] - 2 * c[6] if c[4] is None else 0
-                else:
-                    got = score(c, depth + 1)
-                    own += got if c[0] in ("p", "pre", "blockquote", "()", "ul", "ol", "li", "table", "tbody", "tr",
-                                           "td", "h1", "h2", "h3", "h4", "h5", "h6", "dl", "dt", "dd") else 0
-            scored.append((own, -depth, len(scored), x))
-            return own
-
-        score(w, 0)
-        if scored:
-            best = max(scored)
-            # a page alone on its host has no slots: then all of the body counts
-            found = [best[3]] if best[0] > 0 else [w]
-    for x in found:
-        x[1] = 2
+    """The finished wrapper: only texts that are the same on different pages keep their hash."""
+    todo = [w]
+    while todo:
+        x = todo.pop()
+        if x[0] == "#":
+            x[4] = x[4] if x[5] != x[6] else None
+        todo += x[3]
     return w
 
 
-def extract(page: str, w: list | None) -> str:
-    """The blocks of a page that fall into the main region of its wrapper."""
-    out: list[str] = []
-
-    def take(e: Element):
-        for c in e.children:
-            if isinstance(c, tuple):
-                out.append(c[0])
-            elif not _cut(c.label):
-                take(c)
-
-    def walk(e: Element, kids: list[list]):
-        at = 0
-        flat = [y for x in kids for y in (x[3] if x[0] == "()" else [x])]
-        for c in e.children:
-            if isinstance(c, tuple) or _cut(c.label):
-                continue
-            # the next place of this label in the wrapper; a repeat may stay where it is
-            k = next((k for k in range(at, len(flat)) if flat[k][0] == c.label),
-                     next((k for k in range(at) if flat[k][0] == c.label), None))
-            if k is None:
+def _runs(labels: list[str]) -> list[int]:
+    """Where a run of equal labels begins."""
+    return [i for i, x in enumerate(labels) if not i or labels[i - 1] != x]
+
+
+def _places(kids: list, nodes: list[list]) -> list:
+    """For each child of a page's element its place in the wrapper, or None.  Runs of equal
+    children are aligned as in inference; what is left over by that (repeats of a
+    group) takes the first place of its label."""
+    flat = [y for x in nodes for y in (x[3] if x[0] == "()" else [x])]
+    labels = ["#" if isinstance(c, tuple) else c.label for c in kids]
+    starts = _runs(labels)
+    a, b = [labels[i] for i in starts], [x[0] for x in flat]
+    first: dict[str, list] = {}
+    for x in flat:
+        first.setdefault(x[0], x)
+    got = [first.get(x) for x in a]
+    lo, end = 0, min(len(a), len(b))
+    while lo < end and a[lo] == b[lo]:
+        got[lo] = flat[lo]
+        lo += 1
+    m, n = len(a), len(b)
+    while m > lo and n > lo and a[m - 1] == b[n - 1]:
+        m, n = m - 1, n - 1
+        got[m] = flat[n]
+    if m > lo and n > lo:
+        best = [[0] * (n + 1) for _ in range(m + 1)]
+        for i in range(m - 1, lo - 1, -1):
+            for j in range(n - 1, lo - 1, -1):
+                best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+        i = j = lo
+        while i < m and j < n:
+            if a[i] == b[j]:
+                got[i] = flat[j]
+                i, j = i + 1, j + 1
+            elif best[i + 1][j] >= best[i][j + 1]:
+                i += 1
+            else:
+                j += 1
+    ends = [*starts[1:], len(labels)] if labels else []
+    return [g for g, s, e in zip(got, starts, ends, strict=True) for _ in range(e - s)]
+
+
+class _Page:
+    """A page aligned with its host's wrapper: by element (its number) the text that isn't
+    links, ``all`` of it and in ``slots``: where the host's pages differ, or no other page has the place."""
+
+    def __init__(self, root: Element, w: list | None):
+        self.elements, self.parent, hosts = [root], [-1], [w]
+        self.kids: list[list] = []  # by element (all, slots, number of the child or -1, child)
+        self.compared = False  # with another page
+        for k, e in enumerate(self.elements):  # grows
+            own: list[tuple] = []
+            h = hosts[k]
+            for c, at in zip(e.children, _places(e.children, h[3] if h else []), strict=True):
+                if isinstance(c, tuple):
+                    n = max(0, len(c[0]) - 2 * c[1]) if any(map(str.isalnum, c[0])) else 0
+                    self.compared |= at is not None and at[5] != at[6]
+                    same = at is not None and at[4] is not None and at[4] == _hash(c[0])
+                    own.append((n, 0 if same else n, -1, c))
+                elif not _cut(c.label):
+                    own.append((0, 0, len(self.elements), c))
+                    self.elements.append(c)
+                    self.parent.append(k)
+                    hosts.append(at)
+            self.kids.append(own)
+        self.all = [sum(x[0] for x in own) for own in self.kids]
+        self.slots = [sum(x[1] for x in own) for own in self.kids]
+        for k in range(len(self.elements) - 1, 0, -1):
+            self.all[self.parent[k]] += self.all[k]
+            self.slots[self.parent[k]] += self.slots[k]
+
+    def named(self, name: str) -> list[int]:
+        """The outermost elements of the name, in order."""
+        out, todo = [], [0]
+        while todo:
+            k = todo.pop()
+            if self.elements[k].label == name:
+                out.append(k)
+            else:
+                todo += [x[2] for x in reversed(self.kids[k]) if x[2] >= 0]
+        return out
+
+    def text(self, k: int) -> list[str]:
+        out, todo = [], [self.kids[k][::-1]]
+        while todo:
+            if not todo[-1]:
+                todo.pop()
                 continue
-            at = k
-            if flat[k][1] == 2:
-                take(c)
+            x = todo[-1].pop()
+            if x[2] < 0:
+                out.append(x[3][0])
             else:
-                walk(c, flat[k][3])
+                todo.append(self.kids[x[2]][::-1])
+        return out
+
+    def region(self) -> list[int]:
+        """The elements that hold the page's main text: ``article`` or ``main`` with
+        half of the text at least, else the region by slots."""
+        for name in ("article", "main"):
+            found = self.named(name)
+            if found and any(2 * sum(v[k] for k in found) >= v[0] for v in (self.slots, self.all)):
+                return found
+        if not self.compared:  # a page alone on its host: then all of the body counts
+            return [0]
+        # slots that are next to nothing (a date) are those of near copies of one page
+        return self.by_weight(self.slots if 10 * self.slots[0] >= self.all[0] else self.all)
+
+    def by_weight(self, v: list[int]) -> list[int]:
+        own = [0] * len(v)
+        for k in range(len(v) - 1, -1, -1):
+            own[k] += v[k] - sum(v[x[2]] for x in self.kids[k] if x[2] >= 0)
+            if self.elements[k].label in BLOCKS:
+                own[self.parent[k]] += own[k]
+        return [max(range(len(v)), key=lambda k: (own[k], -k))]
 
-    root = parse(page)
-    if w is None or w[1] == 2:
-        take(root)
-    else:
-        walk(root, w[3])
-    return "\n".join(out)
+
+def extract(page: str, w: list | None) -> str:
+    """The blocks of a page that fall into its main region."""
+    p = _Page(parse(page), w)
+    return "\n".join(t for k in p.region() for t in p.text(k))
 
 
 # -- jobs --------------------------------------------------------------------

@@ -96,6 +96,33 @@ def test_only_attributes_of_their_own_name_cut():
         assert html.extract(page, html.choose(wrap(page))) == "kept"
 
 
+def texts(*pages):
+    w = html.choose(wrap(*pages))
+    return [html.extract(p, w) for p in pages]
+
+
+def test_every_template_of_a_host_keeps_its_text():
+    a = "<body><article><p>{0} one</p><p>{0} two</p></article></body>"
+    m = "<body><div class=top>Site</div><main><p>{0} three</p></main></body>"
+    d = "<body><div class=top>Site</div><div class=post><p>{0} four</p><p>{0} five</p></div></body>"
+    other = "<body><div class=top>Site</div><div class=entry><p>{0} seven</p></div><div class=post></div></body>"
+    card = "<body><article><p>{0}</p></article><div class=post><p>{0} four and so on</p><p>{0} five</p></div></body>"
+    pages = [t.format(x) for t in (a, m, d, other) for x in ("alpha", "beta", "gamma")]
+    want = ["{0} one\n{0} two", "{0} three", "{0} four\n{0} five", "{0} seven"]
+    assert texts(*pages, "<p>bare {0} text") == [t.format(x) for t in want for x in ("alpha", "beta", "gamma")] + ["bare {0} text"]
+    got = texts(*[card.format(x) for x in ("alpha", "beta")], *pages)
+    assert [g.endswith(f"{x} four and so on\n{x} five") for g, x in zip(got, ("alpha", "beta"), strict=False)] == [True, True]
+    sibling = "<body><div><p>{0}</p></div><div><ul><li><a href=x>m</a></ul></div><div><p>{0} long text</p></div></body>"
+    assert all(x in g for g, x in zip(texts(*[sibling.format(x) for x in "abc"]), ("a long text", "b long text", "c long text"), strict=True))
+
+
+def test_pages_of_a_host_with_articles_elsewhere(spark):
+    rows = [(1, "https://h.org/b", BOILER), (2, "https://h.org/c", "<article><p>" + "long " * 100), (6, "http://u@H.org:80/", "<p>a<"),
+            (8, None, "<article>x y</article>"), (9, "nohost", "<body><main><p>in main</p></main>"), (10, None, "<div><p>in div</p></div>")]
+    text = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert (text[6], text[8], text[9], text[10]) == ("a<", "x y", "in main", "in div")
+
+
 # -- pipeline ----------------------------------------------------------------
 
 def test_pipeline_equals_its_operators_step_by_step(spark):
