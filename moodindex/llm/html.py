@@ -15,7 +15,8 @@ only one wrapper a host is held at a time.
 A finished wrapper tells which texts are the same on different pages.  Extraction
 aligns a page's elements with its host's wrapper and chooses the main region for this page,
 so a host may have any number of templates: the ``article`` or ``main`` elements if they hold half
-of the text (that isn't links), else the element whose own slots hold most of it.  Subtrees of
+of the text (that isn't links), else the smallest container that holds nearly all slots, without
+the containers before and after them that hold none.  Subtrees of
 menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are cut
 (by element, role or the words of class and id).  What the alignment can't place counts
 as a slot, so no text is lost by it.
@@ -44,6 +45,8 @@ SALTS = 64
 BROADCAST_BYTES = 16 << 20
 JOIN_SALTS = 16
 MAX_PERIOD = 3
+# The main region is the smallest container with such a share of a page's slots.
+NEARLY = 0.9
 MAX_HOSTS = 5000
 
 # Names of the HTML standard.
@@ -60,8 +63,8 @@ SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr
                 "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"},
          "th": {"table"}, "tbody": {"table"}, "tfoot": {"table"}, "option": {"select"}}
-# What counts for the element around it.
-BLOCKS = set("p pre blockquote ul ol li table tbody tr td h1 h2 h3 h4 h5 h6 dl dt dd".split())
+# Blocks of text; the region is never a part of one.
+BLOCKS = set("p pre blockquote ul ol li table h1 h2 h3 h4 h5 h6 dl dt dd".split())
 # Elements, roles and words of class or id whose text is not the article's.
 CUT_TAGS = set("""head nav header footer aside form script style noscript iframe template button select
     textarea title svg canvas object audio video dialog menu""".split())
@@ -387,7 +390,7 @@ class _Page:
                 todo += [x[2] for x in reversed(self.kids[k]) if x[2] >= 0]
         return out
 
-    def text(self, k: int) -> list[str]:
+    def text(self, k: int, without: set[int]) -> list[str]:
         out, todo = [], [self.kids[k][::-1]]
         while todo:
             if not todo[-1]:
@@ -396,35 +399,52 @@ class _Page:
             x = todo[-1].pop()
             if x[2] < 0:
                 out.append(x[3][0])
-            else:
+            elif x[2] not in without:
                 todo.append(self.kids[x[2]][::-1])
         return out
 
-    def region(self) -> list[int]:
-        """The elements that hold the page's main text: ``article`` or ``main`` with
-        half of the text at least, else the region by slots."""
+    def region(self) -> tuple[list[int], set[int]]:
+        """The elements that hold the page's main text, and those in them that are left
+        out: ``article`` or ``main`` with half of the text at least, else the region by slots."""
         for name in ("article", "main"):
             found = self.named(name)
             if found and any(2 * sum(v[k] for k in found) >= v[0] for v in (self.slots, self.all)):
-                return found
+                return found, set()
         if not self.compared:  # a page alone on its host: then all of the body counts
-            return [0]
+            return [0], set()
         # slots that are next to nothing (a date) are those of near copies of one page
-        return self.by_weight(self.slots if 10 * self.slots[0] >= self.all[0] else self.all)
-
-    def by_weight(self, v: list[int]) -> list[int]:
-        own = [0] * len(v)
-        for k in range(len(v) - 1, -1, -1):
-            own[k] += v[k] - sum(v[x[2]] for x in self.kids[k] if x[2] >= 0)
-            if self.elements[k].label in BLOCKS:
-                own[self.parent[k]] += own[k]
-        return [max(range(len(v)), key=lambda k: (own[k], -k))]
+        at, without = self.by_weight(self.slots if 10 * self.slots[0] >= self.all[0] else self.all)
+        return [at], without
+
+    def by_weight(self, v: list[int]) -> tuple[int, set[int]]:
+        """The smallest container that holds nearly all of ``v``, and the containers
+        before and after its text that are left out as they hold none."""
+        at = 0
+        while True:
+            titled, inner = False, None
+            for x in self.kids[at]:
+                label = self.elements[x[2]].label if x[2] >= 0 else "#"
+                if label == "h1" and v[x[2]]:
+                    titled = True  # the title belongs to the text that follows
+                if x[2] >= 0 and NEARLY * v[0] <= v[x[2]]:
+                    inner = None if titled or label in BLOCKS else x[2]
+                    break
+            if inner is None:
+                break
+            at = inner
+        kids = [(x[2], v[x[2]] if x[2] >= 0 else x[int(v is self.slots)]) for x in self.kids[at]]
+        full = [i for i, (_, n) in enumerate(kids) if n]
+        if not full:
+            return at, set()
+        return at, {k for i, (k, _) in enumerate(kids) if k >= 0 and not full[0] <= i <= full[-1]
+                    and (self.elements[k].label not in BLOCKS or self.elements[k].label in ("ul", "ol", "table"))}
 
 
 def extract(page: str, w: list | None) -> str:
     """The blocks of a page that fall into its main region."""
     p = _Page(parse(page), w)
-    return "\n".join(t for k in p.region() for t in p.text(k))
+    found, without = p.region()
+    return "\n".join(t for k in found for t in p.text(k, without))
 
 
 # -- jobs --------------------------------------------------------------------

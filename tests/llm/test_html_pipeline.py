@@ -123,6 +123,18 @@ def test_pages_of_a_host_with_articles_elsewhere(spark):
     assert (text[6], text[8], text[9], text[10]) == ("a<", "x y", "in main", "in div")
 
 
+def test_text_split_over_containers_is_kept():
+    page = "<body><div class=top><p>Site</p></div><div class=lead><p>{0} lead text</p></div><h2>{0} head</h2>" \
+           "<section class=story><figure><figcaption>{0} caption</figcaption></figure><center>{0} body text</center>" \
+           "<details>{0} more</details></section><div class=low><p>Imprint</p></div></body>"
+    want = "{0} lead text\n{0} head\n{0} caption\n{0} body text\n{0} more"
+    assert texts(*[page.format(x) for x in ("alpha", "beta")]) == [want.format(x) for x in ("alpha", "beta")]
+    page = "<body><div class=top><p>Site</p></div><div class=post><h1>{0}</h1><div class=body><p>%s</p></div></div></body>" % ("{0} text " * 50)
+    assert texts(*[page.format(x) for x in ("alpha", "beta")])[1] == "beta\n" + ("beta text " * 50).strip()
+    cells = "<body><div class=top><p>Site</p></div><div><table><tr><td>{0}</td><td>%s</td></tr></table></div></body>" % ("{0} text " * 50)
+    assert texts(*[cells.format(x) for x in ("alpha", "beta")])[0].startswith("alpha\nalpha text")
+
+
 # -- pipeline ----------------------------------------------------------------
 
 def test_pipeline_equals_its_operators_step_by_step(spark):
