@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter, deque
 from html import unescape
 from zlib import crc32
 
@@ -113,6 +114,7 @@ def parse(page: str) -> Element:
     with the number of its characters inside links: ``(text, linked)``."""
     root = Element("")
     stack, names = [root], [""]
+    opened: Counter = Counter()  # how many elements of a name are open
     buf: list[str] = []
     linked = links = at = 0
 
@@ -128,6 +130,7 @@ def parse(page: str) -> Element:
     def close_to(k: int):
         nonlocal links
         end_text()
+        opened.subtract(names[k:])
         del stack[k:], names[k:]
 
     n = len(page)
@@ -150,13 +153,13 @@ def parse(page: str) -> Element:
                 links = max(0, links - 1)
             if tag in INLINE:
                 continue
-            for k in range(len(names) - 1, 0, -1):
-                if names[k] == tag:
-                    close_to(k)
-                    break
-            else:
-                if tag == "p":
-                    end_text()
+            if opened[tag]:
+                k = len(names) - 1
+                while names[k] != tag:
+                    k -= 1
+                close_to(k)
+            elif tag == "p":
+                end_text()
             continue
         if tag in INLINE:
             if tag == "br":
@@ -180,9 +183,12 @@ def parse(page: str) -> Element:
                 stack[-1].children.append(Element(tag))
             at = e.end() if e else n
             continue
-        if tag in CLOSES_P and "p" in names:
-            close_to(len(names) - 1 - names[::-1].index("p"))
-        elif tag in SELF_CLOSING:
+        if tag in CLOSES_P and opened["p"]:
+            k = len(names) - 1
+            while names[k] != "p":
+                k -= 1
+            close_to(k)
+        elif tag in SELF_CLOSING and any(opened[x] for x in SELF_CLOSING[tag]):
             for k in range(len(names) - 1, 0, -1):
                 if names[k] in SCOPE[tag]:
                     break
@@ -197,6 +203,7 @@ def parse(page: str) -> Element:
         if tag not in VOID and not m[3].rstrip().endswith("/"):
             stack.append(e)
             names.append(tag)
+            opened[tag] += 1
     end_text()
     return root
 
@@ -213,33 +220,63 @@ def _hash(text: str) -> int:
 def wrapper_of(e: Element) -> list:
     """The wrapper of one page."""
     page = 0
-    todo = [e]
-    while todo:
-        for c in todo.pop().children:
+    order = [e]
+    for x in order:  # grows
+        for c in x.children:
             if isinstance(c, tuple):
                 page = crc32(c[0].encode("utf-8", "replace"), page)
             else:
-                todo.append(c)
-    return _wrapper_of(e, page)
-
-
-def _wrapper_of(e: Element, page: int) -> list:
-    kids = [["#", 0, 0, [], _hash(c[0]), page, page] if isinstance(c, tuple) else _wrapper_of(c, page) for c in e.children]
-    return [e.label, 0, 0, fold(kids), None, 0, 0]
+                order.append(c)
+    later: deque = deque()
+    made: dict[int, list] = {}
+    for x in reversed(order):
+        kids = [["#", 0, 0, [], _hash(c[0]), page, page] if isinstance(c, tuple) else made.pop(id(c)) for c in x.children]
+        made[id(x)] = [x.label, 0, 0, fold(kids, later), None, 0, 0]
+    _finish(later)
+    return made[id(e)]
 
 
 def shape(w: list):
-    """What two wrappers must share to be merged place by place."""
-    return (w[0], w[1], w[2], tuple(map(shape, w[3])))
+    """What two wrappers must share to be merged place by place: all nodes in order."""
+    out, todo = [], [w]
+    while todo:
+        x = todo.pop()
+        out += (x[0], x[1], x[2], len(x[3]))
+        todo += reversed(x[3])
+    return tuple(out)
+
 
+# Pages may be nested as deep as they like, so nothing here recurses: a merged node gets
+# its children later, first come first served.  What they are merged from was merged
+# earlier then, and one level of siblings is folded by labels alone.
 
 def merge(a: list, b: list) -> list:
     """The wrapper of everything that either matches; their labels are equal."""
-    return [a[0], a[1] | b[1], a[2] | b[2], align(a[3], b[3]) if a[3] or b[3] else [],
+    later: deque = deque()
+    w = _merge(a, b, later)
+    _finish(later)
+    return w
+
+
+def _merge(a: list, b: list, later: deque) -> list:
+    if a[0] == "()":  # its members are part of this level
+        kids = align(a[3], b[3], later)
+    else:
+        kids = []
+        if a[0] != "#":
+            later.append((kids, a[3], b[3]))
+    return [a[0], a[1] | b[1], a[2] | b[2], kids,
             a[4] if a[4] == b[4] else None, min(a[5], b[5]), max(a[6], b[6])]
 
 
-def fold(nodes: list[list]) -> list[list]:
+def _finish(later: deque) -> None:
+    while later:
+        kids, a, b = later.popleft()
+        if a or b:
+            kids += align(a, b, later)
+
+
+def fold(nodes: list[list], later: deque) -> list[list]:
     """Fold adjacent equal elements, and equal groups of them, into repeats."""
     for k in range(1, MAX_PERIOD + 1):
         out: list[list] = []
@@ -250,30 +287,60 @@ def fold(nodes: list[list]) -> list[list]:
             if len(out) >= 2 * k and [x[0] for x in out[-2 * k:-k]] == [x[0] for x in out[-k:]] \
                     and (k > 1 or out[-1][0] != "()"):
                 if k == 1:
-                    x = merge(out[-2], out[-1])
+                    x = _merge(out[-2], out[-1], later)
                     x[1], x[2] = out[-2][1] & out[-1][1], 1
                     out[-2:] = [x]
                 elif not any(x[0] == "()" for x in out[-k:]):
-                    out[-2 * k:] = [["()", 0, 1, [merge(x, y) for x, y in
+                    out[-2 * k:] = [["()", 0, 1, [_merge(x, y, later) for x, y in
                                                   zip(out[-2 * k:-k], out[-k:], strict=True)], None, 0, 0]]
             if len(out) > k and out[-k - 1][0] == "()" and len(out[-k - 1][3]) == k \
                     and [x[0] for x in out[-k - 1][3]] == [x[0] for x in out[-k:]]:
                 g = out[-k - 1]
-                g[3] = [merge(x, y) for x, y in zip(g[3], out[-k:], strict=True)]
-                del out[-k:]
+                out[-k - 1:] = [[*g[:3], [_merge(x, y, later) for x, y in zip(g[3], out[-k:], strict=True)], *g[4:]]]
         nodes = out
     return nodes
 
 
+def dumps(w: list) -> str:
+    """The wrapper as one flat JSON list, every node before its children."""
+    out, todo = [], [w]
+    while todo:
+        x = todo.pop()
+        out += (x[0], x[1], x[2], len(x[3]), *x[4:]) if x[0] == "#" else (x[0], x[1], x[2], len(x[3]))
+        todo += reversed(x[3])
+    return json.dumps(out, separators=(",", ":"))
+
+
+def loads(text: str) -> list:
+    flat, at = json.loads(text), 0
+    top: list = []
+    open_ = [(top, 1)]  # lists of children that wait for so many
+    while open_:
+        kids, n = open_.pop()
+        if len(kids) == n:
+            continue
+        open_.append((kids, n))
+        label, optional, repeated, many = flat[at:at + 4]
+        at += 4
+        x = [label, optional, repeated, [], None, 0, 0]
+        if label == "#":
+            x[4:] = flat[at:at + 3]
+            at += 3
+        kids.append(x)
+        if many:
+            open_.append((x[3], many))
+    return top[0]
+
+
 def _key(x: list):
     return (x[0], tuple(y[0] for y in x[3])) if x[0] == "()" else x[0]
 
 
-def align(a: list[list], b: list[list]) -> list[list]:
+def align(a: list[list], b: list[list], later: deque) -> list[list]:
     """Align two sequences of siblings; what one lacks becomes optional."""
     ka, kb = [_key(x) for x in a], [_key(x) for x in b]
     if ka == kb:
-        return [merge(x, y) for x, y in zip(a, b, strict=True)]
+        return [_merge(x, y, later) for x, y in zip(a, b, strict=True)]
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
@@ -281,7 +348,7 @@ def align(a: list[list], b: list[list]) -> list[list]:
     out, i, j = [], 0, 0
     while i < len(a) or j < len(b):
         if i < len(a) and j < len(b) and ka[i] == kb[j]:
-            out.append(merge(a[i], b[j]))
+            out.append(_merge(a[i], b[j], later))
             i, j = i + 1, j + 1
         elif j == len(b) or i < len(a) and best[i + 1][j] >= best[i][j + 1]:
             out.append([a[i][0], 1, *a[i][2:]])
@@ -289,7 +356,7 @@ def align(a: list[list], b: list[list]) -> list[list]:
         else:
             out.append([b[j][0], 1, *b[j][2:]])
             j += 1
-    return fold(out)
+    return fold(out, later)
 
 
 def _cut(label: str) -> bool:
@@ -461,7 +528,7 @@ def _fold_pages(batches):
     hosts: dict[str | None, dict] = {}
 
     def flush():
-        rows = [(h, json.dumps(_merge_all(shapes.values()))) for h, shapes in hosts.items()]
+        rows = [(h, dumps(_merge_all(shapes.values()))) for h, shapes in hosts.items()]
         hosts.clear()
         return pa.record_batch([pa.array([h for h, _ in rows], pa.string()),
                                 pa.array([w for _, w in rows], pa.string())], names=["host", "wrapper"])
@@ -488,7 +555,7 @@ def _fold_wrappers(last: bool):
 
         def done():
             w = choose(now) if last else now
-            out.append((key[0], json.dumps(w)))
+            out.append((key[0], dumps(w)))
 
         def batch():
             rows = pa.record_batch([pa.array([h for h, _ in out], pa.string()),
@@ -499,7 +566,7 @@ def _fold_wrappers(last: bool):
         for b in batches:
             cols = [c.to_pylist() for c in b.columns]
             for *k, w in zip(*cols, strict=True):
-                w = json.loads(w)
+                w = loads(w)
                 if now is not None and key == tuple(k):
                     now = merge(now, w)
                     continue
@@ -552,7 +619,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         import pandas as pd
         known: dict = {None: None}
         for x in wrapper.dropna().unique():
-            known[x] = json.loads(x)
+            known[x] = loads(x)
         return pd.Series([extract(h, known[x if isinstance(x, str) else None])
                           for h, x in zip(html, wrapper, strict=True)], dtype=object)
 

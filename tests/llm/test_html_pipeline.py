@@ -135,6 +135,20 @@ def test_text_split_over_containers_is_kept():
     assert texts(*[cells.format(x) for x in ("alpha", "beta")])[0].startswith("alpha\nalpha text")
 
 
+def test_deep_nesting(spark):
+    n = 5_000
+    bodies = ["<div>" * n + "<p>deep {0}", "<blockquote>" * n + "deep {0}", "<div><section>" * n + "<p>deep {0}</p>" + "</section></div>" * n,
+              "<ul><li>" * n + "deep {0}", "<div><p>a{0}</div><div>" * n + "<p>deep {0}"]
+    rows = [(10 * i + j, "https://h.org/", b.format(j)) for i, b in enumerate(bodies) for j in range(3)]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text.split("\n")[-1] for r in html.main_text(d).collect()} == {i: f"deep {i % 10}" for i, _, _ in rows}
+
+
+def test_wrappers_are_read_back():
+    w = wrap(BOILER, "<dl><dt>a<dd>b<dt>c<dd>d</dl>", "<p>x</p>")
+    assert html.loads(html.dumps(w)) == w
+
+
 # -- pipeline ----------------------------------------------------------------
 
 def test_pipeline_equals_its_operators_step_by_step(spark):
