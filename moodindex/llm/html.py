@@ -18,7 +18,8 @@ so a host may have any number of templates: the ``article`` or ``main`` elements
 of the text (that isn't links), else the smallest container that holds nearly all slots, without
 the containers before and after them that hold none.  Subtrees of
 menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are cut
-(by element, role or the words of class and id).  What the alignment can't place counts
+(by element, role or the names in class and id; by names not if the element holds most of
+the page's text).  What the alignment can't place counts
 as a slot, so no text is lost by it.
 
 Defined results: a null or empty page has the text ''; a page without a
@@ -48,6 +49,8 @@ JOIN_SALTS = 16
 MAX_PERIOD = 3
 # The main region is the smallest container with such a share of a page's slots.
 NEARLY = 0.9
+# The mark of a container that class or id would cut, and the share of a page's text up to which it is cut.
+MARKS = {"?": 0.5, "~": NEARLY}
 MAX_HOSTS = 5000
 
 # Names of the HTML standard.
@@ -76,6 +79,17 @@ CUT_WORDS = set("""ad ads adv advert advertisement advertising adbox banner prom
     header footer share sharing social related recommended comment comments reply replies disqus discussion
     pagination pager widget toolbar""".split())
 
+# A name of class or id counts if its other words say only which one or what kind of box:
+# sidebar, sidebar-left and cookie_notice do, has-sidebar and related-work don't.
+PLAIN_WORDS = set("""a site top bottom left right box bar list block container wrapper wrap section area inner
+    outer content unit slot gpt div text link links button buttons icon icons item items main primary
+    secondary global form""".split())
+# These containers are never cut by class or id.
+OWN_TAGS = set("html body main article".split())
+# Other containers named so are not cut if they hold more than half of a page's text, those of readers' words
+# and the like if they hold nearly all of it.
+LONG_WORDS = set("related recommended comment comments reply replies disqus discussion".split())
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -85,21 +99,34 @@ _TELLING = re.compile("class|id|role|hidden", re.I)
 _SPACE = re.compile(r"\s+")
 
 
+def _cut_words(names: str) -> set[str]:
+    """The words that cut, of the names in a class or id."""
+    found: set[str] = set()
+    for name in names.split():
+        words = {w for w in re.split(r"[^a-z]+", name) if len(w) > 1}
+        if words <= CUT_WORDS | PLAIN_WORDS:
+            found |= words & CUT_WORDS
+    return found
+
+
 def _label(tag: str, attrs: str) -> str:
     """The element's name, of containers with the letters of their first class, and a
-    mark if the attributes cut the element."""
+    mark if the attributes cut the element: "!", or by class and id "?" or "~" (a word of
+    ``LONG_WORDS``), which holds if the page has enough other text."""
     if not attrs or not _TELLING.search(attrs):
         return tag
-    own = tag
+    own, mark = tag, ""
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "role" and value in CUT_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return tag + "!"
-        if name in ("class", "id") and not CUT_WORDS.isdisjoint(re.split(r"[^a-z]+", value)):
-            return tag + "!"
+        if name in ("class", "id") and tag not in OWN_TAGS:
+            words = _cut_words(value)
+            if words:
+                mark = "~" if mark == "~" or words & LONG_WORDS else "?"
         if name == "class" and value and tag in ("div", "section"):
             own = f"{tag}.{re.sub('[^a-z]', '', value.split()[0])}"
-    return own
+    return own + mark
 
 
 class Element:
@@ -166,12 +193,14 @@ def parse(page: str) -> Element:
                 buf.append(" ")
             elif tag == "a":
                 links += 1
-            if tag not in ("a", "span", "label") or not _label(tag, m[3]).endswith("!"):
+            tag_label = _label(tag, m[3]) if tag in ("a", "span", "label") else tag
+            if tag_label == tag:
                 continue
-            tag_label = _label(tag, m[3])
-            end_text()  # an inline element that is cut stands for itself up to its end
             e = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            stack[-1].children.append(Element(tag_label))
+            if tag_label[-1] != "!" and 2 * ((e.end() if e else n) - at) > n:
+                continue  # most of the page
+            end_text()  # an inline element that is cut stands for itself up to its end
+            stack[-1].children.append(Element(tag + "!"))
             if tag == "a":
                 links -= 1
             at = e.end() if e else n
@@ -440,13 +469,31 @@ class _Page:
                     self.parent.append(k)
                     hosts.append(at)
             self.kids.append(own)
-        self.all = [sum(x[0] for x in own) for own in self.kids]
-        self.slots = [sum(x[1] for x in own) for own in self.kids]
-        for k in range(len(self.elements) - 1, 0, -1):
-            self.all[self.parent[k]] += self.all[k]
-            self.slots[self.parent[k]] += self.slots[k]
+        self.all, self.slots = self.sums(0), self.sums(1)
+        gone = {k for k, e in enumerate(self.elements) if e.label[-1:] in MARKS}
+        if gone:
+            v = self.weights()
+            bare = self.sums(int(v is self.slots), gone)
+            # with a fair article beside or around them the marks hold
+            if not any(bare[0] and NEARLY * v[0] + sum(bare[k] for k in self.named(name, gone)) >= v[0] for name in ("article", "main")):
+                gone = {k for k in gone if v[k] <= MARKS[self.elements[k].label[-1]] * v[0]}
+            for own in self.kids:
+                own[:] = [x for x in own if x[2] not in gone]
+            # what is cut, with all in it, no longer counts for what is around it
+            self.all, self.slots = self.sums(0, gone), self.sums(1, gone)
+
+    def sums(self, of: int, gone: set[int] = frozenset()) -> list[int]:
+        v = [sum(x[of] for x in own) for own in self.kids]
+        for k in range(len(v) - 1, 0, -1):
+            if k not in gone:
+                v[self.parent[k]] += v[k]
+        return v
+
+    def weights(self) -> list[int]:
+        # slots that are next to nothing (a date) are those of near copies of one page
+        return self.slots if self.compared and 10 * self.slots[0] >= self.all[0] else self.all
 
-    def named(self, name: str) -> list[int]:
+    def named(self, name: str, without: set[int] = frozenset()) -> list[int]:
         """The outermost elements of the name, in order."""
         out, todo = [], [0]
         while todo:
@@ -454,7 +501,7 @@ class _Page:
             if self.elements[k].label == name:
                 out.append(k)
             else:
-                todo += [x[2] for x in reversed(self.kids[k]) if x[2] >= 0]
+                todo += [x[2] for x in reversed(self.kids[k]) if x[2] >= 0 and x[2] not in without]
         return out
 
     def text(self, k: int, without: set[int]) -> list[str]:
@@ -479,8 +526,7 @@ class _Page:
                 return found, set()
         if not self.compared:  # a page alone on its host: then all of the body counts
             return [0], set()
-        # slots that are next to nothing (a date) are those of near copies of one page
-        at, without = self.by_weight(self.slots if 10 * self.slots[0] >= self.all[0] else self.all)
+        at, without = self.by_weight(self.weights())
         return [at], without
 
     def by_weight(self, v: list[int]) -> tuple[int, set[int]]:

@@ -149,6 +149,24 @@ def test_wrappers_are_read_back():
     assert html.loads(html.dumps(w)) == w
 
 
+def test_containers_of_the_page_are_not_cut_by_their_class():
+    for page in ("<body class='has-sidebar'>%s</body>", "<body class=sidebar>%s</body>", "<body><div id=wrapper class=no-sidebar>%s</div></body>",
+                 "<body><main class='with-comments sidebar'>%s</main></body>", "<body><article class='post category-social comments'>%s</article></body>",
+                 "<body><div class=header>%s</div><div class=footer-links>Imprint</div></body>", "<body><div class=comments>%s</div></body>"):
+        pages = [page % f"<p>{x} one two three</p><p>{x} four</p>" for x in ("alpha", "beta")]
+        assert texts(*pages) == [f"{x} one two three\n{x} four" for x in ("alpha", "beta")]
+        assert texts(pages[0])[0].startswith("alpha one two three\nalpha four")
+    page = "<article><div class=article-header><h1>{0}</h1></div><p class='text alert-level'>{0} a</p><section id=related-work>{0} b</section>" \
+           "<div class=comments><p>{0} reader</div><div id=comment-list><p>{0} reader</div><div class='box cookie_notice'>c</div>" \
+           "<div class=sidebar-left>d</div><p>{0} <span class=ad>e</span>f <span class=share>g</article>"
+    assert texts(page.format("alpha"))[0] == "alpha\nalpha a\nalpha b\nalpha\nf"
+
+
+def test_a_long_sidebar_beside_an_article_is_cut():
+    page = "<body><article><p>{0} short</p></article><div class=sidebar><p>{0} a longer text of the side</p></div></body>"
+    assert texts(*[page.format(x) for x in ("alpha", "beta")]) == ["alpha short", "beta short"]
+
+
 # -- pipeline ----------------------------------------------------------------
 
 def test_pipeline_equals_its_operators_step_by_step(spark):
