@@ -1,17 +1,20 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 The words of a clause become symbols: insult, threat, target, negation,
-report (a verb of reported speech), quote mark, or other.  Four small weighted
-transducers read the symbols:
+report (a verb of reported speech), quote mark, or other.  Five small weighted
+transducers read the symbols, each also the weight that those before it emit:
 
-* insult   - emits the weight of each insult;
-* target   - raises what follows in the clause once a person is addressed;
 * negation - lowers what follows for a few words after "not" and the like;
-* report   - lowers what stands after a verb of saying or inside quotes.
+* report   - lowers what stands after a verb of saying or inside quotes;
+* threat   - emits a threat only together with a target: if the target follows, then there, with
+  the weight that the threat had where it stood (of several that wait the greatest);
+* target   - raises the insults that follow in the clause once a person is addressed;
+* insult   - emits the weight of insults and threats, and nothing for other words.
 
-A threat counts only together with a target.  ``compose`` builds the product
-automaton of all four, with one weight per state and symbol; a clause is scored by one run of
-it, so the score belongs to the matched clause and not to isolated words.
+``compose`` builds the product
+automaton of all five, with one weight per state and symbol; a clause is scored by one run of
+it, so the score belongs to the matched clause and not to isolated words.  A clause begins
+inside quotes if a quote mark is open there that is closed later in the text.
 
 The insult lexicon is a set of word beginnings with weights.  A few public
 English words are given; the others are learned from labels: beginnings (or
@@ -29,6 +32,7 @@ table gives an empty table.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from itertools import product
 
@@ -71,36 +75,48 @@ DENSITY_WORDS = 50
 NEGATION_WORDS = 3
 
 _CLAUSE = re.compile(r"[.!?;\n|]+")
+_QUOTE = re.compile(f"[{QUOTES}]")
 _WORD = re.compile(rf"[^\W\d_]+(?:['’][^\W\d_]+)*|[{QUOTES}]")
 
 
-def _insult(s, x):
-    return s, 1.0
+def _negation(s, x, w):
+    if x == N:
+        return NEGATION_WORDS, w
+    return max(0, s - 1), w * NEGATION_LOSS if s else w
+
+
+def _report(s, x, w):  # 0 plain, 1 after a verb of saying, 2 in quotes, 3 both
+    if x == R:
+        return s | 1, w
+    if x == Q:
+        return s ^ 2, w
+    return s, w * REPORT_LOSS if s else w
 
 
-def _target(s, x):  # 0 nobody addressed, 1 somebody, 2 a threat that waits for somebody
+# The weights that a threat can have, greatest first.
+LEVELS = tuple(sorted((1.0, REPORT_LOSS, NEGATION_LOSS, NEGATION_LOSS * REPORT_LOSS), reverse=True))
+
+
+def _threat(s, x, w):  # 0 nobody addressed, 1 somebody, 2 + k a threat of LEVELS[k] waits for somebody
     if x == G:
-        return 1, float(s == 2)  # the waiting threat counts now
+        return 1, LEVELS[s - 2] if s >= 2 else 0.0
     if x == T:
-        return (1, 1.0) if s == 1 else (2, 0.0)
-    return s, TARGET_GAIN if s == 1 else 1.0
+        if s == 1:
+            return 1, w
+        k = LEVELS.index(w)
+        return 2 + (min(k, s - 2) if s else k), 0.0
+    return s, w
 
 
-def _negation(s, x):
-    if x == N:
-        return NEGATION_WORDS, 1.0
-    return max(0, s - 1), NEGATION_LOSS if s else 1.0
+def _target(s, x, w):  # 0 nobody addressed, 1 somebody
+    return int(s or x == G), w * TARGET_GAIN if s and x == I else w
 
 
-def _report(s, x):  # 0 plain, 1 after a verb of saying, 2 in quotes, 3 both
-    if x == R:
-        return s | 1, 1.0
-    if x == Q:
-        return s ^ 2, 1.0
-    return s, REPORT_LOSS if s else 1.0
+def _insult(s, x, w):
+    return s, w if x in (I, T, G) else 0.0
 
 
-MACHINES = ((_insult, 1), (_target, 3), (_negation, NEGATION_WORDS + 1), (_report, 4))
+MACHINES = ((_negation, NEGATION_WORDS + 1), (_report, 4), (_threat, 2 + len(LEVELS)), (_target, 2), (_insult, 1))
 
 
 def compose(machines=MACHINES) -> tuple[np.ndarray, np.ndarray]:
@@ -111,9 +127,12 @@ def compose(machines=MACHINES) -> tuple[np.ndarray, np.ndarray]:
     weight = np.zeros((len(states), O + 1))
     for s in states:
         for x in range(O + 1):
-            moved = [f(a, x) for (f, _), a in zip(machines, s, strict=True)]
-            step[index[s], x] = index[tuple(a for a, _ in moved)]
-            weight[index[s], x] = np.prod([w for _, w in moved]) if x in (I, T, G) else 0.0
+            w, moved = 1.0, []
+            for (f, _), a in zip(machines, s, strict=True):
+                a, w = f(a, x, w)
+                moved.append(a)
+            step[index[s], x] = index[tuple(moved)]
+            weight[index[s], x] = w
     return step, weight
 
 
@@ -127,6 +146,7 @@ class Grammar:
             | {q: Q for q in QUOTES} | {w: T for w in THREATS}
         step, weight = compose()
         self.step, self.weight = step.tolist(), weight.tolist()
+        self.quoted = self.step[0][Q]  # the state at a clause's beginning inside quotes
         self.find = ahocorasick.Automaton()
         for s in {s.rstrip("$") for s in self.stems} | set(THREATS):
             self.find.add_word(s, len(s))
@@ -142,8 +162,8 @@ class Grammar:
             best = max(best, self.stems.get(word[:n], 0.0))
         return (I, best) if best else (O, 0.0)
 
-    def clause(self, text: str) -> float:
-        s, score = 0, 0.0
+    def clause(self, text: str, quoted: bool = False) -> float:
+        s, score = self.quoted if quoted else 0, 0.0
         for w in _WORD.findall(text):
             x, own = self.symbol(w)
             score += own * self.weight[s][x]
@@ -157,6 +177,7 @@ class Grammar:
         at = [a for a in at if not a or not low[a - 1].isalpha()]  # at a word's beginning
         if not at:
             return 0.0, 0
+        marks = [m.start() for m in _QUOTE.finditer(low)]
         score, matched, done = 0.0, 0, 0
         for a in sorted(at):
             if a < done:
@@ -166,7 +187,8 @@ class Grammar:
                 start = m.end()
             end = _CLAUSE.search(low, a)
             done = end.end() if end else len(low)
-            s = self.clause(low[start:end.start() if end else len(low)])
+            before = bisect_left(marks, start)
+            s = self.clause(low[start:end.start() if end else len(low)], before % 2 == 1 and before < len(marks))
             if s >= MATCH:
                 score += s
                 matched += 1

@@ -88,6 +88,21 @@ def test_grammar_scores_clauses():
     assert g.total("") == (0.0, 0)
 
 
+def test_threats_weigh_what_they_do_where_they_stand():
+    g = toxicity.Grammar(dict.fromkeys(toxicity.INSULTS, toxicity.SEED_WEIGHT))
+    total = lambda t: g.total(t)[0]
+    assert total("I would never kill any of you") == 0 and total('He "would kill" all of you') == 0
+    assert total("I will kill all of you") == total("You I will kill") == total("Never kill a fly, I kill all of you") == toxicity.THREAT_WEIGHT
+    assert [f.__name__ for f, _ in toxicity.MACHINES] == ["_negation", "_report", "_threat", "_target", "_insult"]
+
+
+def test_quotes_go_on_over_clauses():
+    g = toxicity.Grammar(dict.fromkeys(toxicity.INSULTS, toxicity.SEED_WEIGHT))
+    total = lambda t: g.total(t)[0]
+    assert total('It reads "go away. You idiot. You moron." there.') == 0 == total("Il \u00abva. Tu idiot\u00bb.")
+    assert total('It reads "go away." You idiot.') == total('A 5" pipe. You idiot.') == total("You idiot.") > 0
+
+
 def test_composed_automaton_is_the_product():
     step, weight = toxicity.compose()
     assert len(step) == np.prod([n for _, n in toxicity.MACHINES])
