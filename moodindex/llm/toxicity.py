@@ -51,6 +51,8 @@ THRESHOLD = 0.3
 # share of them) and log odds of at least MIN_ODDS.
 MIN_STEM, MAX_STEM = 3, 8
 MIN_TEXTS, MIN_SHARE, MIN_ODDS = 3, 0.01, 3.5
+# Of a whole word so many characters are compared, in learning and in scoring.
+WHOLE = 24
 # Beginnings are learned in rounds; in each, toxic texts that are explained already don't count.
 ROUNDS = 4
 
@@ -157,8 +159,8 @@ class Grammar:
         x = self.words.get(word)
         if x is not None:
             return x, THREAT_WEIGHT if x in (T, G) else 0.0
-        best = self.stems.get(word + "$", 0.0)
-        for n in range(MIN_STEM, min(len(word), 24) + 1):
+        best = self.stems.get(word[:WHOLE] + "$", 0.0)
+        for n in range(MIN_STEM, min(len(word), WHOLE) + 1):
             best = max(best, self.stems.get(word[:n], 0.0))
         return (I, best) if best else (O, 0.0)
 
@@ -217,7 +219,7 @@ def _labelled(docs, labels, id_col, text_col, rows):
 def _beginnings(text: str) -> set[str]:
     out = set()
     for w in set(_WORD.findall(text.lower())):
-        out.add(w[:24] + "$")
+        out.add(w[:WHOLE] + "$")
         out.update(w[:n] for n in range(MIN_STEM, min(len(w), MAX_STEM) + 1))
     return out
 
@@ -249,9 +251,11 @@ def _learn(rows: DataFrame, stems: dict[str, float]) -> dict[str, float]:
         return {}
     p, n = total["pos"], total["neg"]
     odds = F.log((F.col("pos") + 0.5) / (p + 1)) - F.log((F.col("neg") + 0.5) / (n + 1))
+    # All that qualify: each stands in MIN_SHARE of the sample's toxic texts at least, so there are at most
+    # 1 / MIN_SHARE times as many as one of these has on average.
     best = (counts.filter((F.col("stem") != "") & (F.col("pos") >= max(MIN_TEXTS, MIN_SHARE * p)))
             .withColumn("odds", odds).filter(F.col("odds") >= MIN_ODDS)
-            .orderBy(F.desc("odds"), F.length("stem"), "stem").limit(2000).collect())
+            .collect())
     out: dict[str, float] = {}
     for r in sorted(best, key=lambda r: (-r["pos"] * r["odds"], len(r["stem"]), r["stem"])):
         s = r["stem"].rstrip("$")

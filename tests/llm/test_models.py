@@ -103,6 +103,19 @@ def test_quotes_go_on_over_clauses():
     assert total('It reads "go away." You idiot.') == total('A 5" pipe. You idiot.') == total("You idiot.") > 0
 
 
+def test_all_beginnings_that_qualify_are_learned(spark):
+    from itertools import islice, product
+    words = ["".join(w) + "zzzzzz" for w in islice(product("abcdefghijklmno", repeat=3), 2_500)]
+    rows = spark.createDataFrame([(" ".join(words), 1)] * 3 + [("a fine day", 0)] * 60, "text string, toxic int")
+    assert len(toxicity._learn(rows, {})) == 2_500
+
+
+def test_long_whole_words_match():
+    g = toxicity.Grammar({"a" * 24 + "$": 5.0})
+    assert toxicity._beginnings("a" * 30) & g.stems.keys() and g.symbol("a" * 30) == (toxicity.I, 5.0)
+    assert g.total("you " + "a" * 30)[0] > 0 == g.total("a" * 23)[0]
+
+
 def test_composed_automaton_is_the_product():
     step, weight = toxicity.compose()
     assert len(step) == np.prod([n for _, n in toxicity.MACHINES])
