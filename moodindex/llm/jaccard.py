@@ -63,6 +63,9 @@ SHARED_STEP = 16
 BITMAP = 4096
 GROUPS_IN_TASK = 20_000
 FILTER_MAX_BITS = 1 << 29
+# Bits of the filter that one task sets at a time, and cells of nodes that a task collects before.
+SEGMENT_BITS = 1 << 20
+FILTER_CELLS = 250_000
 
 
 def _rows(batches):
@@ -266,19 +269,56 @@ def _bits_of(nodes: list[bytes], bits: int) -> np.ndarray:
 
 
 def _node_filter(leaders: DataFrame, count: int) -> bytes:
-    """A Bloom filter of the nodes, 64 MiB at most; false hits only cost a row."""
+    """A Bloom filter of the nodes, 64 MiB at most; false hits only cost a row.  Tasks
+    set the bits, segment by segment, and only finished segments reach the driver."""
     bits = min(FILTER_MAX_BITS, max(1 << 16, 1 << (16 * max(1, count) - 1).bit_length()))
-    table = np.zeros(bits // 8, np.uint8)
+    seg_bits = min(bits, SEGMENT_BITS)
+
+    def cells(batches):
+        """``segment, cells`` of many nodes at once."""
+        held, size = [], 0
+
+        def out():
+            c = np.unique(np.concatenate(held))
+            seg = c // seg_bits
+            cuts = np.flatnonzero(np.diff(seg)) + 1
+            return pa.record_batch([pa.array(seg[np.concatenate([[0], cuts])], pa.int64()),
+                                    pa.array([x.astype("<u4").tobytes() for x in np.split(c % seg_bits, cuts)], pa.binary())],
+                                   names=["segment", "cells"])
 
-    def run(batches):
         for b in batches:
             if b.num_rows:
-                yield pa.record_batch([pa.array([np.unique(_bits_of(b.column(0).to_pylist(), bits))
-                                                 .astype("<u4").tobytes()], pa.binary())], names=["cells"])
-
-    for r in leaders.select("node").mapInArrow(run, "cells binary").toLocalIterator():
-        c = np.frombuffer(r["cells"], "<u4")
-        np.bitwise_or.at(table, c >> 3, np.left_shift(1, c & 7).astype(np.uint8))
+                held.append(_bits_of(b.column(0).to_pylist(), bits).ravel())
+                size += len(held[-1])
+                if size >= FILTER_CELLS:
+                    yield out()
+                    held, size = [], 0
+        if held:
+            yield out()
+
+    def merged(batches):
+        # rows arrive sorted by segment: one segment's bits at a time
+        now, have = None, None
+
+        def out():
+            return pa.record_batch([pa.array([now], pa.int64()), pa.array(
+                [np.packbits(have, bitorder="little").tobytes()], pa.binary())], names=["segment", "bits"])
+
+        for s, c in _rows(batches):
+            if s != now:
+                if now is not None:
+                    yield out()
+                now, have = s, np.zeros(seg_bits, bool)
+            have[np.frombuffer(c, "<u4")] = True
+        if now is not None:
+            yield out()
+
+    rows = (leaders.select("node").mapInArrow(cells, "segment long, cells binary")
+            .repartition("segment").sortWithinPartitions("segment").mapInArrow(merged, "segment long, bits binary"))
+    table = np.zeros(bits // 8, np.uint8)
+    step = seg_bits // 8
+    for r in rows.toLocalIterator():  # each segment once
+        table[r["segment"] * step:(r["segment"] + 1) * step] = np.frombuffer(r["bits"], np.uint8)
     return table.tobytes()
 
 

@@ -106,3 +106,25 @@ def test_components_of_a_long_path(spark):
     e = spark.createDataFrame([(i + 1, i) for i in range(n)] + [(1000, 1001)], "u long, v long").repartition(4)
     got = {r.id: r.component for r in jaccard.components(e).collect()}
     assert got == {i: 0 for i in range(n + 1)} | {1000: 1000, 1001: 1000}
+
+
+def test_only_the_finished_filter_reaches_the_driver(spark, monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(jaccard, "SEGMENT_BITS", 1 << 16, raising=False)
+    monkeypatch.setattr(jaccard, "FILTER_CELLS", 5_000, raising=False)
+    nodes = spark.range(20_000, numPartitions=5).select(F.unhex(F.md5(F.col("id").cast("string").cast("binary"))).alias("node"))
+    fetched = []
+    plain = type(nodes).toLocalIterator
+
+    def counted(df, *args, **kw):
+        for r in plain(df, *args, **kw):
+            fetched.append(sum(len(v) for v in r if isinstance(v, (bytes, bytearray))))
+            yield r
+
+    monkeypatch.setattr(type(nodes), "toLocalIterator", counted)
+    got = np.frombuffer(jaccard._node_filter(nodes, 20_000), np.uint8)
+    want = np.zeros(len(got) * 8, bool)
+    want[jaccard._bits_of([bytes(r.node) for r in nodes.collect()], len(want)).ravel()] = True
+    assert (got == np.packbits(want, bitorder="little")).all()
+    assert sum(fetched) <= len(got) and len(fetched) <= len(want) >> 16
+    assert not any(jaccard._node_filter(nodes.limit(0), 0))
