@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodindex.llm import bpe, chat, exact_dedup, html, jaccard, langid, packing, quality, quality_rules, toxicity
+from moodindex.llm import bpe, chat, exact_dedup, html, jaccard, langid, packing, quality, quality_rules, toxicity, url_filter
 from moodindex.llm.common import prepare, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -88,7 +88,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "doc_tokens", "sequence_id", "offset")
 
 
-_QUERIES = {f.__name__: f for f in (op1_chat, op2_jaccard, op3_bpe, op4_exact_dedup, op5_toxicity, op6_quality, op7_html, op8_langid, op9_quality_rules, op10_packing)}
+# Host, path and verdict of the rules on urls.
+URL_RULES = """VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'), ('com', '/de/', 'block') AS t(host, path, verdict)"""
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.url_filter(pages, spark.sql(f"SELECT * FROM {URL_RULES}")).drop("url")
+
+
+_QUERIES = {f.__name__: f for f in (
+    op1_chat, op2_jaccard, op3_bpe, op4_exact_dedup, op5_toxicity, op6_quality, op7_html, op8_langid,
+    op9_quality_rules, op10_packing, op13_url_filter)}
 
 
 def _prepared(f):
