@@ -6,11 +6,13 @@ output."""
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodindex.llm import bpe, chat, exact_dedup, html, jaccard, langid, packing, quality, quality_rules, toxicity, url_filter
+from moodindex.llm import bpe, chat, exact_dedup, html, jaccard, langid, packing, prefix_trie, quality, quality_rules, toxicity, url_filter
 from moodindex.llm.common import prepare, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -88,6 +90,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "doc_tokens", "sequence_id", "offset")
 
 
+def rebuilt(conv: int, turns: bytes, donor: bytes) -> bytes:
+    """A conversation that begins as the first of its five does."""
+    h = zlib.crc32(str(conv).encode()) % 9 * prefix_trie.ITEM
+    return donor[:h] + turns[h:]
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turn_ids(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.sequences(turns, rebuilt, 5))
+
+
 # Host, path and verdict of the rules on urls.
 URL_RULES = """VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
     ('com', '/fr/', 'allow'), ('com', '/de/', 'block') AS t(host, path, verdict)"""
@@ -100,7 +113,7 @@ def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = {f.__name__: f for f in (
     op1_chat, op2_jaccard, op3_bpe, op4_exact_dedup, op5_toxicity, op6_quality, op7_html, op8_langid,
-    op9_quality_rules, op10_packing, op13_url_filter)}
+    op9_quality_rules, op10_packing, op12_prefix_trie, op13_url_filter)}
 
 
 def _prepared(f):
