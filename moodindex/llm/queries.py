@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodindex.llm import bpe, chat, exact_dedup, html, jaccard, langid, packing, prefix_trie, quality, quality_rules, toxicity, url_filter
+from moodindex.llm import bpe, chat, exact_dedup, html, jaccard, langid, packing, phrases, prefix_trie, quality, quality_rules, toxicity, url_filter
 from moodindex.llm.common import prepare, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -90,6 +90,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "doc_tokens", "sequence_id", "offset")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_documents(spark, sf_dir, "text", "lang"))
+
+
 def rebuilt(conv: int, turns: bytes, donor: bytes) -> bytes:
     """A conversation that begins as the first of its five does."""
     h = zlib.crc32(str(conv).encode()) % 9 * prefix_trie.ITEM
@@ -113,7 +117,7 @@ def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = {f.__name__: f for f in (
     op1_chat, op2_jaccard, op3_bpe, op4_exact_dedup, op5_toxicity, op6_quality, op7_html, op8_langid,
-    op9_quality_rules, op10_packing, op12_prefix_trie, op13_url_filter)}
+    op9_quality_rules, op10_packing, op11_phrases, op12_prefix_trie, op13_url_filter)}
 
 
 def _prepared(f):

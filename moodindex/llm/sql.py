@@ -53,4 +53,39 @@ SELECT page_id, host, path, rule,
 FROM r
 """
 
-ORACLE = {"op1_chat": OP1, "op4_exact_dedup": OP4, "op13_url_filter": OP13}
+OP11 = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[ \x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (
+  SELECT lang, 1 AS k, unnest(w) AS phrase FROM w
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+held AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, w[1] || ' ' || w[2] AS phrase, a FROM c WHERE k = 3
+    UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM c WHERE k = 3) GROUP BY ALL),
+cuts AS (
+  SELECT lang, phrase, a, 1 AS cut, w[1] AS x, array_to_string(w[2:], ' ') AS y FROM c
+  UNION ALL SELECT lang, phrase, a, 2, w[1] || ' ' || w[2], w[3] FROM c WHERE k = 3),
+scored AS (
+  SELECT cuts.*, l.f AS l, r.f AS r,
+         CAST((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = x JOIN f r ON r.lang = cuts.lang AND r.phrase = y),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+kept AS (
+  SELECT best.* FROM best LEFT JOIN held USING (lang, phrase)
+  WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang)
+QUALIFY rank <= 2000
+"""
+
+ORACLE = {"op1_chat": OP1, "op4_exact_dedup": OP4, "op11_phrases": OP11, "op13_url_filter": OP13}
