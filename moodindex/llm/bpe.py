@@ -23,18 +23,22 @@ from __future__ import annotations
 
 import base64
 from array import array
+from collections.abc import Iterator
 from heapq import heappop, heappush
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodindex.llm.chunks import CACHE_CHARS, ChunkEncoder, Memo
-from moodindex.llm.common import fresh, text_of
+from moodindex.llm.common import fresh, give_back, text_of
 
 # 256 ranks to a word of the bitmap; one summary word tells which words are not empty.
 WORD_BITS = 8
 WORD_MASK = (1 << WORD_BITS) - 1
+# Pairs of entries whose rank is remembered (about 100 bytes each).
+PAIRS = 300_000
 
 
 class Vocabulary:
@@ -54,7 +58,7 @@ class Vocabulary:
 
     def _join(self, key: int) -> int:
         """The rank of the entry that joins two entries (``left << 32 | right``), or -1."""
-        if len(self.pairs) > 1_000_000:
+        if len(self.pairs) > PAIRS:
             self.pairs.clear()
         r = self.ranks.get(self.entries[key >> 32] + self.entries[key & 0xFFFFFFFF], -1)
         self.pairs[key] = r
@@ -166,6 +170,12 @@ class Vocabulary:
                 del memo[p]
         return out
 
+    def forget(self) -> None:
+        """Free what a task remembered."""
+        self.memo.clear()
+        self.encode_texts.memo.clear()
+        give_back()
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.entries.__getitem__, ids))
 
@@ -189,11 +199,14 @@ def bpe_encode(df: DataFrame, path: str, pattern: str, text_col: str = "text",
     """Add ``out``: array<int>, the ids of the whole text."""
 
     @F.pandas_udf("array<int>")
-    def ids_of(texts):
-        import pandas as pd
-        enc = vocabulary(path, pattern).encode_texts
-        return pd.Series([np.frombuffer(x, "<u4").astype(np.int32) for x in enc(texts.tolist())],
-                         dtype=object)
+    def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        v = vocabulary(path, pattern)
+        try:
+            for texts in batches:
+                yield pd.Series([np.frombuffer(x, "<u4").astype(np.int32) for x in v.encode_texts(texts.tolist())],
+                                dtype=object)
+        finally:
+            v.forget()
 
     t = fresh(df, "_text")
     d = df.withColumn(t, text_of(text_col))
@@ -205,8 +218,7 @@ def bpe_decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids",
     """Add ``out``: the bytes of an array of ids (null ids array: no bytes)."""
 
     @F.pandas_udf("binary")
-    def bytes_of(ids):
-        import pandas as pd
+    def bytes_of(ids: pd.Series) -> pd.Series:
         dec = vocabulary(path, pattern).decode
         return pd.Series([b"" if x is None else dec(x.tolist()) for x in ids], dtype=object)
 

@@ -11,20 +11,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-# Distinct chunks that a Python worker remembers, in each of two generations,
-# and the longest chunk remembered: a bound of memory, not of results.
-CACHE_CHUNKS = 500_000
+# Bytes that a memory may take in each of two generations, about, and the
+# longest chunk remembered: a bound of memory, not of results.
+CACHE_BYTES = 24 << 20
 CACHE_CHARS = 64
+# What an entry takes: a slot of the dictionary and the heads of key and value;
+# key and value themselves are counted by the longest chunk's share.
+ENTRY_BYTES = 240
 
 
 class Memo:
     """A bounded memory of two generations."""
 
-    def __init__(self, size: int = CACHE_CHUNKS):
-        self.size = size
+    def __init__(self, most: int = CACHE_BYTES):
+        self.size = most // ENTRY_BYTES
         self.now: dict = {}
         self.old: dict = {}
 
+    def clear(self) -> None:
+        self.now, self.old = {}, {}
+
     def missing(self, keys: set) -> list:
         """Those of ``keys`` that aren't remembered; the others are in ``now`` after it."""
         if len(self.now) > self.size:

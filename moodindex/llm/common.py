@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,3 +54,25 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in have:
         name = "_" + name
     return name
+
+
+def give_back() -> None:
+    """Hand the memory that a task no longer uses back to the machine: a Python
+    worker lives on, and later stages need the room."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # not every C library has it
+
+
+def freeing(run: Callable) -> Callable:
+    """``run`` over the batches of a task, with its memory handed back at the end."""
+
+    def out(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return out

@@ -167,12 +167,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their columns as they were.  Only
-    possibly repeated rows shuffle; of those, map tasks keep one a text."""
+    possibly repeated rows shuffle; of those, map tasks keep one a text: that with
+    the smallest id, and of several rows with that id the least raw text's."""
     h, m = fresh(docs, "_hash"), fresh(docs, "_maybe")
     hashed = docs.select(text_hash(text_col).alias("hash")).checkpoint()
     bits = repeated_cells(hashed, "hash", filter_bits(hashed.count()))
     flagged = with_maybe(docs.withColumn(h, text_hash(text_col)), h, m, bits)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    order = F.struct(_by_id(id_col), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     first = (flagged.filter(F.col(m)).groupBy(h)
-             .agg(F.min_by(whole, _by_id(id_col)).alias("row")).select("row.*"))
+             .agg(F.min_by(whole, order).alias("row")).select("row.*"))
     return flagged.filter(~F.col(m)).select(*docs.columns).unionByName(first)

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodindex.llm.common import fresh
+from moodindex.llm.common import freeing, fresh
 from moodindex.llm.shingles import digest, mix, shingle_set
 
 # A token is frequent with this share of the sets of a scan chunk; the order
@@ -92,7 +92,7 @@ def _sizes(docs: DataFrame) -> DataFrame:
                  pa.array([digest(s) if len(s) else None for s in sets], pa.binary())],
                 names=["id", "n_shingles", "node"])
 
-    return docs.mapInArrow(run, f"id {kind.simpleString()}, n_shingles long, node binary")
+    return docs.mapInArrow(freeing(run), f"id {kind.simpleString()}, n_shingles long, node binary")
 
 
 def _distinct_sets(batches, at: int = 0):
@@ -129,7 +129,7 @@ def frequent_tokens(docs: DataFrame) -> np.ndarray:
         if sets:
             yield from flush(sets)
 
-    top = (docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    top = (docs.select("text").mapInArrow(freeing(run), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "token").limit(FREQUENT_TOKENS).toPandas())
     return top["token"].to_numpy(np.int64).view(np.uint64)[::-1].copy()
 
@@ -202,7 +202,7 @@ def _postings(docs: DataFrame, order, buckets: int) -> DataFrame:
             yield flush(nodes, np.array(sizes), parts)
 
     return docs.select("text").mapInArrow(
-        run, "bucket int, tokens binary, who binary, nodes binary, sizes binary")
+        freeing(run), "bucket int, tokens binary, who binary, nodes binary, sizes binary")
 
 
 _NODE = np.dtype([("a", ">u8"), ("b", ">u8")])  # sorts as the 16 bytes do
@@ -313,8 +313,8 @@ def _node_filter(leaders: DataFrame, count: int) -> bytes:
         if now is not None:
             yield out()
 
-    rows = (leaders.select("node").mapInArrow(cells, "segment long, cells binary")
-            .repartition("segment").sortWithinPartitions("segment").mapInArrow(merged, "segment long, bits binary"))
+    rows = (leaders.select("node").mapInArrow(freeing(cells), "segment long, cells binary")
+            .repartition("segment").sortWithinPartitions("segment").mapInArrow(freeing(merged), "segment long, bits binary"))
     table = np.zeros(bits // 8, np.uint8)
     step = seg_bits // 8
     for r in rows.toLocalIterator():  # each segment once
@@ -346,7 +346,7 @@ def _sets_of(docs: DataFrame, table) -> DataFrame:
         if nodes:
             yield flush()
 
-    return docs.select("text").mapInArrow(run, "node binary, tokens binary")
+    return docs.select("text").mapInArrow(freeing(run), "node binary, tokens binary")
 
 
 # -- 3. groups ---------------------------------------------------------------
@@ -378,7 +378,7 @@ def _near_leader(members: DataFrame, heads: DataFrame) -> DataFrame:
                                   names=["node", "group", "size", "bits"])
 
     return (members.join(heads, "leader").select("node", "leader", "tokens", "theirs", "size")
-            .mapInArrow(run, "node binary, group binary, size long, bits binary"))
+            .mapInArrow(freeing(run), "node binary, group binary, size long, bits binary"))
 
 
 def _unions(near: DataFrame) -> DataFrame:
@@ -407,7 +407,7 @@ def _unions(near: DataFrame) -> DataFrame:
 
     kind = "group binary, bits binary, low long, high long, n long"
     one = near.select("group", "bits", F.col("size").alias("low"), F.col("size").alias("high"), F.lit(1).cast("long").alias("n"))
-    return (one.mapInArrow(run, kind).repartition("group").sortWithinPartitions("group").mapInArrow(run, kind))
+    return (one.mapInArrow(freeing(run), kind).repartition("group").sortWithinPartitions("group").mapInArrow(freeing(run), kind))
 
 
 def _qualified(visits: DataFrame, near: DataFrame, unions: DataFrame) -> DataFrame:
@@ -497,7 +497,7 @@ def node_links(docs: DataFrame, total_shingles: int) -> DataFrame:
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total_shingles * 3 // BUCKET_BYTES)
     rows = (_postings(docs, order, tasks).repartitionById(tasks, F.col("bucket"))
             .select("tokens", "who", "nodes", "sizes")
-            .mapInArrow(_matrix_rows, "row long, node binary, size long, n long")
+            .mapInArrow(freeing(_matrix_rows), "row long, node binary, size long, n long")
             .groupBy("row", "node").agg(F.first("size").alias("size"), F.sum("n").alias("n"))).checkpoint()
     # the smallest set that a node could be similar to has three quarters of its size
     nodes = (rows.groupBy("node").agg(F.first("size").alias("size"), F.sum("n").alias("n"))
@@ -541,7 +541,7 @@ def node_links(docs: DataFrame, total_shingles: int) -> DataFrame:
                       F.lit(False).alias("query"), "node", "comp", "tokens"))
     found = (inside.unionByName(queries).repartition("group", "block")
              .sortWithinPartitions("group", "block", "query")
-             .mapInArrow(_open_blocks, "u binary, v binary"))
+             .mapInArrow(freeing(_open_blocks), "u binary, v binary"))
     star = near.filter("node <> group").select(F.col("node").alias("u"), F.col("group").alias("v"))
     return star.unionByName(found).checkpoint()
 

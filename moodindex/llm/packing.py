@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from moodindex.llm.chunks import ChunkEncoder
-from moodindex.llm.common import partition_id, text_of
+from moodindex.llm.common import give_back, partition_id, text_of
 
 WINDOW = 1024
 END_ID = 0
@@ -179,15 +179,20 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
             kinds = [kind, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             return pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
-        for b in batches:
-            kind = b.column(0).type
-            for doc, ids in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist()), strict=True):
-                packer.add(doc, ids + end)
-                if len(packer.out) >= 2000:
-                    yield flush()
-        packer.finish()
-        if packer.out:
-            yield flush()
+        try:
+            for b in batches:
+                kind = b.column(0).type
+                for doc, ids in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist()), strict=True):
+                    packer.add(doc, ids + end)
+                    if len(packer.out) >= 2000:
+                        yield flush()
+            packer.finish()
+            if packer.out:
+                yield flush()
+        finally:
+            encode.memo.clear()
+            del packer
+            give_back()
 
     return (docs.select(docs[id_col].alias("doc_id"), text_of(text_col).alias("text"))
             .mapInArrow(run, SCHEMA.format(id=id_type.simpleString())))
