@@ -17,6 +17,10 @@ FEAR_WORDS_LONG = tuple(dict.fromkeys(
 GREED_WORDS_LONG = tuple(dict.fromkeys(
     GREED_WORDS + tuple(a + b for a in _GREED_SYLLABLES for b in _GREED_SYLLABLES)))[:136]
 
+# 3,500 words: triples of syllables beside the pairs.
+WORDS_3500 = tuple(dict.fromkeys(FEAR_WORDS_LONG + GREED_WORDS_LONG + tuple(
+    a + b + c for a in _FEAR_SYLLABLES for b in _GREED_SYLLABLES for c in _FEAR_SYLLABLES)))[:3500]
+
 # Seeds and sizes of the original jobs.
 SAMPLE_N = 1000
 SAMPLE_SEED = 41

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodindex.operators import filters, indicators as ind, lexicon, model, sampling, text_stats
+from moodindex.operators import filters, indicators as ind, keyword_index, lexicon, model, sampling, text_stats
 from moodindex.operators.upsert import constraint_check, upsert
 from moodindex.plans import params as P
 from moodindex.plans.jobs import Lexicons
@@ -300,6 +300,35 @@ def q_weak_label_raw(spark, sf):
     return lexicon.weak_label(c, P.FEAR_WORDS, P.GREED_WORDS, "text").select("comment_id", "stock_code", "label")
 
 
+def q_weak_label_raw_350(spark, sf):
+    """The same with lexicons of 214 and 136 words."""
+    c = tables.comments(spark, sf).where(F.col("time").isNotNull())
+    return lexicon.weak_label(c, P.FEAR_WORDS_LONG, P.GREED_WORDS_LONG, "text").select("comment_id", "stock_code", "label")
+
+
+def q_keyword_hits_3500(spark, sf):
+    """Distinct keywords of a lexicon of 3,500 words in each raw text."""
+    from moodindex.functions.text import lexicon_hit_count
+    return _docs(spark, sf).select("doc_id", lexicon_hit_count("text", P.WORDS_3500).alias("hits"))
+
+
+def _keyword_rows(spark, words):
+    return spark.createDataFrame([(w,) for w in words], "keyword string")
+
+
+def q_keyword_index_hits(spark, sf):
+    """The same hits with the lexicon as a table, through its anchor index."""
+    docs = _docs(spark, sf).select("doc_id", "text")
+    return keyword_index.hit_counts(docs, _keyword_rows(spark, P.WORDS_3500), "doc_id", "text").drop("text")
+
+
+def q_topic_index_semi(spark, sf):
+    """Texts without white space that hold a topic keyword, through the anchor index."""
+    from moodindex.functions.text import remove_space
+    docs = _docs(spark, sf).select("doc_id", "source", remove_space("text").alias("text"))
+    return keyword_index.mentioning(docs, _topic_lexicon(spark), "doc_id", "text", "left_semi").drop("text")
+
+
 def q_label_distribution_raw(spark, sf):
     return lexicon.label_distribution(q_weak_label_raw(spark, sf))
 
@@ -441,6 +470,10 @@ QUERIES: dict[str, Query] = {
     "weak_label": q_weak_label,
     "weak_label_files": q_weak_label_files,
     "weak_label_raw": q_weak_label_raw,
+    "weak_label_raw_350": q_weak_label_raw_350,
+    "keyword_hits_3500": q_keyword_hits_3500,
+    "keyword_index_hits": q_keyword_index_hits,
+    "topic_index_semi": q_topic_index_semi,
     "label_distribution_raw": q_label_distribution_raw,
     "label_distribution": q_label_distribution,
     "sample_n": q_sample_n,

@@ -59,6 +59,12 @@ def hit_count(x: str, words) -> str:
                                   for w in dict.fromkeys(words)) + ") AS INTEGER)")
 
 
+def many_hits(x: str, words) -> str:
+    """The same for lists too long for one sum of cases."""
+    ws = ", ".join(_q(w) for w in dict.fromkeys(words))
+    return f"CAST(len(list_filter([{ws}], lambda w: contains(coalesce({x}, ''), w))) AS INTEGER)"
+
+
 def has_url(x: str) -> str:
     return f"regexp_matches({x}, {_q(URL_FLAG_RE)})"
 
@@ -317,6 +323,13 @@ SELECT comment_id, fh AS fear_hits, gh AS greed_hits, label FROM labeled"""
 pre AS (SELECT comment_id, stock_code, text AS text_tfidf FROM comments WHERE time IS NOT NULL)
 """, LABELED)
     q["weak_label_raw"] = raw + "SELECT comment_id, stock_code, label FROM labeled"
+    raw_350 = with_(COMMENTS, """
+pre AS (SELECT comment_id, stock_code, text AS text_tfidf FROM comments WHERE time IS NOT NULL)
+""", labeled(P.FEAR_WORDS_LONG, P.GREED_WORDS_LONG))
+    q["weak_label_raw_350"] = raw_350 + "SELECT comment_id, stock_code, label FROM labeled"
+    hits = f"SELECT doc_id, {many_hits('text', P.WORDS_3500)} AS hits FROM documents"
+    q["keyword_hits_3500"] = q["keyword_index_hits"] = hits
+    q["topic_index_semi"] = q["topic_semi_join"]
     q["label_distribution_raw"] = raw + "SELECT label, count(*) AS n FROM labeled GROUP BY 1 ORDER BY 1"
     q["label_distribution"] = LAB + "SELECT label, count(*) AS n FROM labeled GROUP BY 1 ORDER BY 1"
     q["sample_n"] = S + f"""
