@@ -43,5 +43,7 @@ RUN1 = "2024-02-01 00:00:00"
 RUN2 = "2024-02-02 00:00:00"
 TARGET_END = "2024-01-21 00:00:00"
 UPDATE_START = "2024-01-15 12:00:00"
+# The entity whose second batch breaks a rule (a key occurs twice).
+FAILING_ENTITY = "error"
 ORDERS_TARGET_END = "1999-01-01 00:00:00"
 ORDERS_UPDATE_START = "1998-07-01 00:00:00"

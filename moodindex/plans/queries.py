@@ -15,13 +15,14 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from moodindex.operators import filters, indicators as ind, keyword_index, lexicon, model, sampling, text_stats
+from moodindex.operators import bayes, filters, indicators as ind, keyword_index, lexicon, model, sampling, snapshots, states, text_stats
 from moodindex.operators.upsert import constraint_check, upsert
 from moodindex.plans import params as P
 from moodindex.plans.jobs import Lexicons
 from moodindex.session import remove_path, scratch_path
-from moodindex.sources import io, tables
+from moodindex.sources import io, split_csv, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -201,6 +202,52 @@ def q_upsert_monthly(spark, sf):
     return _two_runs(spark, sf, build, ["stock_code", "month"], ["avg_score"], orders=True)
 
 
+def q_publish_versions(spark, sf):
+    """The daily table after a second publishing in which one entity's batch
+    breaks a rule: that entity keeps its first version, the others are merged."""
+    path = scratch_path(spark, f"publish-{uuid.uuid4().hex}")
+    src = tables.scored_events(spark, sf)
+    keys, measures = ["stock_code", "date"], ["fear_ratio", "neutral_ratio", "greed_ratio"]
+    first = ind.daily_sentiment(src.where(F.col("time") < _ts(P.TARGET_END)))
+    second = ind.daily_sentiment(src.where(F.col("time") >= _ts(P.UPDATE_START)))
+    second = second.unionByName(second.where(F.col("stock_code") == P.FAILING_ENTITY))
+    snapshots.publish(spark, path, first, keys, measures, _ts(P.RUN1))
+    snapshots.publish(spark, path, second, keys, measures, _ts(P.RUN2))
+    out = snapshots.read_snapshot(spark, path).select(
+        *keys, *[r8(m).alias(m) for m in measures], "created_at", "updated_at").checkpoint()
+    remove_path(spark, path)
+    return out
+
+
+def _refreshed(spark, sf):
+    """States of a first run before TARGET_END, then of every later day, twice;
+    the source is partitioned by date."""
+    base = scratch_path(spark, f"states-{uuid.uuid4().hex}")
+    src = tables.scored_events(spark, sf)
+    src.withColumn("date", F.to_date("time")).write.partitionBy("date").parquet(f"{base}/source")
+    source = spark.read.parquet(f"{base}/source")
+    states.refresh_days(source.where(F.col("time") < _ts(P.TARGET_END)), f"{base}/states")
+    late = source.where(F.col("date") >= F.to_date(_ts(P.TARGET_END))).select("date").distinct()
+    days = [r["date"] for r in late.collect()]  # days of a calendar
+    for _ in range(2):
+        states.refresh_days(source, f"{base}/states", days)
+    out = states.read_states(spark, f"{base}/states").checkpoint()
+    remove_path(spark, base)
+    return out
+
+
+def q_rerun_idempotent(spark, sf):
+    """Hourly score and change rate folded from incremental states."""
+    return states.fold_change(_refreshed(spark, sf)).select(
+        "stock_code", "year", "hour", r8("avg_score").alias("avg_score"), r8("change_rate").alias("change_rate"))
+
+
+def q_states_daily(spark, sf):
+    """Daily ratios folded from incremental states."""
+    return states.fold_daily(_refreshed(spark, sf)).select(
+        "stock_code", "date", *[r8(c).alias(c) for c in states.RATIOS])
+
+
 # -- text: filters, cleaning, labels ----------------------------------------
 
 def _pre(spark, sf):
@@ -396,6 +443,57 @@ def q_scan_csv(spark, sf):
     return back
 
 
+def q_scan_csv_split(spark, sf):
+    """The same round trip through one file, read in byte ranges by many tasks."""
+    docs = _docs(spark, sf).select("doc_id", "source", "text")
+    path = scratch_path(spark, f"scan_csv_split-{uuid.uuid4().hex}")
+    io.write_csv(docs.coalesce(1), path)
+    back = split_csv.read_csv_split(spark, path, docs.schema)
+    back = back.select("doc_id", "source", F.length("text").cast("int").alias("n_chars")).checkpoint()
+    remove_path(spark, path)
+    return back
+
+
+def q_scan_rejects(spark, sf):
+    """Records that fit the schema and those that don't, with the reason: all rows once."""
+    e = tables.table(spark, sf, "events")
+    raw = e.select(F.col("event_id").cast("string").alias("event_id"), F.expr(
+        "CASE event_type WHEN 'error' THEN 'n/a' WHEN 'signup' THEN NULL ELSE CAST(value AS STRING) END").alias("value"))
+    path = scratch_path(spark, f"rejects-{uuid.uuid4().hex}")
+    io.write_csv(raw, path)
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType())])
+    good, bad = split_csv.scan_csv(spark, path, schema, required=["value"])
+    out = good.select("event_id", F.lit("good").alias("status")).unionByName(
+        bad.select(F.split("text", ",")[0].cast("long").alias("event_id"), F.col("reason").alias("status"))).checkpoint()
+    remove_path(spark, path)
+    return out
+
+
+# -- Naive Bayes as tables ---------------------------------------------------
+
+def _bayes(spark, sf):
+    data = filters.train_input(_split_labeled(spark, sf))
+    return bayes.train(data.where(F.col("split") == "train"), "comment_id", "text_bert", "label").checkpoint(), data
+
+
+def q_bayes_model(spark, sf):
+    m, _ = _bayes(spark, sf)
+    return m.where("term IS NOT NULL").select("term", *[r8(f"w{c}").alias(f"w{c}") for c in bayes.CLASSES])
+
+
+def q_bayes_score(spark, sf):
+    m, _ = _bayes(spark, sf)
+    pre = _pre(spark, sf).select("comment_id", "stock_code", "text_bert")
+    return bayes.score(m, pre, "comment_id", "text_bert").select(
+        "comment_id", "stock_code", *bayes.PROB_NAMES, "pred_label")
+
+
+def q_bayes_evaluate(spark, sf):
+    m, data = _bayes(spark, sf)
+    valid = data.where(F.col("split") == "valid").select("comment_id", "label", "text_bert")
+    return bayes.evaluate(bayes.score(m, valid, "comment_id", "text_bert")).select("metric", r8("value").alias("value"))
+
+
 # -- model (rows-only checks) ------------------------------------------------
 
 def _model_and_split(spark, sf):
@@ -484,6 +582,14 @@ QUERIES: dict[str, Query] = {
     "tfidf_top30": q_tfidf_top30,
     "token_window": q_token_window,
     "scan_csv": q_scan_csv,
+    "scan_csv_split": q_scan_csv_split,
+    "scan_rejects": q_scan_rejects,
+    "publish_versions": q_publish_versions,
+    "rerun_idempotent": q_rerun_idempotent,
+    "states_daily": q_states_daily,
+    "bayes_model": q_bayes_model,
+    "bayes_score": q_bayes_score,
+    "bayes_evaluate": q_bayes_evaluate,
     "map_batches": q_map_batches,
     "train_classifier": q_train_classifier,
     "evaluate_classifier": q_evaluate_classifier,

@@ -127,6 +127,33 @@ labeled AS (
 LABELED = labeled()
 
 
+def _bayes_ctes() -> str:
+    """Closed-form multinomial Naive Bayes, trained on the split's training rows."""
+    w = ", ".join(f"ln((c{c} + CAST(1 AS DOUBLE)) / (n{c} + v)) AS w{c}" for c in range(3))
+    cs = ", ".join(f"count(*) FILTER (WHERE label = {c}) AS c{c}" for c in range(3))
+    ds = ", ".join(f"ln(count(*) FILTER (WHERE label = {c}) / CAST(count(*) AS DOUBLE)) AS p{c}" for c in range(3))
+    ts = ", ".join(f"coalesce(sum(tf * w{c}), 0) + any_value(p{c}) AS t{c}" for c in range(3))
+    es = ", ".join(f"exp(t{c} - greatest(t0, t1, t2)) AS e{c}" for c in range(3))
+    return f"""
+split AS ({_split_sql("SELECT comment_id AS id, label FROM labeled", "comment_id")}),
+train AS (SELECT comment_id, split.label, text_bert FROM labeled JOIN split USING (comment_id)
+          WHERE split.split = 'train' AND length(text_bert) > 0),
+tok AS (SELECT comment_id, unnest(regexp_extract_all(lower(coalesce(text_bert, '')), {_q(NON_SPACE_RUN_RE)})) AS term FROM pre),
+cnt AS (SELECT term, {cs} FROM tok JOIN train USING (comment_id) GROUP BY term),
+tot AS (SELECT count(*) AS v, sum(c0) AS n0, sum(c1) AS n1, sum(c2) AS n2 FROM cnt),
+model AS (SELECT term, {w} FROM cnt, tot),
+prior AS (SELECT {ds} FROM train),
+tf AS (SELECT comment_id, term, count(*) AS tf FROM tok GROUP BY 1, 2),
+sums AS (SELECT pre.comment_id, any_value(pre.stock_code) AS stock_code, any_value(pre.text_bert) AS text_bert, {ts}
+         FROM pre LEFT JOIN (SELECT * FROM tf JOIN model USING (term)) x ON x.comment_id = pre.comment_id, prior
+         GROUP BY pre.comment_id),
+scored_nb AS (
+  SELECT *, {es},
+         CAST(CASE WHEN t0 >= t1 AND t0 >= t2 THEN 0 WHEN t1 >= t2 THEN 1 ELSE 2 END AS INTEGER) AS pred_label
+  FROM sums)
+"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
 
@@ -194,6 +221,7 @@ FROM t FULL OUTER JOIN u ON {on}"""
 
 
 def oracle() -> dict[str, str]:
+    BAYES = _bayes_ctes().strip() + "\n"
     S = with_(SCORED)
     SC = with_(SCORED, "d AS (" + daily_agg() + ")")
     PRE = with_(COMMENTS, preprocessed())
@@ -295,6 +323,12 @@ WHERE n > 0"""
         order_monthly(f"o_orderdate >= TIMESTAMP '{P.ORDERS_UPDATE_START}'"),
         ["stock_code", "month"], ["avg_score"], rnd=r4)
 
+    q["publish_versions"] = upsert_sql(
+        daily_agg(t_where), daily_agg(f"{u_where} AND stock_code <> {_q(P.FAILING_ENTITY)}"),
+        ["stock_code", "date"], ["fear_ratio", "neutral_ratio", "greed_ratio"], (SCORED,))
+    q["rerun_idempotent"] = q["indicators"]
+    q["states_daily"] = q["daily_sentiment"]
+
     q["entity_filter"] = with_(COMMENTS) + f"""
 SELECT comment_id, stock_code FROM comments WHERE stock_code = {_q(P.ENTITY)}"""
     q["url_filter"] = """
@@ -378,6 +412,20 @@ SELECT conv_id, turn, CAST(chunk AS INTEGER) AS chunk,
          AS window_text
 FROM w"""
     q["scan_csv"] = "SELECT doc_id, source, CAST(length(text) AS INTEGER) AS n_chars FROM documents"
+    q["scan_csv_split"] = q["scan_csv"]
+    q["scan_rejects"] = """
+SELECT event_id, CASE event_type WHEN 'error' THEN 'malformed' WHEN 'signup' THEN 'missing value' ELSE 'good' END AS status
+FROM events"""
+    nb = LAB + ",\n" + BAYES
+    q["bayes_model"] = nb + f"SELECT term, {r8('w0')} AS w0, {r8('w1')} AS w1, {r8('w2')} AS w2 FROM model"
+    q["bayes_score"] = nb + """
+SELECT comment_id, stock_code, round(e0 / (e0 + e1 + e2), 4) AS prob_fear, round(e1 / (e0 + e1 + e2), 4) AS prob_neutral,
+       round(e2 / (e0 + e1 + e2), 4) AS prob_greed, pred_label FROM scored_nb"""
+    q["bayes_evaluate"] = nb + f"""
+, v AS (SELECT s.*, split.label AS y FROM scored_nb s JOIN split USING (comment_id) WHERE split.split = 'valid' AND length(text_bert) > 0),
+m AS (SELECT avg(CASE WHEN y = pred_label THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS accuracy,
+             avg(-ln(greatest((CASE y WHEN 0 THEN e0 WHEN 1 THEN e1 ELSE e2 END) / (e0 + e1 + e2), 1e-15))) AS loss FROM v)
+SELECT 'accuracy' AS metric, {r8('accuracy')} AS value FROM m UNION ALL SELECT 'logLoss', {r8('loss')} FROM m"""
     q["map_batches"] = f"""
 SELECT conv_id, turn, CAST(length(coalesce(text, '')) AS INTEGER) AS n_chars,
        CAST(len(regexp_extract_all(coalesce(text, ''), {_q(NON_SPACE_RUN_RE)})) AS INTEGER) AS n_words
@@ -414,6 +462,8 @@ TEMPORAL = {
     "typed_indicators": {"date": _D, "created_at": _T},
     "typed_monthly": {"created_at": _T},
     "upsert_daily": {"date": _D, "created_at": _T, "updated_at": _T},
+    "publish_versions": {"date": _D, "created_at": _T, "updated_at": _T},
+    "states_daily": {"date": _D},
     "upsert_hourly": {"created_at": _T, "updated_at": _T},
     "upsert_monthly": {"created_at": _T, "updated_at": _T},
     "upsert_change_rate": {"created_at": _T, "updated_at": _T},

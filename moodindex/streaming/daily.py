@@ -24,18 +24,23 @@ from moodindex.sources.io import CSV_OPTIONS
 
 def start_daily_stream(spark: SparkSession, source_dir: str, schema: StructType,
                        table_path: str, checkpoint_dir: str, fmt: str = "parquet",
-                       available_now: bool = True) -> StreamingQuery:
-    """Start the incremental daily job; returns the running query."""
+                       available_now: bool = True, date_col: str | None = None) -> StreamingQuery:
+    """Start the incremental daily job; returns the running query.  ``date_col``: the
+    date by which the source's folders are partitioned (a column of ``schema``); a
+    micro-batch then reads only the folders of the days that it touches."""
     options = {**CSV_OPTIONS, "multiLine": "true"} if fmt == "csv" else {}
     stream = spark.readStream.schema(schema).options(**options).format(fmt).load(source_dir)
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
         # a null entity or day has no row in the table: its key would be null
-        touched = (with_time_parts(batch).select("stock_code", "date").distinct().dropna().persist())
+        touched = (with_time_parts(batch.drop("date")).select("stock_code", "date").distinct().dropna().persist())
         try:
             if touched.isEmpty():
                 return
             source = spark.read.schema(schema).options(**options).format(fmt).load(source_dir)
+            if date_col:
+                days = [r["date"] for r in touched.select("date").distinct().collect()]  # days of a calendar
+                source = source.where(F.col(date_col).isin(days)).drop(date_col)
             rows = with_time_parts(source).join(touched, ["stock_code", "date"], "left_semi")
             publish_upsert(spark, table_path, daily_sentiment(rows.select(source.columns)),
                            schemas.DAILY_KEYS, schemas.DAILY_MEASURES, F.current_timestamp())
