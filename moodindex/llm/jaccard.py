@@ -16,16 +16,19 @@ against every set that could reach the threshold:
    kept once, with their number.  A node with fewer than k shared tokens, for the smallest
    set that it could be similar to, has no partner and goes.
 3. *Groups.*  A node's leader is, of the nodes that it shares a row with, the one
-   with the largest share of shared tokens (of near copies the one edited least);
-   if the two are similar the node joins the leader's group, else it is a group of
-   its own.  So the members of a group are similar to one set and in one component.
-   Where a row holds several groups, a node is a query to those with a lesser name.
+   with the largest share of shared tokens (of near copies the one edited least).
+   If they have a similarity of ``LOOSE`` or more, the node joins the leader's group, else
+   it is a group of its own; at the threshold the two are linked.  So the near copies
+   of one text, however far apart, are one group.  A member that isn't linked to the leader is a
+   query to its own group.  Where a row holds several groups, a node is a query to those
+   with a lesser name.
 4. *Bounds.*  The matrix keeps each group's token union as a bitmap.  A bit that a query
    has and the union lacks stands for a token that no member has, so the query's
    size less those bits bounds its overlap with every member.  Only queries and
    groups that the bound lets pass are opened: their sets are read again and meet in
    blocks of about ``BLOCK`` members, where subgroups of ``SUBGROUP`` members bound the overlap
-   by their exact union before sets are compared one by one.
+   by their exact union before their sets are compared.  What is known to be connected is not
+   compared again.
 5. *Components.*  Links between different sets go through alternating
    large-star and small-star rounds until nothing changes.
 
@@ -57,6 +60,8 @@ CHUNK_TOKENS = 2_000_000
 # Packed tokens per bucket, in bytes, on average.
 BUCKET_BYTES = 24 << 20
 BLOCK, SUBGROUP = 1024, 32
+# Members of a group have this similarity (as a fraction) to its leader.
+LOOSE = (1, 4)
 # One shared token more is asked for so many tokens of a set.
 SHARED_STEP = 16
 # Bits of a group's or a set's bitmap of tokens.
@@ -359,26 +364,28 @@ def _bitmap(tokens: np.ndarray) -> np.ndarray:
 
 
 def _near_leader(members: DataFrame, heads: DataFrame) -> DataFrame:
-    """``node, group, size, bits``: the group is the leader if it is similar,
-    else the node itself."""
+    """``node, group, comp, size, bits``: the group is the leader if it is loosely similar,
+    the component (as far as it is known) the leader if they link; else the node itself."""
 
     def run(batches):
         lead, of = None, None
         for b in batches:
-            groups, bits = [], []
+            groups, comps, bits = [], [], []
             nodes, leaders, tokens, theirs = (c.to_pylist() for c in b.columns[:4])
             for n, g, t, u in zip(nodes, leaders, tokens, theirs, strict=True):
                 if g != lead:
                     lead, of = g, np.frombuffer(u, np.uint64)
                 t = np.frombuffer(t, np.uint64)
                 both = len(np.intersect1d(t, of, assume_unique=True))
-                groups.append(g if both >= needed(len(t), len(of)) else n)
+                groups.append(g if LOOSE[1] * both >= LOOSE[0] * (len(t) + len(of) - both) else n)
+                comps.append(g if both >= needed(len(t), len(of)) else n)
                 bits.append(_bitmap(t).tobytes())
-            yield pa.record_batch([b.column(0), pa.array(groups, pa.binary()), b.column(4), pa.array(bits, pa.binary())],
-                                  names=["node", "group", "size", "bits"])
+            yield pa.record_batch([b.column(0), pa.array(groups, pa.binary()), pa.array(comps, pa.binary()),
+                                   b.column(4), pa.array(bits, pa.binary())],
+                                  names=["node", "group", "comp", "size", "bits"])
 
     return (members.join(heads, "leader").select("node", "leader", "tokens", "theirs", "size")
-            .mapInArrow(freeing(run), "node binary, group binary, size long, bits binary"))
+            .mapInArrow(freeing(run), "node binary, group binary, comp binary, size long, bits binary"))
 
 
 def _unions(near: DataFrame) -> DataFrame:
@@ -440,31 +447,43 @@ class _Block:
 
     def __init__(self, rows: list[tuple]):
         rows = sorted(rows, key=lambda r: (r[1], len(r[2]), r[0]))  # by component, then size
+        self.up: dict[bytes, bytes] = {}  # components that links have joined
         self.parts = []
         for k in range(0, len(rows), SUBGROUP):
-            part = [(n, c, np.frombuffer(t, np.uint64)) for n, c, t in rows[k:k + SUBGROUP]]
-            union = np.unique(np.concatenate([t for _, _, t in part]))
-            sizes = [len(t) for _, _, t in part]
-            self.parts.append((union, min(sizes), max(sizes), {c for _, c, _ in part}, part))
+            nodes, comps, tokens = zip(*rows[k:k + SUBGROUP], strict=True)
+            sets = [np.frombuffer(t, np.uint64) for t in tokens]
+            sizes = np.array([len(t) for t in sets])
+            flat = np.concatenate(sets)
+            self.parts.append((np.unique(flat), flat, np.cumsum(sizes) - sizes, sizes, nodes, comps))
+
+    def root(self, comp: bytes) -> bytes:
+        up = self.up
+        while (over := up.get(comp)) is not None:
+            if (top := up.get(over)) is not None:
+                up[comp] = top
+            comp = over
+        return comp
 
     def links(self, node: bytes, comp: bytes, tokens: np.ndarray):
-        """Nodes similar to the query; of each component, the first found."""
-        n = len(tokens)
-        least, found = -(-3 * n // 4), {comp}
-        for union, low, high, comps, part in self.parts:
-            if 4 * high < 3 * n or 4 * n < 3 * low or comps <= found:
+        """Nodes similar to the query; of what is connected, the first found."""
+        n, root = len(tokens), self.root
+        least, own = -(-3 * n // 4), root(comp)
+        for union, flat, starts, sizes, nodes, comps in self.parts:
+            fits = (4 * sizes >= 3 * n) & (4 * n >= 3 * sizes)
+            if not fits.any() or all(root(c) == own for c in set(comps)):
                 continue
             at = np.searchsorted(union, tokens)
             at[at == len(union)] = 0
             if int((union[at] == tokens).sum()) < least:
                 continue  # no member can reach the threshold
-            for m, c, t in part:
-                if c in found or m == node or 4 * len(t) < 3 * n or 4 * n < 3 * len(t):
-                    continue
-                both = len(np.intersect1d(tokens, t, assume_unique=True))
-                if both >= needed(n, len(t)):
-                    found.add(c)
-                    yield m
+            at = np.searchsorted(tokens, flat)
+            at[at == n] = 0
+            both = np.add.reduceat(tokens[at] == flat, starts, dtype=np.int64)
+            for i in np.flatnonzero(fits & (both >= needed(n, sizes))):
+                other = root(comps[i])
+                if other != own and nodes[i] != node:
+                    self.up[other] = own
+                    yield nodes[i]
 
 
 def _open_blocks(batches):
@@ -530,19 +549,22 @@ def node_links(docs: DataFrame, total_shingles: int) -> DataFrame:
     unions = _unions(near).checkpoint()
     visits = _qualified(visits, near, unions).checkpoint()
 
-    comp = near.select("node", F.col("group").alias("comp"))
-    inside = comp.join(visits.select(F.col("group").alias("comp")).distinct(), "comp").select("node", "comp").checkpoint()
+    # members that aren't linked to their leader: queries to their own group
+    loose = near.filter("node <> group AND comp <> group").select("node", "group")
+    visits = visits.unionByName(loose)
+    comp = near.select("node", "comp")
+    inside = near.select("node", "group").join(visits.select("group").distinct(), "group").select("node", "group").checkpoint()
     known = comp.join(sets_of(inside.select("node").unionByName(visits.select("node")).distinct().checkpoint()), "node")
     sized = unions.select("group", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     queries = (visits.join(sized, "group").select("node", "group", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
                .join(known, "node").select("group", "block", F.lit(True).alias("query"), "node", "comp", "tokens"))
-    inside = (inside.select("node", F.col("comp").alias("group")).join(sized, "group").join(known, "node")
+    inside = (inside.join(sized, "group").join(known, "node")
               .select("group", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
                       F.lit(False).alias("query"), "node", "comp", "tokens"))
     found = (inside.unionByName(queries).repartition("group", "block")
              .sortWithinPartitions("group", "block", "query")
              .mapInArrow(freeing(_open_blocks), "u binary, v binary"))
-    star = near.filter("node <> group").select(F.col("node").alias("u"), F.col("group").alias("v"))
+    star = near.filter("node <> comp").select(F.col("node").alias("u"), F.col("comp").alias("v"))
     return star.unionByName(found).checkpoint()
 
 
