@@ -38,7 +38,7 @@ from moodindex.llm.common import fresh, give_back, text_of
 WORD_BITS = 8
 WORD_MASK = (1 << WORD_BITS) - 1
 # Pairs of entries whose rank is remembered (about 100 bytes each).
-PAIRS = 300_000
+PAIRS = 1_000_000
 
 
 class Vocabulary:
@@ -170,12 +170,6 @@ class Vocabulary:
                 del memo[p]
         return out
 
-    def forget(self) -> None:
-        """Free what a task remembered."""
-        self.memo.clear()
-        self.encode_texts.memo.clear()
-        give_back()
-
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.entries.__getitem__, ids))
 
@@ -206,7 +200,7 @@ def bpe_encode(df: DataFrame, path: str, pattern: str, text_col: str = "text",
                 yield pd.Series([np.frombuffer(x, "<u4").astype(np.int32) for x in v.encode_texts(texts.tolist())],
                                 dtype=object)
         finally:
-            v.forget()
+            give_back()
 
     t = fresh(df, "_text")
     d = df.withColumn(t, text_of(text_col))

@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 # Bytes that a memory may take in each of two generations, about, and the
 # longest chunk remembered: a bound of memory, not of results.
-CACHE_BYTES = 24 << 20
+CACHE_BYTES = 96 << 20
 CACHE_CHARS = 64
 # What an entry takes: a slot of the dictionary and the heads of key and value;
 # key and value themselves are counted by the longest chunk's share.
@@ -28,9 +28,6 @@ class Memo:
         self.now: dict = {}
         self.old: dict = {}
 
-    def clear(self) -> None:
-        self.now, self.old = {}, {}
-
     def missing(self, keys: set) -> list:
         """Those of ``keys`` that aren't remembered; the others are in ``now`` after it."""
         if len(self.now) > self.size:

@@ -190,7 +190,6 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
             if packer.out:
                 yield flush()
         finally:
-            encode.memo.clear()
             del packer
             give_back()
 
