@@ -1,14 +1,17 @@
 """Byte-level BPE encoding and decoding with a rank queue on a hierarchical
 bitmap.
 
-A pre-token is a linked list of its bytes.  Each adjacent pair that merges
+Pre-tokens are one linked list of bytes, with a barrier between any two of them
+that no pair crosses.  Each adjacent pair that merges
 has a rank; the queue has one bucket of list positions per rank and a bitmap
 of the buckets that are not empty: words of 256 ranks under a summary word.
-Find-first-set on both gives the lowest rank; the bucket gives its leftmost
-position.  A position whose pair has changed since is
-stale and skipped.  A merge costs the same at any length, so a pre-token of
-n bytes takes O(n log n) steps (the log for positions within one bucket),
-not O(n^2).
+Find-first-set on both gives the lowest rank, and its bucket is drained from
+left to right.  A position whose pair has changed since is
+stale and skipped.  If a merge makes a pair of a lower rank than the bucket's, the
+rest of the bucket goes back into the queue.  So each pre-token sees its lowest rank
+at its leftmost place first, whatever it shares the list with.  A merge costs the same at any
+length: a pre-token of n bytes takes O(n log n) steps (the log for the order of positions
+within a bucket), not O(n^2).
 
 Texts are split by the given pattern and never cut; pre-tokens that are
 entries of the vocabulary are taken as they are; the ids of short chunks and
@@ -22,9 +25,7 @@ those with the names of the new columns, which are replaced.
 from __future__ import annotations
 
 import base64
-from array import array
 from collections.abc import Iterator
-from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -37,8 +38,8 @@ from moodindex.llm.common import fresh, give_back, text_of
 # 256 ranks to a word of the bitmap; one summary word tells which words are not empty.
 WORD_BITS = 8
 WORD_MASK = (1 << WORD_BITS) - 1
-# Pairs of entries whose rank is remembered (about 100 bytes each).
-PAIRS = 1_000_000
+# Bytes of the pre-tokens of one list (a longer pre-token has a list of its own).
+LIST_BYTES = 1 << 17
 
 
 class Vocabulary:
@@ -50,120 +51,138 @@ class Vocabulary:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.entries: dict[int, bytes] = {v: k for k, v in self.ranks.items()}
         self.find = regex.compile(pattern).findall
-        self.words = [0] * ((max(self.entries) >> WORD_BITS) + 1)
-        self.byte = [self.ranks[bytes([i])] for i in range(256)]
-        self.pairs: dict[int, int] = {}
+        self.n_words = (max(self.entries) >> WORD_BITS) + 1
+        self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
+        self.pairs = self._joins()
+        self.first = np.full((256, 256), -1, np.int64)  # ranks of pairs of bytes
+        for i, x in enumerate(self.byte.tolist()):
+            for j, y in enumerate(self.byte.tolist()):
+                self.first[i, j] = self.pairs.get(x << 32 | y, -1)
         self.memo = Memo()
         self.encode_texts = ChunkEncoder(self._encode_many)
 
-    def _join(self, key: int) -> int:
-        """The rank of the entry that joins two entries (``left << 32 | right``), or -1."""
-        if len(self.pairs) > PAIRS:
-            self.pairs.clear()
-        r = self.ranks.get(self.entries[key >> 32] + self.entries[key & 0xFFFFFFFF], -1)
-        self.pairs[key] = r
-        return r
+    def _joins(self) -> dict[int, int]:
+        """The rank of every entry by two entries that make it (``left << 32 | right``)."""
+        ranks, out = self.ranks, {}
+        for entry, r in ranks.items():
+            for cut in range(1, len(entry)):
+                left = ranks.get(entry[:cut])
+                if left is not None:
+                    right = ranks.get(entry[cut:])
+                    if right is not None:
+                        out[left << 32 | right] = r
+        return out
+
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of pre-tokens, little-endian 32 bits: always the lowest rank of
+        a pre-token, at its leftmost place."""
+        ranks = self.ranks
+        out = [ranks[p].to_bytes(4, "little") if p in ranks else b"" for p in pieces]
+        block: list[int] = []
+        size = 0
+        for at, p in enumerate(pieces):
+            if out[at] or not p:
+                continue
+            if block and size + len(p) > LIST_BYTES:
+                self._fill(out, pieces, block)
+                block, size = [], 0
+            block.append(at)
+            size += len(p)
+        self._fill(out, pieces, block)
+        return out
+
+    def _fill(self, out: list[bytes], pieces: list[bytes], block: list[int]) -> None:
+        if block:
+            for at, ids in zip(block, self._encode_list([pieces[at] for at in block]), strict=True):
+                out[at] = ids
 
     def encode_piece(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token: always the lowest rank, at its leftmost place."""
-        if piece in self.ranks:
-            return [self.ranks[piece]]
-        known, join = self.pairs.get, self._join
-        words, top = self.words, 0  # all words are 0 between calls
-        buckets: dict[int, int | list[int]] = {}  # one position, or a heap of several
-        ids = list(map(self.byte.__getitem__, piece))
-        n = len(ids)
-        after = list(range(1, n + 1))
-        before = list(range(-1, n - 1))
-        waiting = [-1] * n  # the rank of the pair that starts here
-        live = 0  # pairs that wait; entries of the queue beyond them are stale
-        fresh: list[tuple[int, int]] = []
-        left, i = ids[0], 0
-        for right in ids[1:]:
-            key = left << 32 | right
-            r = known(key)
-            if r is None:
-                r = join(key)
-            if r >= 0:
-                fresh.append((r, i))
-            left, i = right, i + 1
-        while True:
-            for r, i in fresh:
-                waiting[i] = r
-                live += 1
-                bucket = buckets.get(r)
-                if bucket is None:
-                    buckets[r] = i
-                    at = r >> WORD_BITS
-                    words[at] |= 1 << (r & WORD_MASK)
-                    top |= 1 << at
-                elif type(bucket) is int:
-                    buckets[r] = [bucket, i] if bucket < i else [i, bucket]
-                else:
-                    heappush(bucket, i)
-            if not live:
-                break
+        """Ids of one pre-token."""
+        return np.frombuffer(self.encode_pieces([piece])[0], "<u4").tolist()
+
+    def _encode_list(self, pieces: list[bytes]) -> list[bytes]:
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        total = int(sizes.sum())
+        # a barrier (id -1, so no pair is found) before each piece, and one at the end
+        barrier = np.concatenate([[0], np.cumsum(sizes + 1)])
+        n = total + len(barrier)
+        inside = np.ones(n, bool)
+        inside[barrier] = False
+        raw = np.zeros(n, np.uint8)
+        raw[inside] = np.frombuffer(b"".join(pieces), np.uint8)
+        ids_at = np.where(inside, self.byte[raw], -1)
+        rank_at = np.full(n, -1, np.int64)
+        rank_at[:-1] = np.where(inside[:-1] & inside[1:], self.first[raw[:-1], raw[1:]], -1)
+        places = np.flatnonzero(rank_at >= 0)
+        places = places[np.argsort(rank_at[places], kind="stable")]
+        found, starts = np.unique(rank_at[places], return_index=True)
+        buckets: dict[int, list[int]] = dict(zip(
+            found.tolist(), (x.tolist() for x in np.split(places, starts[1:])), strict=True)) if len(found) else {}
+        words, top = [0] * self.n_words, 0
+        for r in buckets:
+            words[r >> WORD_BITS] |= 1 << (r & WORD_MASK)
+            top |= 1 << (r >> WORD_BITS)
+        ids, waiting = ids_at.tolist(), rank_at.tolist()  # waiting: the rank of the pair that starts here
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        known = self.pairs.get
+        while top:
             # find first set: the summary word, then its word
             at = (top & -top).bit_length() - 1
             word = words[at]
             bit = word & -word
+            words[at] = word = word ^ bit
+            if not word:
+                top ^= 1 << at
             rank = (at << WORD_BITS) + bit.bit_length() - 1
-            bucket = buckets[rank]
-            if type(bucket) is int:
-                i, bucket = bucket, None
-            else:
-                i = heappop(bucket)
-            if not bucket:
-                del buckets[rank]
-                words[at] = word = word ^ bit
-                if not word:
-                    top ^= 1 << at
-            fresh = []
-            if waiting[i] != rank:
-                continue  # stale
-            j = after[i]
-            k = after[j]
-            ids[i] = rank
-            after[i] = k
-            waiting[i] = -1
-            live -= 1
-            if waiting[j] >= 0:
-                waiting[j] = -1
-                live -= 1
-            if k < n:
+            bucket = buckets.pop(rank)
+            bucket.sort()
+            rest = iter(bucket)
+            left_key, lower = rank << 32, False
+            for i in rest:
+                if waiting[i] != rank:
+                    continue  # stale
+                j = after[i]
+                k = after[j]
+                h = before[i]
+                ids[i] = rank
+                ids[j] = waiting[j] = -1
+                after[i] = k
                 before[k] = i
-                key = rank << 32 | ids[k]
-                r = known(key)
-                if r is None:
-                    r = join(key)
+                waiting[i] = r = known(left_key | ids[k], -1)
                 if r >= 0:
-                    fresh.append((r, i))
-            h = before[i]
-            if h >= 0:
-                key = ids[h] << 32 | rank
-                r = known(key)
-                if r is None:
-                    r = join(key)
-                was = waiting[h]
-                if r != was:
-                    if was >= 0:
-                        waiting[h] = -1
-                        live -= 1
-                    if r >= 0:
-                        fresh.append((r, h))
-        for r in buckets:  # what is left is stale
-            words[r >> WORD_BITS] = 0
-        out, i = [], 0
-        while i < n:
-            out.append(ids[i])
-            i = after[i]
-        return out
+                    if r in buckets:
+                        buckets[r].append(i)
+                    else:
+                        buckets[r] = [i]
+                        words[r >> WORD_BITS] |= 1 << (r & WORD_MASK)
+                        top |= 1 << (r >> WORD_BITS)
+                    lower = r < rank
+                waiting[h] = r = known(ids[h] << 32 | rank, -1)
+                if r >= 0:
+                    if r in buckets:
+                        buckets[r].append(h)
+                    else:
+                        buckets[r] = [h]
+                        words[r >> WORD_BITS] |= 1 << (r & WORD_MASK)
+                        top |= 1 << (r >> WORD_BITS)
+                    lower = lower or r < rank
+                if lower:
+                    back = list(rest)
+                    if back:
+                        buckets[rank] = back
+                        words[at] |= bit
+                        top |= 1 << at
+        made = np.array(ids, np.int64)
+        kept = np.concatenate([[0], np.cumsum(made >= 0)])[barrier] * 4
+        raw_ids = made[made >= 0].astype("<u4").tobytes()
+        cuts = kept.tolist()
+        return [raw_ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def _encode_many(self, texts: list[str]) -> list[bytes]:
         split = list(map(self.find, texts))
         new = self.memo.missing(set().union(*split))
         memo = self.memo.now
-        memo.update((p, array("I", self.encode_piece(p.encode())).tobytes()) for p in new)
+        memo.update(zip(new, self.encode_pieces([p.encode() for p in new]), strict=True))
         out = [b"".join(map(memo.__getitem__, s)) for s in split]
         for p in new:
             if len(p) > CACHE_CHARS:
