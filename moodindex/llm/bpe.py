@@ -40,6 +40,8 @@ WORD_BITS = 8
 WORD_MASK = (1 << WORD_BITS) - 1
 # Bytes of the pre-tokens of one list (a longer pre-token has a list of its own).
 LIST_BYTES = 1 << 17
+# Bytes of each of the two memories (chunks, pre-tokens), a generation.
+MEMO_BYTES = 32 << 20
 
 
 class Vocabulary:
@@ -58,8 +60,8 @@ class Vocabulary:
         for i, x in enumerate(self.byte.tolist()):
             for j, y in enumerate(self.byte.tolist()):
                 self.first[i, j] = self.pairs.get(x << 32 | y, -1)
-        self.memo = Memo()
-        self.encode_texts = ChunkEncoder(self._encode_many)
+        self.memo = Memo(MEMO_BYTES)
+        self.encode_texts = ChunkEncoder(self._encode_many, MEMO_BYTES)
 
     def _joins(self) -> dict[int, int]:
         """The rank of every entry by two entries that make it (``left << 32 | right``)."""

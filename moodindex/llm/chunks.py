@@ -45,9 +45,9 @@ class Memo:
 class ChunkEncoder:
     """``encode`` maps texts to their ids as bytes (little-endian 32 bits)."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = CACHE_BYTES):
         self.encode = encode
-        self.memo = Memo()
+        self.memo = Memo(most)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         heads, rests = [], []
