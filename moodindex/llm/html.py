@@ -13,10 +13,10 @@ salted parts, and the parts of a host last: a hot host is never gathered, and
 only one wrapper a host is held at a time.
 
 A finished wrapper tells which texts are the same on different pages.  Extraction
-aligns a page's elements with its host's wrapper and chooses the main region for this page,
-so a host may have any number of templates: the ``article`` or ``main`` elements if they hold half
-of the text (that isn't links), else the smallest container that holds nearly all slots, without
-the containers before and after them that hold none.  Subtrees of
+aligns a page's elements with its host's wrapper and chooses the main region for this page by the slots,
+so a host may have any number of templates: the smallest container that holds all slots with text that
+isn't links, without the containers before and after them that hold none.  A page alone on its host has
+no slots to tell; all of it counts that isn't cut.  Subtrees of
 menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are cut
 (by element, role or the names in class and id; by names not if the element holds most of
 the page's text).  What the alignment can't place counts
@@ -36,6 +36,7 @@ from collections import Counter, deque
 from html import unescape
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,11 +48,15 @@ SALTS = 64
 BROADCAST_BYTES = 16 << 20
 JOIN_SALTS = 16
 MAX_PERIOD = 3
-# The main region is the smallest container with such a share of a page's slots.
+# Sequences of siblings whose table has no more cells than this are aligned by the table.
+TABLE_CELLS = 250_000
+# An article is fair with such a share of a page's text: then marks inside and beside it hold.
 NEARLY = 0.9
 # The mark of a container that class or id would cut, and the share of a page's text up to which it is cut.
 MARKS = {"?": 0.5, "~": NEARLY}
 MAX_HOSTS = 5000
+# Elements whose wrappers a task holds before it passes them on, about (200 bytes each).
+MAX_NODES = 500_000
 
 # Names of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -365,26 +370,84 @@ def _key(x: list):
     return (x[0], tuple(y[0] for y in x[3])) if x[0] == "()" else x[0]
 
 
-def align(a: list[list], b: list[list], later: deque) -> list[list]:
-    """Align two sequences of siblings; what one lacks becomes optional."""
-    ka, kb = [_key(x) for x in a], [_key(x) for x in b]
-    if ka == kb:
-        return [_merge(x, y, later) for x, y in zip(a, b, strict=True)]
+def _prefix_lengths(a: list, b: list) -> np.ndarray:
+    """Lengths of the longest common subsequences of ``a`` and each prefix of
+    ``b``: a row of the table is one number, a bit for each place of ``b``."""
+    where: dict = {}
+    for j, x in enumerate(b):
+        where.setdefault(x, []).append(j)
+    masks = {}
+    for x, at in where.items():
+        bits = np.zeros(len(b), np.uint8)
+        bits[at] = 1
+        masks[x] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+    full = (1 << len(b)) - 1
+    row = full
+    for x in a:
+        hit = row & masks.get(x, 0)
+        if hit:
+            row = ((row + hit) | (row - hit)) & full
+    raw = np.frombuffer(row.to_bytes((len(b) + 7) // 8, "little"), np.uint8)
+    steps = 1 - np.unpackbits(raw, bitorder="little")[:len(b)].astype(np.int64)
+    return np.concatenate([[0], np.cumsum(steps)])
+
+
+def _table_pairs(a: list, b: list) -> list[tuple[int, int]]:
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if ka[i] == kb[j] else max(best[i + 1][j], best[i][j + 1])
+            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
     out, i, j = [], 0, 0
-    while i < len(a) or j < len(b):
-        if i < len(a) and j < len(b) and ka[i] == kb[j]:
-            out.append(_merge(a[i], b[j], later))
+    while i < len(a) and j < len(b):
+        if a[i] == b[j]:
+            out.append((i, j))
             i, j = i + 1, j + 1
-        elif j == len(b) or i < len(a) and best[i + 1][j] >= best[i][j + 1]:
-            out.append([a[i][0], 1, *a[i][2:]])
+        elif best[i + 1][j] >= best[i][j + 1]:
             i += 1
         else:
-            out.append([b[j][0], 1, *b[j][2:]])
             j += 1
+    return out
+
+
+def pairs(a: list, b: list) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence, in order.  Sequences whose table
+    would be large are halved where the two halves' lengths add up to the
+    most, so the memory grows with their length and not with its square."""
+    out: list[tuple[int, int]] = []
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        i, m, j, n = todo.pop()
+        while i < m and j < n and a[i] == b[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        while i < m and j < n and a[m - 1] == b[n - 1]:
+            m, n = m - 1, n - 1
+            out.append((m, n))
+        if i == m or j == n:
+            continue
+        if m - i == 1 or (m - i) * (n - j) <= TABLE_CELLS:
+            out += [(i + x, j + y) for x, y in _table_pairs(a[i:m], b[j:n])]
+            continue
+        mid = (i + m) // 2
+        head = _prefix_lengths(a[i:mid], b[j:n])
+        tail = _prefix_lengths(a[mid:m][::-1], b[j:n][::-1])
+        cut = j + int(np.argmax(head + tail[::-1]))
+        todo += [(i, mid, j, cut), (mid, m, cut, n)]
+    return sorted(out)
+
+
+def align(a: list[list], b: list[list], later: deque) -> list[list]:
+    """Align two sequences of siblings; what one lacks becomes optional."""
+    ka, kb = [_key(x) for x in a], [_key(x) for x in b]
+    if ka == kb:
+        return [_merge(x, y, later) for x, y in zip(a, b, strict=True)]
+    out, i, j = [], 0, 0
+    for m, n in [*pairs(ka, kb), (len(a), len(b))]:
+        out += [[x[0], 1, *x[2:]] for x in a[i:m]]
+        out += [[x[0], 1, *x[2:]] for x in b[j:n]]
+        if m < len(a):
+            out.append(_merge(a[m], b[n], later))
+        i, j = m + 1, n + 1
     return fold(out, later)
 
 
@@ -420,28 +483,8 @@ def _places(kids: list, nodes: list[list]) -> list:
     for x in flat:
         first.setdefault(x[0], x)
     got = [first.get(x) for x in a]
-    lo, end = 0, min(len(a), len(b))
-    while lo < end and a[lo] == b[lo]:
-        got[lo] = flat[lo]
-        lo += 1
-    m, n = len(a), len(b)
-    while m > lo and n > lo and a[m - 1] == b[n - 1]:
-        m, n = m - 1, n - 1
-        got[m] = flat[n]
-    if m > lo and n > lo:
-        best = [[0] * (n + 1) for _ in range(m + 1)]
-        for i in range(m - 1, lo - 1, -1):
-            for j in range(n - 1, lo - 1, -1):
-                best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
-        i = j = lo
-        while i < m and j < n:
-            if a[i] == b[j]:
-                got[i] = flat[j]
-                i, j = i + 1, j + 1
-            elif best[i + 1][j] >= best[i][j + 1]:
-                i += 1
-            else:
-                j += 1
+    for i, j in pairs(a, b):
+        got[i] = flat[j]
     ends = [*starts[1:], len(labels)] if labels else []
     return [g for g, s, e in zip(got, starts, ends, strict=True) for _ in range(e - s)]
 
@@ -519,27 +562,28 @@ class _Page:
 
     def region(self) -> tuple[list[int], set[int]]:
         """The elements that hold the page's main text, and those in them that are left
-        out: ``article`` or ``main`` with half of the text at least, else the region by slots."""
+        out.  ``article`` or ``main`` are taken only if no text is beside them."""
+        v = self.weights()
         for name in ("article", "main"):
             found = self.named(name)
-            if found and any(2 * sum(v[k] for k in found) >= v[0] for v in (self.slots, self.all)):
+            if found and sum(v[k] for k in found) == v[0]:
                 return found, set()
         if not self.compared:  # a page alone on its host: then all of the body counts
             return [0], set()
-        at, without = self.by_weight(self.weights())
+        at, without = self.by_weight(v)
         return [at], without
 
     def by_weight(self, v: list[int]) -> tuple[int, set[int]]:
-        """The smallest container that holds nearly all of ``v``, and the containers
+        """The smallest container that holds all of ``v``, and the containers
         before and after its text that are left out as they hold none."""
         at = 0
         while True:
             titled, inner = False, None
             for x in self.kids[at]:
                 label = self.elements[x[2]].label if x[2] >= 0 else "#"
-                if label == "h1" and v[x[2]]:
+                if label == "h1" and (v[x[2]] or self.all[x[2]]):
                     titled = True  # the title belongs to the text that follows
-                if x[2] >= 0 and NEARLY * v[0] <= v[x[2]]:
+                if x[2] >= 0 and v[x[2]] and v[x[2]] == v[0]:
                     inner = None if titled or label in BLOCKS else x[2]
                     break
             if inner is None:
@@ -572,6 +616,7 @@ def _merge_all(ws):
 def _fold_pages(batches):
     """A wrapper per host of the task's pages."""
     hosts: dict[str | None, dict] = {}
+    held = 0
 
     def flush():
         rows = [(h, dumps(_merge_all(shapes.values()))) for h, shapes in hosts.items()]
@@ -584,13 +629,15 @@ def _fold_pages(batches):
             shapes = hosts.setdefault(host, {})
             w = wrapper_of(parse(page))
             s = shape(w)
+            held += 0 if s in shapes else 1 + (page or "").count("<")
             shapes[s] = merge(shapes[s], w) if s in shapes else w
             if len(shapes) > 50:
                 w = _merge_all(shapes.values())
                 shapes.clear()
                 shapes[shape(w)] = w
-        if len(hosts) > MAX_HOSTS:
-            yield flush()
+            if len(hosts) > MAX_HOSTS or held > MAX_NODES:
+                yield flush()
+                held = 0
     if hosts:
         yield flush()
 

@@ -1,7 +1,9 @@
 import os
+import random
 import re
 import subprocess
 import sys
+import time
 from html import unescape
 
 import pytest
@@ -135,6 +137,59 @@ def test_text_split_over_containers_is_kept():
     assert texts(*[cells.format(x) for x in ("alpha", "beta")])[0].startswith("alpha\nalpha text")
 
 
+def test_no_part_of_an_article_is_too_small_or_too_far_out():
+    lead = "<body><div class=lead><p>{0} lead</p></div><div class=story><p>%s</p></div></body>" % ("{0} text " * 200)
+    assert texts(*[lead.format(x) for x in "abc"])[1] == "b lead\n" + ("b text " * 200).strip()
+    more = "<body><article><p>%s</p></article><div class=more><p>%s</p></div></body>" % ("{0} one " * 55, "{0} two " * 45)
+    assert texts(*[more.format(x) for x in "abc"])[2] == ("c one " * 55).strip() + "\n" + ("c two " * 45).strip()
+    assert texts(more.format("d"))[0].count("\n") == 1
+
+
+def test_the_wrapper_decides_where_no_name_tells():
+    page = "<body><div class=qa><p>Same slogan on each page</p></div><div class=qb><p>{0} first</p><p>{0} second</p></div>" \
+           "<div class=qc><p>Same closing words</p></div></body>"
+    pages = [page.format(x) for x in ("alpha", "beta")]
+    assert texts(*pages) == ["alpha first\nalpha second", "beta first\nbeta second"]
+    assert html.extract(pages[0], None).startswith("Same slogan") and html.extract(pages[0], None).endswith("closing words")
+
+
+def plain_lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        row = [0, *_next_row(row, x, b)]
+    return row[-1]
+
+
+def _next_row(row, x, b):
+    left = 0
+    for j, y in enumerate(b):
+        left = row[j] + 1 if x == y else max(left, row[j + 1])
+        yield left
+
+
+def test_alignment_in_linear_space_is_a_longest_one(monkeypatch):
+    rnd = random.Random(2)
+    for cells in (0, 20, 250_000):
+        monkeypatch.setattr(html, "TABLE_CELLS", cells)
+        for _ in range(300):
+            a, b = ([rnd.choice("abcd") for _ in range(rnd.randint(0, 30))] for _ in "ab")
+            got = html.pairs(a, b)
+            assert all(a[i] == b[j] for i, j in got)
+            assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:], strict=False))
+            assert len(got) == plain_lcs(a, b)
+
+
+def test_pages_of_many_irregular_blocks():
+    def page(seed):
+        rnd = random.Random(seed)
+        return "<body>" + "".join(f"<{t}>{seed} {i}</{t}>" for i in range(40_000) for t in [rnd.choice(["p", "h2", "pre", "div"])])
+    began = time.perf_counter()
+    a, b = page(1), page(2)
+    got = texts(a, b)
+    assert [len(g.split("\n")) for g in got] == [40_000, 40_000]
+    assert time.perf_counter() - began < 60
+
+
 def test_deep_nesting(spark):
     n = 5_000
     bodies = ["<div>" * n + "<p>deep {0}", "<blockquote>" * n + "deep {0}", "<div><section>" * n + "<p>deep {0}</p>" + "</section></div>" * n,
