@@ -31,6 +31,8 @@ table gives an empty table.
 
 from __future__ import annotations
 
+import hashlib
+import pickle
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -303,20 +305,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return grammar
 
 
-_LOADED: dict[int, Grammar] = {}
+# The grammar that this worker scores with, by the digest of its stems and curve.
+_LOADED: dict[str, Grammar] = {}
 
 
 def score_toxicity(docs: DataFrame, grammar: Grammar, text_col: str = "text") -> DataFrame:
     """``docs`` with ``score`` (0 to 1), ``clauses`` (matched) and ``predicted``."""
-    shared = docs.sparkSession.sparkContext.broadcast((grammar.stems, grammar.curve))
+    parts = (grammar.stems, grammar.curve)
+    digest = hashlib.sha256(pickle.dumps(parts)).hexdigest()
+    shared = docs.sparkSession.sparkContext.broadcast(parts)
     own = ["score", "clauses", "predicted"]
 
     @F.pandas_udf("score double, clauses int, predicted int")
     def score(texts: pd.Series) -> pd.DataFrame:
-        g = _LOADED.get(id(shared.value))
+        g = _LOADED.get(digest)
         if g is None:
             _LOADED.clear()
-            g = _LOADED[id(shared.value)] = Grammar(shared.value[0])
+            g = _LOADED[digest] = Grammar(shared.value[0])
             g.curve = shared.value[1]
         x = np.array([g.features(t) for t in texts.fillna("")]).reshape(-1, 3)
         p = g.scores(x)
