@@ -114,7 +114,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
            .groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").cast("int").alias("y"))
            .orderBy(F.xxhash64("id"), "id").limit(sample_rows))
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(lab), "id")
-    got = with_measures(d, "text", "x").select("x", "y").toPandas()  # bounded by the sample
+    # one row an id, so the sample bounds what the driver gets; in the order of ids, so a re-run adds up alike
+    one = with_measures(d, "text", "x").groupBy("id").agg(F.min(F.struct("x", "y")).alias("m"))
+    got = one.select("id", "m.x", "m.y").toPandas().sort_values("id")
     k = len(MEASURES)
     if got["y"].nunique() < 2:
         return Classifier([0.0] * k, [1.0] * k, [0.0] * k, 0.0, 0.5)
