@@ -41,7 +41,7 @@ WORD_MASK = (1 << WORD_BITS) - 1
 # Bytes of the pre-tokens of one list (a longer pre-token has a list of its own).
 LIST_BYTES = 1 << 17
 # Bytes of each of the two memories (chunks, pre-tokens), a generation.
-MEMO_BYTES = 32 << 20
+MEMO_BYTES = 64 << 20
 
 
 class Vocabulary:
