@@ -126,7 +126,7 @@ class Vocabulary:
             top |= 1 << (r >> WORD_BITS)
         ids, waiting = ids_at.tolist(), rank_at.tolist()  # waiting: the rank of the pair that starts here
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        known = self.pairs.get
+        known, bucket_of = self.pairs.get, buckets.get
         while top:
             # find first set: the summary word, then its word
             at = (top & -top).bit_length() - 1
@@ -137,7 +137,8 @@ class Vocabulary:
                 top ^= 1 << at
             rank = (at << WORD_BITS) + bit.bit_length() - 1
             bucket = buckets.pop(rank)
-            bucket.sort()
+            if len(bucket) > 1:
+                bucket.sort()
             rest = iter(bucket)
             left_key, lower = rank << 32, False
             for i in rest:
@@ -152,8 +153,9 @@ class Vocabulary:
                 before[k] = i
                 waiting[i] = r = known(left_key | ids[k], -1)
                 if r >= 0:
-                    if r in buckets:
-                        buckets[r].append(i)
+                    held = bucket_of(r)
+                    if held is not None:
+                        held.append(i)
                     else:
                         buckets[r] = [i]
                         words[r >> WORD_BITS] |= 1 << (r & WORD_MASK)
@@ -161,8 +163,9 @@ class Vocabulary:
                     lower = r < rank
                 waiting[h] = r = known(ids[h] << 32 | rank, -1)
                 if r >= 0:
-                    if r in buckets:
-                        buckets[r].append(h)
+                    held = bucket_of(r)
+                    if held is not None:
+                        held.append(h)
                     else:
                         buckets[r] = [h]
                         words[r >> WORD_BITS] |= 1 << (r & WORD_MASK)
