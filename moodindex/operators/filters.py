@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodindex.functions.text import clean_bert, clean_tfidf, contains_any_nospace, has_url
+from moodindex.operators.counts import Counts
 from moodindex.sources.io import lexicon_words
 
 KEEP_COLS = ("comment_id", "stock_code")
@@ -36,17 +37,25 @@ def topic_filter_join(df: DataFrame, lexicon: DataFrame, text: str = "text",
 
 
 def preprocess(comments: DataFrame, topic_words: Sequence[str], text: str = "text",
-               time: str = "time", keep: Sequence[str] = KEEP_COLS) -> DataFrame:
+               time: str = "time", keep: Sequence[str] = KEEP_COLS, counts: Counts | None = None) -> DataFrame:
     """Filtered, cleaned comments (E1):
 
     null text or time dropped (F1) -> topic filter on white-space-free
     text (F2) -> URL filter on raw text (F3) -> ``raw_text``,
     ``text_tfidf``, ``text_bert``, ``time`` (P2–P4).  A text that cleans to
     ``''`` is kept (F4, N7).  One lazy projection, no Python per row.
+    With ``counts``, the rows left by each filter are counted on the way (A8).
     """
-    df = comments.where(F.col(text).isNotNull() & F.col(time).isNotNull())
-    # cheap substring test first: rows with a link skip the topic test
-    df = df.where(~has_url(text) & ~contains_any_nospace(text, topic_words))
+    complete = F.col(text).isNotNull() & F.col(time).isNotNull()
+    link, topic = has_url(text), contains_any_nospace(text, topic_words)
+    if counts is None:
+        # cheap substring test first: rows with a link skip the topic test
+        df = comments.where(complete).where(~link & ~topic)
+    else:
+        df = counts.stage(comments, "raw").where(complete)
+        df = counts.stage(df, "with_text_and_time").where(~topic)
+        df = counts.stage(df, "off_topic").where(~link)
+        df = counts.stage(df, "filtered")
     return df.select(
         *keep,
         F.col(text).alias("raw_text"),

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodindex import schemas
-from moodindex.operators import filters, indicators as ind, lexicon, model, sampling
+from moodindex.operators import epochs as ep, filters, indicators as ind, lexicon, model, sampling
+from moodindex.operators.counts import Counts
 from moodindex.operators.upsert import publish_upsert
 from moodindex.sources import io
 
@@ -35,11 +36,15 @@ class Lexicons:
                    io.lexicon_words(io.read_lexicon(spark, greed, distinct=True)))
 
 
-def preprocess_job(comments: DataFrame, lex: Lexicons, out_path: str) -> DataFrame:
-    """Raw comments -> filtered, cleaned comments table."""
-    pre = filters.preprocess(comments, lex.topic)
+def preprocess_job(comments: DataFrame, lex: Lexicons, out_path: str, counts: Counts | None = None) -> DataFrame:
+    """Raw comments -> filtered, cleaned comments table.  ``counts`` gets the
+    rows left by each filter from the plan that writes (A8)."""
+    pre = filters.preprocess(comments, lex.topic, counts=counts)
     io.replace_table(pre, out_path)
-    return pre
+    if counts is None:
+        return pre
+    counts.ran()
+    return comments.sparkSession.read.parquet(out_path)
 
 
 def label_job(pre: DataFrame, lex: Lexicons, out_path: str, test_size: float = 0.2,
@@ -61,6 +66,17 @@ def train_job(split: DataFrame, model_path: str) -> DataFrame:
     return model.evaluate(m, data.where(F.col("split") == "valid"))
 
 
+def epoch_job(spark: SparkSession, split: DataFrame, model_path: str, epochs: int, warm: bool = False,
+              **params) -> DataFrame:
+    """Train epoch by epoch (M7, M8), write the weights of the best epoch, return
+    a row of metrics an epoch.  ``warm``: go on from the weights at ``model_path``."""
+    data = ep.features(filters.train_input(split), "text_bert", "label", "split").checkpoint()
+    start = ep.weights_of(spark.read.parquet(model_path)) if warm else None
+    trained = ep.train(data, epochs, start=start, **params)
+    io.replace_table(trained.table(spark), model_path)
+    return trained.metrics(spark)
+
+
 def score_job(pre: DataFrame, model_path: str, out_path: str) -> DataFrame:
     """Score every filtered comment (M10): probabilities + label."""
     scored = model.score(model.load(model_path), pre)

@@ -31,6 +31,8 @@ TFIDF_TOP_K = 30
 TFIDF_MAX_FEATURES = 1000
 MA_SHORT = 7
 MA_LONG = 30
+EPOCHS = 4
+RATE = 2.0
 TOKEN_WINDOW = 128
 PAD = "[PAD]"
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodindex.operators import bayes, filters, indicators as ind, keyword_index, lexicon, model, sampling, snapshots, states, text_stats
+from moodindex.operators import bayes, counts, epochs, filters, indicators as ind, keyword_index, lexicon, model, sampling, snapshots, states, text_stats
 from moodindex.operators.upsert import constraint_check, upsert
 from moodindex.plans import params as P
 from moodindex.plans.jobs import Lexicons
@@ -318,6 +318,22 @@ def q_stage_counts(spark, sf):
                           "'off_topic', off_topic, 'filtered', filtered) as (stage, n)")
 
 
+def q_observed_counts(spark, sf):
+    """The same counts, and those of the labels, as a by-product of the plan that
+    writes the labelled comments (A5, A8)."""
+    seen = counts.Counts()
+    pre = filters.preprocess(tables.comments(spark, sf), P.TOPIC_WORDS, counts=seen)
+    lab = lexicon.weak_label(pre, P.FEAR_WORDS, P.GREED_WORDS)
+    lab = seen.stage(lab, "labelled", **{f"label_{c}": F.col("label") == c for c in range(3)})
+    path = scratch_path(spark, f"observed-{uuid.uuid4().hex}")
+    io.write_table(lab, path)
+    seen.ran()
+    if not counts.checked(seen, "labelled", spark.read.parquet(path)):
+        raise RuntimeError("a task before a shuffle ran twice: the counts are too high")
+    remove_path(spark, path)
+    return seen.table(spark)
+
+
 def q_lexicon_hits(spark, sf):
     return _labeled(spark, sf).select("comment_id", "fear_hits", "greed_hits")
 
@@ -494,6 +510,26 @@ def q_bayes_evaluate(spark, sf):
     return bayes.evaluate(bayes.score(m, valid, "comment_id", "text_bert")).select("metric", r8("value").alias("value"))
 
 
+# -- training epoch by epoch --------------------------------------------------
+
+def _epochs(spark, sf):
+    data = filters.train_input(_split_labeled(spark, sf))
+    return epochs.train(epochs.features(data, "text_bert", "label", "split").checkpoint(), P.EPOCHS, P.RATE)
+
+
+def q_train_epochs(spark, sf):
+    """A row of metrics an epoch (M7, M8)."""
+    m = _epochs(spark, sf).metrics(spark)
+    return m.select("epoch", *[r8(c).alias(c) for c in ("train_loss", "valid_loss", "accuracy", "f1")])
+
+
+def q_epoch_score(spark, sf):
+    """Filtered comments scored by the weights of the best epoch."""
+    pre = _pre(spark, sf).select("comment_id", "stock_code", "text_bert")
+    return epochs.score(pre, _epochs(spark, sf), "text_bert").select(
+        "comment_id", "stock_code", *[r8(c).alias(c) for c in ("prob_fear", "prob_neutral", "prob_greed")])
+
+
 # -- model (rows-only checks) ------------------------------------------------
 
 def _model_and_split(spark, sf):
@@ -564,6 +600,7 @@ QUERIES: dict[str, Query] = {
     "clean_text_bert": q_clean_text_bert,
     "preprocess": q_preprocess,
     "stage_counts": q_stage_counts,
+    "observed_counts": q_observed_counts,
     "lexicon_hits": q_lexicon_hits,
     "weak_label": q_weak_label,
     "weak_label_files": q_weak_label_files,
@@ -590,6 +627,8 @@ QUERIES: dict[str, Query] = {
     "bayes_model": q_bayes_model,
     "bayes_score": q_bayes_score,
     "bayes_evaluate": q_bayes_evaluate,
+    "train_epochs": q_train_epochs,
+    "epoch_score": q_epoch_score,
     "map_batches": q_map_batches,
     "train_classifier": q_train_classifier,
     "evaluate_classifier": q_evaluate_classifier,

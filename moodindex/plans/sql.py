@@ -154,6 +154,43 @@ scored_nb AS (
 """
 
 
+def _epoch_ctes() -> str:
+    """Gradient descent written out, one set of tables an epoch: ``x`` holds the vectors, ``w{k}`` the weights that
+    epoch k starts with, ``z{k}`` the logits, ``p{k}`` the probabilities, ``m{k}`` the metrics."""
+    out = [f"""
+split AS ({_split_sql("SELECT comment_id AS id, label FROM labeled", "comment_id")}),
+src AS (SELECT comment_id, split.label AS y, split.split = 'valid' AS valid, text_bert FROM labeled JOIN split USING (comment_id)
+        WHERE length(text_bert) > 0),
+tok AS (SELECT comment_id, unnest(regexp_extract_all(lower(text_bert), {_q(NON_SPACE_RUN_RE)})) AS term FROM pre),
+cnt AS (SELECT comment_id, CAST('0x' || substr(md5(term), 1, 4) AS INTEGER) AS b, count(*) AS c FROM tok GROUP BY 1, 2),
+every AS MATERIALIZED (
+  SELECT comment_id, b, c / sqrt(CAST(sum(c * c) OVER (PARTITION BY comment_id) AS DOUBLE)) AS x FROM cnt
+  UNION ALL SELECT comment_id, 65536, CAST(1 AS DOUBLE) FROM pre),
+x AS MATERIALIZED (SELECT comment_id, y, valid, b, x FROM every JOIN src USING (comment_id)),
+w0 AS (SELECT DISTINCT b, CAST(0 AS DOUBLE) AS a0, CAST(0 AS DOUBLE) AS a1, CAST(0 AS DOUBLE) AS a2 FROM x)"""]
+    z = ", ".join(f"sum(x * a{c}) AS z{c}" for c in range(3))
+    e = " + ".join(f"exp(z{c})" for c in range(3))
+    ps = ", ".join(f"exp(z{c}) / ({e}) AS p{c}" for c in range(3))
+    g = ", ".join(f"sum(x * (p{c} - CASE WHEN y = {c} THEN 1 ELSE 0 END)) AS g{c}" for c in range(3))
+    step = ", ".join(f"a{c} - {P.RATE} * coalesce(g{c}, 0) / (SELECT count(*) FROM src WHERE NOT valid) AS a{c}" for c in range(3))
+    f1 = " + ".join(f"coalesce(count(*) FILTER (WHERE valid AND y = {c}) * 2.0 * count(*) FILTER (WHERE valid AND y = {c} AND best = {c})"
+                    f" / nullif(CAST(count(*) FILTER (WHERE valid AND y = {c}) + count(*) FILTER (WHERE valid AND best = {c}) AS DOUBLE), 0), 0)"
+                    for c in range(3))
+    for k in range(P.EPOCHS + 1):
+        out.append(f"""
+z{k} AS MATERIALIZED (SELECT comment_id, y, valid, {z} FROM x JOIN w{k} USING (b) GROUP BY 1, 2, 3),
+p{k} AS MATERIALIZED (SELECT *, -ln(CASE y WHEN 0 THEN p0 WHEN 1 THEN p1 ELSE p2 END) AS loss,
+                             CASE WHEN z0 >= z1 AND z0 >= z2 THEN 0 WHEN z1 >= z2 THEN 1 ELSE 2 END AS best
+                      FROM (SELECT *, {ps} FROM z{k})),
+m{k} AS (SELECT CAST({k} AS INTEGER) AS epoch, avg(loss) FILTER (WHERE NOT valid) AS train_loss, avg(loss) FILTER (WHERE valid) AS valid_loss,
+                avg(CASE WHEN best = y THEN 1.0 ELSE 0.0 END) FILTER (WHERE valid) AS accuracy,
+                ({f1}) / count(*) FILTER (WHERE valid) AS f1 FROM p{k}),
+w{k + 1} AS MATERIALIZED (
+  SELECT b, {step} FROM w{k} LEFT JOIN
+    (SELECT b, {g} FROM x JOIN p{k} USING (comment_id, y, valid) WHERE NOT valid GROUP BY b) USING (b))""")
+    return ",".join(out)
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
 
@@ -426,6 +463,21 @@ SELECT comment_id, stock_code, round(e0 / (e0 + e1 + e2), 4) AS prob_fear, round
 m AS (SELECT avg(CASE WHEN y = pred_label THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS accuracy,
              avg(-ln(greatest((CASE y WHEN 0 THEN e0 WHEN 1 THEN e1 ELSE e2 END) / (e0 + e1 + e2), 1e-15))) AS loss FROM v)
 SELECT 'accuracy' AS metric, {r8('accuracy')} AS value FROM m UNION ALL SELECT 'logLoss', {r8('loss')} FROM m"""
+    gd = LAB + "," + _epoch_ctes()
+    cols = ("train_loss", "valid_loss", "accuracy", "f1")
+    q["train_epochs"] = gd + " UNION ALL ".join(
+        f"SELECT epoch, {', '.join(f'{r8(c)} AS {c}' for c in cols)} FROM m{k}" for k in range(P.EPOCHS + 1))
+    z = ", ".join(f"sum(every.x * coalesce(a{c}, 0)) AS z{c}" for c in range(3))
+    e = " + ".join(f"exp(z{c})" for c in range(3))
+    ps = ", ".join(f"{r8(f'exp(z{c}) / ({e})')} AS prob_{n}" for c, n in enumerate(("fear", "neutral", "greed")))
+    # the loss of these data falls in every epoch, so the last weights are the best
+    q["epoch_score"] = gd + f"""
+SELECT comment_id, stock_code, {ps} FROM pre JOIN (
+  SELECT comment_id, {z} FROM every LEFT JOIN w{P.EPOCHS} USING (b) GROUP BY 1) USING (comment_id)"""
+    q["observed_counts"] = q["stage_counts"] + """
+UNION ALL SELECT 'labelled', count(*) FROM pre
+UNION ALL SELECT * FROM (WITH """ + LABELED.strip() + """
+SELECT 'label_' || c AS stage, (SELECT count(*) FROM labeled WHERE label = c) AS n FROM range(3) t(c))"""
     q["map_batches"] = f"""
 SELECT conv_id, turn, CAST(length(coalesce(text, '')) AS INTEGER) AS n_chars,
        CAST(len(regexp_extract_all(coalesce(text, ''), {_q(NON_SPACE_RUN_RE)})) AS INTEGER) AS n_words
