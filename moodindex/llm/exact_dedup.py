@@ -12,9 +12,9 @@ exactly, so a false hit of the filter costs a shuffled row and changes
 nothing.
 
 The array has 16 bits a row up to ``MAX_BITS`` (64 MiB, the proven bound of
-the broadcast).  Beyond 33 million rows it fills up, more rows count as
-possibly repeated, and the operator tends to a plain shuffle of 32-byte
-hashes; results do not change.
+the broadcast).  Beyond 33 million rows the hashes are cut into ranges of at most that many, and both
+passes run once a range, each with a filter of its own: a billion rows take 33 passes over the
+checkpointed hashes, and the share of rows that shuffle stays what it is for few.
 
 Defined results: null text = ''; null id sorts after every id; of several
 rows with the smallest id one stays; an empty table gives an empty table;
@@ -129,11 +129,39 @@ def with_maybe(df: DataFrame, hash_col: str, flag: str, table: np.ndarray) -> Da
     return df.withColumn(flag, maybe(F.col(hash_col)))
 
 
+def ranges_of(rows: int, max_bits: int = MAX_BITS) -> int:
+    """Hash ranges such that each has 16 bits a row within ``max_bits``, with a tenth to spare."""
+    return 1 if rows * BITS_PER_ROW <= max_bits else -(-rows * BITS_PER_ROW * 11 // (max_bits * 10))
+
+
+def _in_range(hash_col: str, k: int, of: int) -> Column:
+    """Whether a hash is in range ``k``, by bytes that choose no cell of the filter."""
+    number = F.conv(F.hex(F.substring(F.col(hash_col), 8 * PROBES + 1, 6)), 16, 10).cast("long")
+    return number % of == k
+
+
+def flag_repeated(df: DataFrame, hashed: DataFrame, hash_col: str, flag: str, total: int,
+                  max_bits: int = MAX_BITS) -> DataFrame:
+    """Both passes: ``df`` with the flag "possibly repeated"; ``hashed`` holds the same hashes.
+    Both should be checkpointed if there is more than one range."""
+    of = ranges_of(total, max_bits)
+    bits = min(max_bits, filter_bits(-(-total // of)))
+    if of == 1:
+        return with_maybe(df, hash_col, flag, repeated_cells(hashed, hash_col, bits))
+    parts = [with_maybe(df.filter(_in_range(hash_col, k, of)), hash_col, flag,
+                        repeated_cells(hashed.filter(_in_range(hash_col, k, of)), hash_col, bits)) for k in range(of)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def _by_id(id_col: str) -> Column:
     return F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("id"))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                max_bits: int = MAX_BITS) -> DataFrame:
     """One row per input row: id, ``keep_id``, ``group_size``, ``kept``,
     ``text_sha256`` (32 bytes).  Of equal texts the row with the smallest
     id stays."""
@@ -141,8 +169,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col(id_col).alias("id"), text_hash(text_col).alias("hash")
     ).withColumn("row", F.monotonically_increasing_id()).checkpoint()
     total = hashed.count()
-    bits = repeated_cells(hashed, "hash", filter_bits(total))
-    flagged = with_maybe(hashed, "hash", "maybe", bits)
+    flagged = flag_repeated(hashed, hashed, "hash", "maybe", total, max_bits)
     through = flagged.filter(~F.col("maybe")).select(
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "hash")
@@ -165,14 +192,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col("hash").alias("text_sha256"))
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns as they were.  Only
     possibly repeated rows shuffle; of those, map tasks keep one a text: that with
     the smallest id, and of several rows with that id the least raw text's."""
     h, m = fresh(docs, "_hash"), fresh(docs, "_maybe")
-    hashed = docs.select(text_hash(text_col).alias("hash")).checkpoint()
-    bits = repeated_cells(hashed, "hash", filter_bits(hashed.count()))
-    flagged = with_maybe(docs.withColumn(h, text_hash(text_col)), h, m, bits)
+    hashed = docs.select(text_hash(text_col).alias(h)).checkpoint()
+    total = hashed.count()
+    rows = docs.withColumn(h, text_hash(text_col))
+    if ranges_of(total, max_bits) > 1:
+        rows = rows.checkpoint()  # read once a range
+    flagged = flag_repeated(rows, hashed, h, m, total, max_bits)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     order = F.struct(_by_id(id_col), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     first = (flagged.filter(F.col(m)).groupBy(h)

@@ -59,6 +59,25 @@ def test_full_filter_gives_the_same(make_docs, monkeypatch):
     assert exact_dedup.drop_copies(make_docs(ROWS)).count() == len({norm(t) for _, t in ROWS})
 
 
+def test_hash_ranges_give_the_same_and_keep_the_filter_sparse(spark, make_docs):
+    d = make_docs(ROWS)
+    assert exact_dedup.ranges_of(33_000_000) == 1 and exact_dedup.ranges_of(1_000_000_000) == 33
+    whole = exact_dedup.exact_dedup(d).toPandas().sort_values(["text_sha256", "doc_id", "kept"], ignore_index=True)
+    cut = exact_dedup.exact_dedup(d, max_bits=64).toPandas().sort_values(["text_sha256", "doc_id", "kept"], ignore_index=True)
+    assert whole.equals(cut)
+    assert sorted(map(str, exact_dedup.drop_copies(d, max_bits=64).collect())) == sorted(map(str, exact_dedup.drop_copies(d).collect()))
+    # 4,000 single rows and 50 copies, 1,024 bits a range: without ranges every cell would be set twice
+    many = spark.range(4_050).select(F.sha2(F.least("id", F.lit(4_000)).cast("string"), 256).alias("x"))
+    h = many.select(F.unhex("x").alias("h")).checkpoint()
+    flagged = exact_dedup.flag_repeated(h, h, "h", "maybe", 4_050, 1 << 10)
+    assert flagged.count() == 4_050
+    copies = flagged.groupBy("h").agg(F.count("*").alias("n"), F.max("maybe").alias("m")).collect()
+    assert len(copies) == 4_001 and all(r.m for r in copies if r.n > 1)
+    assert sum(r.m for r in copies) < 400
+    one = exact_dedup.with_maybe(h, "h", "maybe", exact_dedup.repeated_cells(h, "h", 1 << 10))
+    assert one.filter("maybe").count() > 3_900
+
+
 def measures(t):
     t = t or ""
     w = WORD.findall(t)
@@ -113,6 +132,32 @@ def test_rules_stage_is_native_and_keeps_columns(spark, make_docs):
     assert quality_rules.quality_rules(make_docs([])).count() == 0
 
 
+def test_stage_keeps_what_the_query_keeps(spark, make_docs):
+    real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    for d in (real, make_docs(list(enumerate(TEXTS)))):
+        want = {r.doc_id for r in quality_rules.quality_rules(d).filter("kept").collect()}
+        assert {r.doc_id for r in quality_rules.keep_good(d).collect()} == want
+    for r in real.filter("text IS NOT NULL").collect():
+        m = measures(r.text)
+        if m[0] < 10 or 100 * m[4] > 20 * m[0]:
+            assert r.doc_id not in {x.doc_id for x in quality_rules.keep_good(real.filter(F.col("doc_id") == r.doc_id)).collect()}
+            break
+    plan = quality_rules.plan_cascade(real, base=True)
+    assert {p["rule"] for p in plan} == {*quality_rules.BASE_RULES, *quality_rules.RULES}
+    gain = [p["rejected"] / p["cost"] for p in plan]
+    assert gain == sorted(gain, reverse=True)
+
+
+def test_repeats_are_measured_behind_the_rules_before(make_docs):
+    d = make_docs([(1, "a b c")])
+    order = [{"rule": r} for r in (quality_rules.FEW_WORDS, quality_rules.REPEATS)]
+    behind = quality_rules.with_repeats(quality_rules.with_words(d).filter(quality_rules.passes(order[:1])))
+    plan = behind.filter(quality_rules.passes(order[1:]))._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    words, windows = (next(i for i, x in enumerate(plan) if y in x and "AS " + y in x) for y in ("words_", "windows_"))
+    between = [x for x in plan[windows:words] if "Filter" in x]
+    assert between and "n_words" in between[0]
+
+
 def test_rules_on_labels(spark):
     d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     lab = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
