@@ -13,6 +13,9 @@ task, and a stratum can hold a third of all rows.  Instead:
    where the quota is reached and how many rows to take from it;
 3. rows in earlier buckets are in, later buckets out; only rows of the one
    boundary bucket per group (about 1/65,536 of it) are ranked by a window.
+
+The rows stay where they are for step 3: what step 2 found, one row a group, is sent
+to them.  (A shuffle by group would put a third of all rows into one task.)
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from pyspark.sql import functions as F
 
 # Bucket width of the hash (hex digits) -> 16**4 buckets.
 BUCKET_HEX_DIGITS = 4
+# Groups up to which the plan (one row a group) is broadcast.
+BROADCAST_GROUPS = 100_000
 
 
 def seeded_hash(id_col: str, seed: int | str) -> Column:
@@ -35,34 +40,41 @@ def _bucket(h: Column) -> Column:
     return F.conv(F.substring(h, 1, BUCKET_HEX_DIGITS), 16, 10).cast("int")
 
 
+def bucket_counts(df: DataFrame, group_cols: Sequence[str], id_col: str, seed: int | str) -> DataFrame:
+    """``group_cols, _bk, _c``: rows per group and hash bucket."""
+    return df.groupBy(*group_cols, _bucket(seeded_hash(id_col, seed)).alias("_bk")).agg(F.count(F.lit(1)).alias("_c"))
+
+
 def select_lowest(df: DataFrame, group_cols: Sequence[str], id_col: str, seed: int | str,
-                  quotas: DataFrame, flag: str = "selected") -> DataFrame:
+                  quotas: DataFrame, flag: str = "selected", counts: DataFrame | None = None) -> DataFrame:
     """Flag, per group, the ``quota`` rows with the smallest seeded hash.
 
     ``quotas`` has ``group_cols`` + ``quota`` (bigint).  Groups missing from
     it take no rows.  Returns every input row plus boolean ``flag``.
+    ``counts``: the :func:`bucket_counts` of the rows, if they are known.
     """
     g = list(group_cols)
     h = seeded_hash(id_col, seed)
     base = df.withColumn("_h", h).withColumn("_bk", _bucket(F.col("_h")))
 
-    counts = base.groupBy(*g, "_bk").agg(F.count(F.lit(1)).alias("_c"))
+    counts = bucket_counts(df, g, id_col, seed) if counts is None else counts
     w = Window.partitionBy(*g).orderBy("_bk")
     cum = counts.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     cum = cum.join(quotas.select(*g, F.col("quota").cast("bigint").alias("_q")), g, "inner")
     # The boundary bucket: where the running count first reaches the quota.
-    boundary = (cum.where((F.col("_cum") - F.col("_c") < F.col("_q")) & (F.col("_cum") >= F.col("_q")))
-                .select(*g, F.col("_bk").alias("_bb"), (F.col("_q") - (F.col("_cum") - F.col("_c"))).alias("_take")))
+    at = (F.col("_cum") - F.col("_c") < F.col("_q")) & (F.col("_cum") >= F.col("_q"))
     # Groups whose quota exceeds their size take everything.
-    totals = cum.groupBy(*g).agg(F.max("_cum").alias("_tot"), F.first("_q").alias("_q"))
-    plan = (totals.join(boundary, g, "left")
+    plan = (cum.groupBy(*g).agg(F.max("_cum").alias("_tot"), F.first("_q").alias("_q"),
+                                F.max(F.when(at, F.col("_bk"))).alias("_bb"),
+                                F.max(F.when(at, F.col("_q") - (F.col("_cum") - F.col("_c")))).alias("_take"))
             .select(*g, F.when(F.col("_tot") <= F.col("_q"), F.lit(1 << 30))
                     .otherwise(F.coalesce(F.col("_bb"), F.lit(-1))).alias("_bb"),
-                    F.coalesce(F.col("_take"), F.lit(0)).alias("_take")))
-    # ``plan`` has one row per group and comes out of a shuffle, so AQE sees
-    # its real size and turns this into a broadcast join when it is small;
-    # a huge group count falls back to a shuffle join (with skew splitting).
-    tagged = base.join(plan, g, "left")
+                    F.coalesce(F.col("_take"), F.lit(0)).alias("_take"))).checkpoint()
+    # One row per group.  Adaptive execution wouldn't broadcast it by itself: with a few
+    # groups most of its partitions are empty, and it is then kept as a shuffle by group.
+    # Only a huge number of groups falls back to a shuffle join (with skew splitting).
+    few = plan.count() <= BROADCAST_GROUPS
+    tagged = base.join(F.broadcast(plan) if few else plan, g, "left")
 
     inner = tagged.where(F.col("_bk") == F.col("_bb"))
     rest = tagged.where(F.col("_bb").isNull() | (F.col("_bk") != F.col("_bb")))
@@ -113,10 +125,14 @@ def quotas_from_counts(counts: DataFrame, label: str, test_size: float = 0.2) ->
 def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float = 0.2,
                      seed: int = 42) -> DataFrame:
     """Every row with ``split`` = ``"valid"`` (the per-label quota of lowest
-    hashes) or ``"train"`` (X2).  Exact sizes; disjoint and complete."""
+    hashes) or ``"train"`` (X2).  Exact sizes; disjoint and complete.
+
+    ``df`` is read three times (the counts, the boundary buckets, the rest): hand in rows that
+    were written or checkpointed once if they are costly."""
     if not 0.0 < test_size < 1.0:
         raise ValueError("test_size must be in (0, 1)")
-    q = split_quotas(df, label, test_size)
-    sel = select_lowest(df, [label], id_col, seed, q, "_valid")
+    counts = bucket_counts(df, [label], id_col, seed).checkpoint()  # buckets of a label, not rows
+    q = quotas_from_counts(counts.groupBy(label).agg(F.sum("_c").alias("_n")), label, test_size)
+    sel = select_lowest(df, [label], id_col, seed, q, "_valid", counts)
     return sel.withColumn("split", F.when(F.col("_valid"), F.lit("valid")).otherwise(F.lit("train"))
                           ).drop("_valid")

@@ -412,9 +412,10 @@ def q_stratified_split(spark, sf):
 
 
 def _split_labeled(spark, sf):
-    # The split and every later pass read the labelled comments: they are
-    # written once to the checkpoint folder, with their split.
-    lab = _labeled(spark, sf).select("comment_id", "stock_code", "text_bert", "label")
+    # The split reads the labelled comments three times, and every later pass reads
+    # them with their split: texts are cleaned and labelled once, and both are
+    # written to the checkpoint folder.
+    lab = _labeled(spark, sf).select("comment_id", "stock_code", "text_bert", "label").checkpoint()
     return sampling.stratified_split(lab, "label", "comment_id", P.TEST_SIZE, P.SPLIT_SEED).checkpoint()
 
 

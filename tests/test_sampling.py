@@ -2,6 +2,8 @@
 
 import hashlib
 
+from pyspark.sql import functions as F
+
 from moodindex.operators import sampling
 
 
@@ -52,3 +54,11 @@ def test_quotas_of_huge_counts_are_exact(spark):
     base = {c: v * k // tot for c, v in n.items()}
     rest = sorted(n, key=lambda c: (-(n[c] * k % tot), c))[:k - sum(base.values())]
     assert got == {c: b + (c in rest) for c, b in base.items()}
+
+
+def test_rows_of_a_split_are_not_shuffled_by_label(spark):
+    df = spark.range(5000).select(F.col("id"), (F.col("id") % 3).alias("label"), F.lit("text").alias("text"))
+    out = sampling.stratified_split(df, "label", "id")
+    assert out.groupBy("split").count().orderBy("split").collect() == [("train", 4000), ("valid", 1000)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
