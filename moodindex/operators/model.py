@@ -63,12 +63,18 @@ def train(train_df: DataFrame, text: str = "text_bert", label: str = "label",
           **params) -> PipelineModel:
     """Fit the classifier on weakly labelled rows (M7).
 
-    Every estimator stage makes its own pass over ``train_df``: hand in rows
-    that were written or checkpointed once.
+    The texts are read and tokenised once: their term counts are checkpointed,
+    and every pass of an estimator stage reads those.
     """
     data = train_df.where(F.col(text).isNotNull()).select(
         F.col(text), F.col(label).cast("double").alias(label))
-    return classifier_pipeline(text, label, **params).fit(data)
+    tokens, tf, *estimators = classifier_pipeline(text, label, **params).getStages()
+    data = tf.transform(tokens.transform(data)).select("_tf", label).checkpoint()
+    fitted = []
+    for e in estimators:
+        fitted.append(e.fit(data))
+        data = fitted[-1].transform(data)
+    return PipelineModel([tokens, tf, *fitted])
 
 
 def score(model: PipelineModel, df: DataFrame, text: str = "text_bert",
