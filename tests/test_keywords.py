@@ -77,3 +77,20 @@ def test_a_keyword_is_filed_once_under_its_rarest_gram(spark):
     words = spark.createDataFrame([("abcd",), ("x",), ("bcq",)], "keyword string")
     got = {(r.gram, r.keyword) for r in keyword_index.anchor_index(probes, words).collect()}
     assert got == {("bcd", "abcd"), ("x", "x")}
+
+
+def test_keywords_longer_than_a_window_and_repeated_keys(spark):
+    long = "a keyword that is longer than any window"
+    df = spark.createDataFrame([(1, f"so {long}, abcd"), (1, "abcd"), (2, long[:-1] + "x"), (None, "abcd"), (3, None)],
+                               "key long, body string")
+    lexicon = spark.createDataFrame([(long,), ("abcd",), ("o",), ("longer than any wind",)], "keyword string")
+    got = keyword_index.keyword_hits(df, lexicon, "key", "body").collect()
+    assert sorted((r.id, r.keyword) for r in got) == sorted(
+        [(1, long), (1, "abcd"), (1, "abcd"), (1, "o"), (1, "longer than any wind"), (2, "longer than any wind"), (2, "o")])
+
+
+def test_texts_are_not_shuffled_by_gram(spark):
+    df = spark.createDataFrame([(k, "same words in all texts") for k in range(40)], "key long, body string")
+    hits = keyword_index.keyword_hits(df, spark.createDataFrame([("words",), ("texts",)], "keyword string"), "key", "body")
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert hits.count() == 80 and "SortMergeJoin" not in plan
