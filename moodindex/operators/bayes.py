@@ -2,8 +2,9 @@
 
 The model is a coefficient table, one row a term: the log probability of the term in each of the
 three classes, and one row (term null) for the classes' log priors.  Training is a count by (term,
-class); scoring is a sparse product, a join of (document, term, count) with the
-table.  Nothing is collected, the vocabulary is not capped, and the closed form can be
+class); scoring is a sparse product, a join of (document, term) with the
+table, a row for every time that a term occurs: in texts few terms repeat, and a count by
+document and term would shuffle as many rows once more.  Nothing is collected, the vocabulary is not capped, and the closed form can be
 recomputed by any SQL engine.
 
 With ``c`` the count of a term in a class, ``N`` all terms of the class and ``V`` the number of distinct
@@ -23,10 +24,9 @@ CLASSES = (0, 1, 2)
 PROB_NAMES = ("prob_fear", "prob_neutral", "prob_greed")
 
 
-def terms(df: DataFrame, id_col: str, text: str, *keep: str) -> DataFrame:
-    """``id, keep, term, tf``: lower-case words between white space."""
-    words = F.explode(split_words(F.lower(F.coalesce(F.col(text), F.lit("")))))
-    return df.select(id_col, *keep, words.alias("term")).groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
+def terms(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``id, term``: lower-case words between white space, repeats included."""
+    return df.select(id_col, F.explode(split_words(F.lower(F.coalesce(F.col(text), F.lit(""))))).alias("term"))
 
 
 def train(df: DataFrame, id_col: str, text: str, label: str, smoothing: float = 1.0) -> DataFrame:
@@ -58,7 +58,7 @@ def score(model: DataFrame, df: DataFrame, id_col: str, text: str, decimals: int
     weights = model.where("term IS NOT NULL")
     priors = F.broadcast(model.where("term IS NULL").select(*[F.col(f"w{c}").alias(f"_p{c}") for c in CLASSES]))  # one row
     sums = terms(df, id_col, text).join(weights, "term").groupBy(id_col).agg(
-        *[F.sum(F.col("tf") * F.col(f"w{c}")).alias(f"_s{c}") for c in CLASSES])
+        *[F.sum(f"w{c}").alias(f"_s{c}") for c in CLASSES])
     d = df.join(sums, id_col, "left").crossJoin(priors)
     total = [F.coalesce(f"_s{c}", F.lit(0.0)) + F.col(f"_p{c}") for c in CLASSES]
     d = d.withColumns({f"_t{c}": total[c] for c in CLASSES})
