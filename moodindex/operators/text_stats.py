@@ -50,6 +50,13 @@ def top_words(df: DataFrame, text: str = "text_tfidf", k: int = 50,
     return top_k(word_counts(df, text, normalized), "count", "word", k)
 
 
+def _counted(toks: DataFrame) -> DataFrame:
+    """``doc_id, term, tf``.  The tokens are dealt out before they are counted: few repeat in a
+    document, so a count in the scan's tasks would hold nearly all tokens of a split in memory
+    and shuffle as many rows."""
+    return toks.repartition("doc_id", "term").groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
 def term_frequencies(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``doc_id, term, tf``: vectoriser tokens counted per document (M2)."""
     toks = df.select(F.col(doc_id).alias("doc_id"),
@@ -58,7 +65,7 @@ def term_frequencies(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     # wherever it is used (a join on ``term`` would otherwise infer the
     # filter on one side only and defeat exchange reuse).
     toks = toks.where(F.col("term").isNotNull())
-    return toks.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return _counted(toks)
 
 
 def tfidf_scores(df: DataFrame, doc_id: str = "comment_id", text: str = "text_tfidf",
@@ -85,7 +92,7 @@ def tfidf_scores(df: DataFrame, doc_id: str = "comment_id", text: str = "text_tf
     # wherever it is used (a join on ``term`` would otherwise infer the
     # filter on one side only).
     toks = toks.where(F.col("term").isNotNull())
-    tf = toks.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = _counted(toks)
     stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tc"),
                                    F.max(F.col("term") == F.lit("")).alias("_doc"))
     top = (stats.orderBy(F.desc("_doc"), F.desc("tc"), F.asc("term")).limit(max_features + 1)
