@@ -461,10 +461,11 @@ def q_scan_csv(spark, sf):
 
 
 def q_scan_csv_split(spark, sf):
-    """The same round trip through one file, read in byte ranges by many tasks."""
+    """The same round trip, files read in byte ranges by many tasks: a task of the scan
+    writes one file, which is larger than a split where the scan's own split was full."""
     docs = _docs(spark, sf).select("doc_id", "source", "text")
     path = scratch_path(spark, f"scan_csv_split-{uuid.uuid4().hex}")
-    io.write_csv(docs.coalesce(1), path)
+    io.write_csv(docs, path)
     back = split_csv.read_csv_split(spark, path, docs.schema)
     back = back.select("doc_id", "source", F.length("text").cast("int").alias("n_chars")).checkpoint()
     remove_path(spark, path)
