@@ -214,6 +214,21 @@ def lexicon_hit_count(c: Column | str, words: Iterable[str]) -> Column:
     return F.when(_c(c).isNull(), F.lit(0)).otherwise(F.size(_found(_c(c), ws))).cast("int")
 
 
+def lexicon_found(c: Column | str, *lexicons: Iterable[str]) -> Column | None:
+    """The words of any of the lexicons in the text, from one walk, where each of
+    them would take its own; null for a null text."""
+    sets = [_distinct(ws) for ws in lexicons]
+    if min(map(len, sets)) <= FEW_WORDS:
+        return None
+    return found_keywords(_c(c), _distinct(w for ws in sets for w in ws))
+
+
+def found_count(found: Column | str, words: Iterable[str]) -> Column:
+    """:func:`lexicon_hit_count` from :func:`lexicon_found`."""
+    return F.when(_c(found).isNull(), F.lit(0)).otherwise(
+        F.size(F.array_intersect(_c(found), F.lit(_distinct(words))))).cast("int")
+
+
 def contains_any_nospace(c: Column | str, words: Iterable[str]) -> Column:
     """True when any keyword occurs in the text once all its white space is
     removed (N11); keywords are not stripped, so one holding white space can

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodindex.functions.text import lexicon_hit_count
+from moodindex.functions.text import found_count, lexicon_found, lexicon_hit_count
 from moodindex.sources.io import lexicon_words
 
 # Class ids of the weak label.
@@ -24,7 +24,13 @@ def lexicon_hits(df: DataFrame, fear_words: Sequence[str], greed_words: Sequence
                  text: str = "text_tfidf") -> DataFrame:
     """Add ``fear_hits`` and ``greed_hits``: distinct keywords of each
     lexicon found in the text (plain substrings; nested keywords each count;
-    a null text has no hits)."""
+    a null text has no hits).  Two long lexicons share one walk through the text."""
+    found = lexicon_found(text, fear_words, greed_words)
+    if found is not None:
+        return df.withColumn("_found", found).withColumns({
+            "fear_hits": found_count("_found", fear_words),
+            "greed_hits": found_count("_found", greed_words),
+        }).drop("_found")
     return df.withColumns({
         "fear_hits": lexicon_hit_count(text, fear_words),
         "greed_hits": lexicon_hit_count(text, greed_words),

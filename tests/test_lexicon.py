@@ -117,3 +117,13 @@ def test_null_text_scored_as_empty(spark):
         assert abs(r["prob_fear"] + r["prob_neutral"] + r["prob_greed"] - 1) < 3e-4
         assert r["pred_label"] in (0, 1, 2)
     assert rows[1]["pred_label"] == 2
+
+
+def test_two_long_lexicons_share_one_walk(spark):
+    from moodindex.plans import params as P
+    texts = ["oner thin gain", "onon error reed", "", None, " ".join(P.FEAR_WORDS_LONG[:50] + P.GREED_WORDS_LONG[:60])]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    out = lexicon.lexicon_hits(df, P.FEAR_WORDS_LONG, P.GREED_WORDS_LONG, "t")
+    assert {r.k: (r.fear_hits, r.greed_hits) for r in out.collect()} == {
+        k: tuple(sum(w in (t or "") for w in ws) for ws in (P.FEAR_WORDS_LONG, P.GREED_WORDS_LONG)) for k, t in enumerate(texts)}
+    assert out._jdf.queryExecution().executedPlan().toString().count("regexp_extract_all") == 1
