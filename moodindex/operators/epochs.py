@@ -2,7 +2,8 @@
 
 Softmax regression on hashed terms by full-batch gradient descent.  A text's terms fall into a
 fixed number of buckets; its vector is the bucket counts at unit length, and a constant 1 (the bias).  Features
-are made without a shuffle and checkpointed once.  An epoch is one pass over them: each
+are made without a shuffle, hashed once a distinct word of a batch, and checkpointed as counts.
+An epoch is one pass over them, in slices of a bounded number of rows: each
 task gets the weights (a broadcast of ``buckets + 1`` rows of three doubles, whatever the data hold), adds up the
 gradient of its training rows, the loss of both splits and the confusion cells of the validation
 rows, and sends at most ``buckets + 11`` rows.  Those are summed by bucket; the driver gets no more
@@ -23,9 +24,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,29 +42,63 @@ TRAIN_LOSS, VALID_LOSS, CELLS = -1, -2, -3
 METRICS = "epoch int, train_loss double, valid_loss double, accuracy double, f1 double"
 
 
-def bucket_of(term: Column, buckets: int = BUCKETS) -> Column:
+# Rows whose entries are worked on at once: a bound of memory, not of results.
+SLICE_ROWS = 1024
+
+
+def bucket_of(term: str, buckets: int = BUCKETS) -> int:
     """First four hex digits of the term's MD5, modulo the number of buckets."""
-    return F.conv(F.substring(F.md5(term), 1, 4), 16, 10).cast("int") % F.lit(buckets)
+    return int.from_bytes(md5(term.encode()).digest()[:2], "big") % buckets
+
+
+def _sizes(lists: pa.ListArray) -> np.ndarray:
+    return np.diff(lists.offsets.to_numpy()).astype(np.int64)
+
+
+def _counts(words: pa.ListArray, buckets: int) -> pa.StructArray:
+    """``bucket, n`` of every row's words: buckets rise, each once."""
+    terms = words.flatten().dictionary_encode()
+    of_term = np.fromiter((bucket_of(t, buckets) for t in terms.dictionary.to_numpy(zero_copy_only=False)),
+                          np.int64, len(terms.dictionary))
+    flat, sizes = of_term[terms.indices.to_numpy()], _sizes(words)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    kept = np.zeros(len(words), np.int64)
+    for a in range(0, len(words), SLICE_ROWS):
+        b = min(a + SLICE_ROWS, len(words))
+        cell = np.repeat(np.arange(b - a), sizes[a:b]) * buckets + flat[ends[a]:ends[b]]
+        cell, n = np.unique(cell, return_counts=True)
+        kept[a:b] = np.bincount(cell // buckets, minlength=b - a)
+        found.append((cell % buckets, n))
+    cuts = pa.array(np.concatenate([[0], np.cumsum(kept)]), pa.int32())
+    lists = [pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(x), pa.int32())) for x in zip(*found, strict=True)]
+    return pa.StructArray.from_arrays(lists, ["bucket", "n"])
+
+
+def _words(text: str) -> Column:
+    return split_words(F.lower(F.coalesce(F.col(text), F.lit(""))))
 
 
 def features(df: DataFrame, text: str, label: str, split: str, buckets: int = BUCKETS) -> DataFrame:
-    """``y, valid, terms``: the bucket of every word of a row, repeats included (no shuffle)."""
-    words = split_words(F.lower(F.coalesce(F.col(text), F.lit(""))))
+    """``y, valid, terms``: the buckets of a row's words and their counts (no shuffle)."""
+
+    @F.arrow_udf("struct<bucket: array<int>, n: array<int>>")
+    def counts(words: pa.Array) -> pa.Array:
+        return _counts(words, buckets)
+
     return df.where(F.col(label).isin(list(range(CLASSES)))).select(
         F.col(label).cast("int").alias("y"), F.coalesce(F.col(split) == "valid", F.lit(False)).alias("valid"),
-        F.transform(words, lambda w: bucket_of(w, buckets)).alias("terms"))
+        counts(_words(text)).alias("terms"))
 
 
-def _vectors(terms: list, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, bucket and value of every entry of a batch's vectors, the bias included."""
-    sizes = np.fromiter(map(len, terms), np.int64, len(terms))
-    row = np.repeat(np.arange(len(terms)), sizes)
-    flat = np.concatenate([np.asarray(t, np.int64) for t in terms]) if sizes.sum() else np.zeros(0, np.int64)
-    cell, n = np.unique(row * buckets + flat, return_counts=True)
-    row, bucket = cell // buckets, cell % buckets
-    length = np.sqrt(np.bincount(row, weights=(n * n).astype(float), minlength=len(terms)))
+def _vectors(terms: pa.StructArray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, bucket and value of every entry of a slice's vectors, the bias included."""
+    bucket, n = terms.field("bucket"), terms.field("n")
+    row = np.repeat(np.arange(len(terms)), _sizes(bucket))
+    n = n.flatten().to_numpy().astype(float)
+    length = np.sqrt(np.bincount(row, weights=n * n, minlength=len(terms)))
     every = np.arange(len(terms))
-    return (np.concatenate([row, every]), np.concatenate([bucket, np.full(len(terms), buckets)]),
+    return (np.concatenate([row, every]), np.concatenate([bucket.flatten().to_numpy(), np.full(len(terms), buckets)]),
             np.concatenate([n / length[row], np.ones(len(terms))]))
 
 
@@ -70,7 +107,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def logits(terms: list, weights: np.ndarray) -> tuple[np.ndarray, tuple]:
+def logits(terms: pa.StructArray, weights: np.ndarray) -> tuple[np.ndarray, tuple]:
     v = row, bucket, x = _vectors(terms, len(weights) - 1)
     return np.stack([np.bincount(row, weights=x * weights[bucket, c], minlength=len(terms))
                      for c in range(CLASSES)], axis=1), v
@@ -80,15 +117,13 @@ def one_pass(data: DataFrame, weights: np.ndarray) -> dict[int, tuple]:
     """``key: (g0, g1, g2, n)``: the gradient by bucket, and the measures, of given weights."""
     shared = data.sparkSession.sparkContext.broadcast(weights)  # buckets + 1 rows
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
         gradient, losses, counts = np.zeros_like(w), [0.0, 0.0], [0, 0]
         cells = np.zeros(CLASSES * CLASSES, np.int64)
-        for b in batches:
-            if not len(b):
-                continue
-            y, valid = b["y"].to_numpy(np.int64), b["valid"].to_numpy(bool)
-            z, (row, bucket, x) = logits(b["terms"].tolist(), w)
+        for b in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
+            y, valid = b["y"].to_numpy().astype(np.int64), b["valid"].to_numpy(zero_copy_only=False)
+            z, (row, bucket, x) = logits(b["terms"], w)
             p = softmax(z)
             loss = -np.log(np.maximum(p[np.arange(len(y)), y], 1e-15))
             for k, mask in enumerate((~valid, valid)):
@@ -102,16 +137,17 @@ def one_pass(data: DataFrame, weights: np.ndarray) -> dict[int, tuple]:
                 gradient[:, c] += np.bincount(bucket, weights=x * away[row, c], minlength=len(w))
         hit = np.flatnonzero(gradient.any(axis=1))
         seen = np.flatnonzero(cells)
-        yield pd.DataFrame({
+        yield pa.RecordBatch.from_pydict({
             "key": np.concatenate([hit, [TRAIN_LOSS, VALID_LOSS], CELLS - seen]).astype(np.int32),
             "g0": np.concatenate([gradient[hit, 0], losses, np.zeros(len(seen))]),
             "g1": np.concatenate([gradient[hit, 1], np.zeros(2 + len(seen))]),
             "g2": np.concatenate([gradient[hit, 2], np.zeros(2 + len(seen))]),
             "n": np.concatenate([np.zeros(len(hit)), counts, cells[seen]]).astype(np.int64)})
 
-    parts = data.select("y", "valid", "terms").mapInPandas(run, "key int, g0 double, g1 double, g2 double, n long")
+    parts = data.select("y", "valid", "terms").mapInArrow(run, "key int, g0 double, g1 double, g2 double, n long")
     sums = parts.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("g0", "g1", "g2", "n")])
-    out = {r.key: (r.g0, r.g1, r.g2, r.n) for r in sums.collect()}  # at most buckets + 12 rows
+    cols = [c.to_pylist() for c in sums.toArrow().columns]  # at most buckets + 12 rows
+    out = {key: rest for key, *rest in zip(*cols, strict=True)}
     shared.destroy()
     return out
 
@@ -187,13 +223,15 @@ def score(df: DataFrame, trained: Trained, text: str) -> DataFrame:
     buckets = len(trained.weights) - 1
     shared = df.sparkSession.sparkContext.broadcast(trained.weights)  # buckets + 1 rows
 
-    @F.pandas_udf("p0 double, p1 double, p2 double, best int")
-    def of(terms: pd.Series) -> pd.DataFrame:
-        z, _ = logits(terms.tolist(), shared.value)
+    @F.arrow_udf("struct<p0: double, p1: double, p2: double, best: int>")
+    def of(words: pa.Array) -> pa.Array:
+        terms = _counts(words, buckets)
+        z = np.concatenate([logits(terms.slice(a, SLICE_ROWS), shared.value)[0]
+                            for a in range(0, len(terms), SLICE_ROWS)] or [np.zeros((0, CLASSES))])
         p = softmax(z)
-        return pd.DataFrame({"p0": p[:, 0], "p1": p[:, 1], "p2": p[:, 2], "best": z.argmax(axis=1).astype(np.int32)})
+        return pa.StructArray.from_arrays([*map(pa.array, p.T.copy()), pa.array(z.argmax(axis=1), pa.int32())],
+                                          ["p0", "p1", "p2", "best"])
 
-    words = split_words(F.lower(F.coalesce(F.col(text), F.lit(""))))
-    d = df.withColumn("_s", of(F.transform(words, lambda w: bucket_of(w, buckets))))
+    d = df.withColumn("_s", of(_words(text)))
     return d.select(*df.columns, F.col("_s.p0").alias("prob_fear"), F.col("_s.p1").alias("prob_neutral"),
                     F.col("_s.p2").alias("prob_greed"), F.col("_s.best").alias("pred_label"))

@@ -514,21 +514,22 @@ def q_bayes_evaluate(spark, sf):
 
 # -- training epoch by epoch --------------------------------------------------
 
-def _epochs(spark, sf):
-    data = filters.train_input(_split_labeled(spark, sf))
+def _epochs(labeled):
+    data = filters.train_input(labeled)
     return epochs.train(epochs.features(data, "text_bert", "label", "split").checkpoint(), P.EPOCHS, P.RATE)
 
 
 def q_train_epochs(spark, sf):
     """A row of metrics an epoch (M7, M8)."""
-    m = _epochs(spark, sf).metrics(spark)
+    m = _epochs(_split_labeled(spark, sf)).metrics(spark)
     return m.select("epoch", *[r8(c).alias(c) for c in ("train_loss", "valid_loss", "accuracy", "f1")])
 
 
 def q_epoch_score(spark, sf):
     """Filtered comments scored by the weights of the best epoch."""
-    pre = _pre(spark, sf).select("comment_id", "stock_code", "text_bert")
-    return epochs.score(pre, _epochs(spark, sf), "text_bert").select(
+    # every filtered comment has an id (its time came by it), a label and a split: texts are cleaned once
+    pre = _split_labeled(spark, sf)
+    return epochs.score(pre.select("comment_id", "stock_code", "text_bert"), _epochs(pre), "text_bert").select(
         "comment_id", "stock_code", *[r8(c).alias(c) for c in ("prob_fear", "prob_neutral", "prob_greed")])
 
 

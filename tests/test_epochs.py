@@ -6,8 +6,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from moodindex.operators import epochs as E
+from moodindex.plans import queries as Q
 
 SCHEMA = "id long, text string, label int, split string"
 B = 64
@@ -99,3 +101,33 @@ def test_a_pass_reads_the_checkpoint_and_sends_no_more_than_the_buckets(spark):
     assert "Scan ExistingRDD" in d._jdf.queryExecution().toString()
     sums = E.one_pass(d, np.zeros((B + 1, 3)))
     assert len(sums) <= B + 12
+
+
+def test_features_are_counts_and_slices_change_nothing(spark, monkeypatch):
+    data = rows(3)
+    d = made(spark, data + [(700, "the the The x", 0, "train")])
+    for r in d.collect():
+        assert list(r.terms.bucket) == sorted(set(r.terms.bucket)) and min(r.terms.n, default=1) > 0
+    assert max(max(r.terms.n, default=0) for r in d.collect()) >= 3
+    terms = d.select("terms").toArrow()["terms"].combine_chunks()
+    w = np.random.default_rng(0).normal(size=(B + 1, 3))
+    whole, _ = E.logits(terms, w)
+    sliced = np.concatenate([E.logits(terms.slice(a, 7), w)[0] for a in range(0, len(terms), 7)])
+    assert np.allclose(whole, sliced)
+    words = pa.array([(t or "").lower().split() for _, t, _, _ in data], pa.list_(pa.string()))
+    want = E._counts(words, B).to_pylist()
+    monkeypatch.setattr(E, "SLICE_ROWS", 7)
+    assert E._counts(words, B).to_pylist() == want and E._counts(words.slice(9, 20), B).to_pylist() == want[9:29]
+
+
+def test_epoch_score_cleans_the_texts_once(spark, monkeypatch):
+    data = [(k, "s", f"{t} number {k}", "2020-01-01") for k, t, _, _ in rows(4, 30)]
+    calls = []
+
+    def comments(spark, sf):
+        calls.append(sf)
+        return spark.createDataFrame(data, "comment_id long, stock_code string, text string, time string")
+
+    monkeypatch.setattr(Q.tables, "comments", comments)
+    got = Q.q_epoch_score(spark, "x").collect()
+    assert sorted(r.comment_id for r in got) == list(range(30)) and len(calls) == 1
