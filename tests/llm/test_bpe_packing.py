@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from moodindex.llm import bpe, packing
-from moodindex.llm.chunks import Memo
+from moodindex.llm.chunks import MARK, ChunkEncoder, Memo
 
 RANKS, JSON = P.path("byte_bpe_50k.tiktoken"), P.path("byte_bpe_50k.json")
 HARD = ["", " ", "  a", "a  b ", "\n", " \n x", "it's 'tis I'll 's", "a\x00b c", "x \x1c a \x1d", "é" * 50, "ab" * 3000,
@@ -119,3 +119,29 @@ def test_packing_job(make_docs):
         ids = tok.encode(t or "", add_special_tokens=False).ids + [0]
         assert b"".join(x for _, x in sorted(whole[i, len(ids)])) == np.array(ids, "<u4").tobytes()
     assert packing.pack(make_docs([]), JSON).count() == 0
+
+
+def test_a_word_is_encoded_once_whatever_mark_follows():
+    asked = []
+
+    def encode(chunks):
+        asked.extend(chunks)
+        return [c.encode("utf-32-le") for c in chunks]
+
+    e = ChunkEncoder(encode)
+    given = ["x word, word. word; word", "x", "", "word!?", f"x a{MARK},b word, z.", "x  word.", "x word.\t y"]
+    assert e(given) == [t.encode("utf-32-le") for t in given]
+    assert asked.count(" word") == 1 and " word," not in asked and " word." not in asked
+    assert given[4] in asked and given[5] in asked and given[6] in asked  # whole
+
+
+def test_marks_against_tokenizers():
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(JSON)
+    tok.encode_special_tokens = True
+    rnd = random.Random(2)
+    parts = ["a", "é", "×", " ", " ", "\n", ",", ".", "'s", "&&", MARK, "7", "漢", "ɏ", "\u3000"]
+    given = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))) for _ in range(2000)]
+    got = packing.encoder(JSON)(given)
+    for t, ids in zip(given, got, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
