@@ -29,6 +29,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +62,7 @@ class Vocabulary:
         for i, x in enumerate(self.byte.tolist()):
             for j, y in enumerate(self.byte.tolist()):
                 self.first[i, j] = self.pairs.get(x << 32 | y, -1)
+        self.table: pa.Array | None = None  # the entries by rank, for decoding
         self.memo = Memo(MEMO_BYTES)
         self.encode_texts = ChunkEncoder(self._encode_many, MEMO_BYTES)
 
@@ -197,6 +200,20 @@ class Vocabulary:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.entries.__getitem__, ids))
 
+    def decode_lists(self, lists: pa.ListArray) -> pa.Array:
+        """The bytes of every list of ids (null: no bytes), joined by Arrow."""
+        if self.table is None:
+            self.table = pa.array([self.entries.get(k) for k in range(max(self.entries) + 1)], pa.large_binary())
+        ids = lists.flatten()
+        found = self.table.take(ids)
+        if found.null_count:
+            raise KeyError(ids.filter(found.is_null())[0].as_py())
+        cuts = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
+        ends = np.frombuffer(found.buffers()[1], np.int64)[found.offset:found.offset + len(found) + 1] \
+            if len(found) else np.zeros(1, np.int64)
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [
+            None, pa.py_buffer(ends[cuts].tobytes()), found.buffers()[2] or pa.py_buffer(b"")])
+
 
 _LOADED: dict[tuple[str, str], Vocabulary] = {}
 
@@ -235,9 +252,8 @@ def bpe_decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids",
                out: str = "decoded") -> DataFrame:
     """Add ``out``: the bytes of an array of ids (null ids array: no bytes)."""
 
-    @F.pandas_udf("binary")
-    def bytes_of(ids: pd.Series) -> pd.Series:
-        dec = vocabulary(path, pattern).decode
-        return pd.Series([b"" if x is None else dec(x.tolist()) for x in ids], dtype=object)
+    @F.arrow_udf("binary")
+    def bytes_of(ids: pa.Array) -> pa.Array:
+        return vocabulary(path, pattern).decode_lists(ids).cast(pa.binary())
 
     return df.select(*_without(df, out), bytes_of(F.col(ids_col)).alias(out))

@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
@@ -145,3 +146,12 @@ def test_marks_against_tokenizers():
     got = packing.encoder(JSON)(given)
     for t, ids in zip(given, got, strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_lists_of_ids_are_decoded_together():
+    v = bpe.vocabulary(RANKS, P.PATTERN)
+    lists = [[5, 300, 7], None, [], [40_000], [1, 2]]
+    want = [v.decode(x or []) for x in lists]
+    a = pa.array(lists, pa.list_(pa.int32()))
+    assert v.decode_lists(a).to_pylist() == want
+    assert v.decode_lists(a.slice(1, 3)).to_pylist() == want[1:4] and v.decode_lists(a.slice(0, 0)).to_pylist() == []
