@@ -1,11 +1,15 @@
 import random
 import re
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from moodindex.functions import grams as G
 from moodindex.functions import keywords as K
 from moodindex.functions import text as T
 from moodindex.operators import keyword_index
@@ -94,3 +98,64 @@ def test_texts_are_not_shuffled_by_gram(spark):
     hits = keyword_index.keyword_hits(df, spark.createDataFrame([("words",), ("texts",)], "keyword string"), "key", "body")
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert hits.count() == 80 and "SortMergeJoin" not in plan
+
+
+def test_texts_are_searched_by_batch_without_windows(spark):
+    df = spark.createDataFrame([(k, "same words in all texts") for k in range(40)], "key long, body string")
+    lexicon = spark.createDataFrame([("words",), ("texts",), ("a",)], "keyword string")
+    hits = keyword_index.hit_counts(df, lexicon, "key", "body")
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "Generate" not in plan  # a text is one row from its scan to its hits
+    assert plan.count("ArrowEvalPython") == 1
+    assert {r.hits for r in hits.collect()} == {3}
+
+
+def _grams(word):
+    return [word[i:i + keyword_index.Q] for i in range(len(word) - keyword_index.Q + 1)] or [word]
+
+
+@pytest.mark.parametrize("places, pairs", [(1 << 18, 1 << 20), (23, 7)])
+def test_bytes_of_a_batch_are_searched_as_its_texts(monkeypatch, places, pairs):
+    monkeypatch.setattr(G, "PLACES", places)
+    monkeypatch.setattr(G, "PAIRS", pairs)
+    for seed in range(6):
+        rng = random.Random(seed)
+        words, texts = corpus(seed)
+        words += ["공포 " * 9, "longer than three blocks of bytes", "longer than three blocks of letters", "\0a", "공", "aaaa"]
+        texts += ["so longer than three blocks of bytes", "공포 " * 9 + "!", "\0a", "aaaaaa", words[0] * 20]
+        index = G.Keywords([(rng.choice(_grams(w)), w) for w in words])
+        for batch in (pa.array(texts), pa.array(texts).slice(5, 70), pa.array(texts, pa.large_string()), pa.array([None, ""], pa.string()),
+                      pa.array([], pa.string())):
+            want = [sorted(w for w in words if w in (t or "")) for t in batch.to_pylist()]
+            assert [sorted(x) for x in index.lists(batch).to_pylist()] == want
+            assert index.counts(batch).to_pylist() == [len(x) for x in want]
+
+
+def test_grams_are_counted_wherever_they_begin(spark):
+    words, texts = corpus(5)
+    named = sorted({g for w in words for g in _grams(w) if len(g.encode()) <= G.CODE})
+    got = keyword_index.gram_counts(spark.createDataFrame([(t,) for t in texts if t], "text string").repartition(3), named)
+    want = Counter(g for g in named for t in texts for i in range(len(t or "")) if t.startswith(g, i))
+    assert {r.gram: r.n for r in got.collect()} == want
+    grams, n = G.Grams([g.encode() for g in named]), np.zeros(len(named), np.int64)
+    grams.count(pa.array([], pa.string()), n)
+    assert not n.any()
+
+
+def test_an_index_that_is_not_sent_finds_the_same(spark, monkeypatch):
+    words, texts = corpus(7)
+    words += ["a keyword that is longer than any window", "keyword that is longer"]
+    texts += [f"x {words[-2]} y", f"x {words[-2][:-1]} y", words[-1]]
+    rows = [(k if k % 9 else None, t) for k, t in enumerate(texts)] + [(k, t) for k, t in enumerate(texts) if k % 5 == 1]
+    df = spark.createDataFrame(rows, "key long, body string")
+    lexicon = spark.createDataFrame([(w,) for w in words], "keyword string")
+
+    def found():
+        return (Counter(map(tuple, keyword_index.keyword_hits(df, lexicon, "key", "body").collect())),
+                Counter(map(tuple, keyword_index.hit_counts(df, lexicon, "key", "body").collect())),
+                Counter(map(tuple, keyword_index.mentioning(df, lexicon, "key", "body").collect())))
+
+    sent = found()
+    assert sent[0] == Counter((k, w) for k, t in rows if k is not None for w in words if w in (t or ""))
+    monkeypatch.setattr(keyword_index, "BROADCAST_WORDS", 0)
+    assert found() == sent
